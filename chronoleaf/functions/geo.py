@@ -24,6 +24,10 @@ MEAN_RADIUS_M = 6371008.8
 METRES_PER_MILE = 1609.344
 
 
+def _num(x: float) -> str:
+    return f"{x:.17e}"
+
+
 def _central_angle_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     h = (f"(power(sin(({lat2} - {lat1}) / 2), 2) + "
          f"cos({lat1}) * cos({lat2}) * power(sin(({lon2} - {lon1}) / 2), 2))")
@@ -32,14 +36,14 @@ def _central_angle_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 
 def haversine_miles_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     r = [f"radians({c})" for c in (lat1, lon1, lat2, lon2)]
-    return f"({MEAN_RADIUS_M!r} * {_central_angle_sql(*r)} / {METRES_PER_MILE!r})"
+    return f"({_num(MEAN_RADIUS_M)} * {_central_angle_sql(*r)} / {_num(METRES_PER_MILE)})"
 
 
 def geodesic_miles_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     f = WGS84_F
     # reduced latitudes
-    b1 = f"atan({1 - f!r} * tan(radians({lat1})))"
-    b2 = f"atan({1 - f!r} * tan(radians({lat2})))"
+    b1 = f"atan({_num(1 - f)} * tan(radians({lat1})))"
+    b2 = f"atan({_num(1 - f)} * tan(radians({lat2})))"
     l1, l2 = f"radians({lon1})", f"radians({lon2})"
     sigma = _central_angle_sql(b1, l1, b2, l2)
     p = f"(({b1} + {b2}) / 2)"
@@ -48,8 +52,8 @@ def geodesic_miles_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
          f" / nullif(power(cos({sigma} / 2), 2), 0))")
     y = (f"coalesce(({sigma} + sin({sigma})) * power(cos({p}), 2) * power(sin({q}), 2)"
          f" / nullif(power(sin({sigma} / 2), 2), 0), 0)")
-    metres = f"({WGS84_A!r} * ({sigma} - {f / 2!r} * ({x} + {y})))"
-    return f"({metres} / {METRES_PER_MILE!r})"
+    metres = f"({_num(WGS84_A)} * ({sigma} - {_num(f / 2)} * ({x} + {y})))"
+    return f"({metres} / {_num(METRES_PER_MILE)})"
 
 
 def geodesic_miles(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
