@@ -50,7 +50,13 @@ class OnDemandModel:
                  and isinstance(f.dataType, _NUMERIC)]
         if not feats:
             raise ValueError("no numeric feature columns")
-        medians = exact_medians(train_df, feats)
+        # the training frame feeds several passes (medians, split finding, boosting):
+        # materialise it once in the shared checkpoint folder instead of recomputing
+        # its lookups each time; the checkpoint also survives lost executors
+        checkpoint_root(train_df.sparkSession)
+        data = (train_df.withColumn("__label", F.col(label).cast("double"))
+                .where(F.col("__label").isNotNull()).checkpoint(eager=True))
+        medians = exact_medians(data, feats)
         pre = _preprocess_sql(feats, medians)
         stages = [
             SQLTransformer(statement=pre),
@@ -61,8 +67,6 @@ class OnDemandModel:
                           predictionCol="__gbt_pred")
             .setProbabilityCol("__prob").setRawPredictionCol("__raw"),
         ]
-        data = train_df.withColumn("__label", F.col(label).cast("double")).where(
-            F.col("__label").isNotNull())
         model = Pipeline(stages=stages).fit(data)
         return FittedModel(model, feats, label, medians)
 
