@@ -9,11 +9,12 @@ times give NULL features.  Right rows with a NULL key or time never match.
 Plan (``strategy="buckets"``, default): no range join and no pairs.  Left and
 right rows are unioned, shuffled once by (key, time bucket), sorted by time
 (right before left at equal time) and a running ``last(payload, ignorenulls)``
-hands each left row the newest preceding right row.  The newest right row
-*before* a bucket starts is supplied by one carry row per (key, bucket) - a
-``max_by`` pre-aggregate over key x bucket followed by a running ``last`` over
-buckets - so a hot key is split across its time buckets instead of landing in
-one task.  ``strategy="window"`` is the same without buckets.
+hands each left row the newest preceding right row.  Ordinary keys have one
+bucket; hot keys are split into time buckets (see
+:mod:`chronoleaf.operators.skew`) and the newest right row *before* a bucket
+starts is supplied by one carry row per (key, bucket) - a ``max_by``
+pre-aggregate over key x bucket followed by a running ``last`` over buckets.
+``strategy="window"`` is the same without buckets.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_SECONDS = 3600
+from chronoleaf.operators.skew import (TARGET_BUCKET_ROWS, Bucketing, attach_width, bucket_expr,
+                                       plan_buckets)
 
 
 def _time_type(df: DataFrame, col: str):
@@ -30,7 +32,16 @@ def _time_type(df: DataFrame, col: str):
 
 def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts: str,
               right_ts: str, features=None, *, rename: dict | None = None,
-              strategy: str = "buckets", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+              strategy: str = "buckets", bucket_seconds: int | None = None,
+              target_rows: int = TARGET_BUCKET_ROWS,
+              left_key_source: DataFrame | None = None) -> DataFrame:
+    """Point-in-time left lookup of ``features`` from ``right`` onto ``left``.
+
+    ``left_key_source``: a DataFrame with the same left key and time columns
+    whose key statistics stand for ``left`` (e.g. the original label rows when
+    ``left`` is the output of earlier lookups), so the statistics pass does
+    not recompute earlier joins.  ``bucket_seconds`` forces uniform buckets.
+    """
     left_keys = [left_keys] if isinstance(left_keys, str) else list(left_keys)
     right_keys = [right_keys] if isinstance(right_keys, str) else list(right_keys)
     if len(left_keys) != len(right_keys):
@@ -46,9 +57,9 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
     clash = set(out_names) & set(left.columns)
     if clash:
         raise ValueError(f"lookup output collides with label columns {sorted(clash)}; pass rename=")
-    internal = {"__o", "__time", "__b", "__p"}
+    internal = {"__o", "__time", "__b", "__p", "__s", "__w", "__l"}
     if internal & set(left.columns):
-        raise ValueError("label columns may not use reserved names __o/__time/__b/__p")
+        raise ValueError(f"label columns may not use reserved names {sorted(internal)}")
 
     lt, rt = _time_type(left, left_ts), _time_type(right, right_ts)
     time_cast = None if lt == rt else "timestamp"
@@ -56,6 +67,9 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
     def tcol(c):
         return F.col(c) if time_cast is None else F.col(c).cast(time_cast)
 
+    def secs(c):
+        return F.unix_seconds(F.col(c).cast("timestamp"))
+
     label_cols = list(left.columns)
     payload = F.struct(*[F.col(c).alias(n) for c, n in zip(features, out_names)])
 
@@ -76,30 +90,40 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
     if strategy != "buckets":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    def bucket(c):
-        return F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / F.lit(bucket_seconds))
-
-    lrows = lrows.withColumn("__b", bucket("__time"))
-    rrows = rrows.withColumn("__b", bucket("__time"))
-
-    # newest right row before each label bucket starts
-    per_bucket = (
-        rrows.select(*left_keys, "__b", "__time", "__p", F.lit(False).alias("__l"))
-        .unionByName(lrows.where(F.col("__b").isNotNull())
-                     .select(*left_keys, "__b", F.lit(None).cast(rrows.schema["__time"].dataType)
-                             .alias("__time"), F.lit(None).cast(payload_type).alias("__p"),
-                             F.lit(True).alias("__l")))
-        .groupBy(*left_keys, "__b")
-        .agg(F.max_by("__p", "__time").alias("__p"), F.max("__l").alias("__l"))
-    )
-    before = Window.partitionBy(*left_keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (per_bucket.select(*left_keys, "__b", "__l",
-                               F.last("__p", ignorenulls=True).over(before).alias("__p"))
-             .where(F.col("__l") & F.col("__p").isNotNull())
-             .select(*left_keys, "__b", F.lit(0).alias("__o"), "__p"))
-
-    u = (lrows.unionByName(rrows, allowMissingColumns=True)
-         .unionByName(carry, allowMissingColumns=True))
+    lrows = lrows.withColumn("__s", secs("__time"))
+    rrows = rrows.withColumn("__s", secs("__time"))
+    if bucket_seconds:
+        plan = Bucketing("uniform", width=int(bucket_seconds))
+    else:
+        src = left_key_source if left_key_source is not None else left
+        plan = plan_buckets([src.select(*left_keys, secs(left_ts).alias("__s")),
+                             rrows.select(*left_keys, "__s")], left_keys, "__s",
+                            target_rows=target_rows)
+    lrows = attach_width(lrows, plan, left_keys).withColumn("__b", bucket_expr("__s"))
+    rrows = attach_width(rrows, plan, left_keys).withColumn("__b", bucket_expr("__s"))
+    u = lrows.unionByName(rrows, allowMissingColumns=True)
+
+    if plan.mode != "none":
+        # newest right row before each label bucket of a split key starts
+        per_bucket = (
+            rrows.where(F.col("__w").isNotNull())
+            .select(*left_keys, "__b", "__time", "__p", F.lit(False).alias("__l"))
+            .unionByName(lrows.where(F.col("__w").isNotNull() & F.col("__b").isNotNull())
+                         .select(*left_keys, "__b",
+                                 F.lit(None).cast(rrows.schema["__time"].dataType).alias("__time"),
+                                 F.lit(None).cast(payload_type).alias("__p"),
+                                 F.lit(True).alias("__l")))
+            .groupBy(*left_keys, "__b")
+            .agg(F.max_by("__p", "__time").alias("__p"), F.max("__l").alias("__l"))
+        )
+        before = (Window.partitionBy(*left_keys).orderBy("__b")
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        carry = (per_bucket.select(*left_keys, "__b", "__l",
+                                   F.last("__p", ignorenulls=True).over(before).alias("__p"))
+                 .where(F.col("__l") & F.col("__p").isNotNull())
+                 .select(*left_keys, "__b", F.lit(0).alias("__o"), "__p"))
+        u = u.unionByName(carry, allowMissingColumns=True)
+
     w = (Window.partitionBy(*left_keys, "__b").orderBy(F.col("__time").asc_nulls_first(), "__o")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return _finish(u.select(*label_cols, "__o", F.last("__p", ignorenulls=True).over(w).alias("__p")),

@@ -14,11 +14,12 @@ Strategies
     and one hot key runs in one task.  Instead every row becomes an *entry*
     event (+value at t) and one *exit* event per window length (-value at
     t + seconds + 1).  A running sum over the events ordered by time then equals
-    the window aggregate.  The running sum is split by (key, time bucket); the
-    sum of all earlier buckets of the key arrives as one *carry* row per bucket
-    (a small aggregate over key x bucket), unioned in, not joined.  Cost: one
-    scan, one wide shuffle of ~(1 + #lengths) narrow events per row, linear
-    running windows, and a hot key spreads over its time buckets.
+    the window aggregate.  Hot keys are split into time buckets (see
+    :mod:`chronoleaf.operators.skew`); the sum of all earlier buckets of such a
+    key arrives as one *carry* row per bucket (a small aggregate over
+    key x bucket), unioned in, not joined.  Cost: one scan for the per-key
+    statistics, one wide shuffle of ~(1 + #lengths) narrow events per row,
+    linear running windows; a hot key spreads over its buckets.
     Fractional sums run in fixed point (decimal) so that subtraction is exact.
 
 ``"window"``:
@@ -36,8 +37,8 @@ from pyspark.sql import types as T
 
 from chronoleaf.functions._util import as_col
 from chronoleaf.functions.time import epoch_seconds
-
-DEFAULT_BUCKET_SECONDS = 3600
+from chronoleaf.operators.skew import (TARGET_BUCKET_ROWS, Bucketing, attach_width, bucket_expr,
+                                       plan_buckets)
 
 
 @dataclass(frozen=True)
@@ -99,8 +100,13 @@ def _prepared_values(df: DataFrame, aggs: list[Rolling]):
 
 
 def rolling_aggregate(df: DataFrame, keys, ts, aggs: list[Rolling], *, strategy: str = "events",
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Append one column per :class:`Rolling` to ``df``."""
+                      bucket_seconds: int | None = None,
+                      target_rows: int = TARGET_BUCKET_ROWS) -> DataFrame:
+    """Append one column per :class:`Rolling` to ``df``.
+
+    ``bucket_seconds`` forces one uniform bucket width for all keys; by default
+    hot keys (more than ``target_rows`` rows) are split, see :mod:`.skew`.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     aggs = list(aggs)
     if len({a.name for a in aggs}) != len(aggs):
@@ -111,7 +117,7 @@ def rolling_aggregate(df: DataFrame, keys, ts, aggs: list[Rolling], *, strategy:
     if strategy == "window":
         return _by_window(df, keys, ts, aggs)
     if strategy == "events":
-        return _by_events(df, keys, ts, aggs, bucket_seconds)
+        return _by_events(df, keys, ts, aggs, bucket_seconds, target_rows)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
@@ -130,25 +136,29 @@ def _by_window(df, keys, ts, aggs):
     return out.select(*df.columns, *cols)
 
 
-def _by_events(df, keys, ts, aggs, bucket_seconds):
-    if bucket_seconds <= 0:
-        raise ValueError("bucket_seconds must be positive")
+def _by_events(df, keys, ts, aggs, bucket_seconds, target_rows):
     prepared = _prepared_values(df, aggs)
     lengths = sorted({a.seconds for a in aggs})
-    payload_cols = [c for c in df.columns]
+    payload_cols = list(df.columns)
     base = df.withColumn("__t", epoch_seconds(ts))
+    if bucket_seconds:
+        if bucket_seconds <= 0:
+            raise ValueError("bucket_seconds must be positive")
+        plan = Bucketing("uniform", width=int(bucket_seconds))
+    else:
+        plan = plan_buckets([base], keys, "__t", target_rows=target_rows)
+    base = attach_width(base, plan, keys)
 
     # value slots: one per aggregate, plus a non-NULL counter for nullable sums
     slots = []  # (slot name, agg index, type, is_nonnull_counter)
-    for i, (a, (v, dt, nullable, _fin)) in enumerate(zip(aggs, prepared)):
+    for i, (a, (_v, dt, nullable, _fin)) in enumerate(zip(aggs, prepared)):
         slots.append((f"__v{i}", i, dt, False))
         if a.kind == "sum" and nullable:
             slots.append((f"__n{i}", i, T.LongType(), True))
 
     def slot_value(slot, sign, length):
         name, i, dt, is_counter = slot
-        a = aggs[i]
-        if length is not None and a.seconds != length:
+        if length is not None and aggs[i].seconds != length:
             return F.lit(None).cast(dt).alias(name)
         v = prepared[i][0]
         if is_counter:
@@ -164,27 +174,30 @@ def _by_events(df, keys, ts, aggs, bucket_seconds):
                       F.lit(None).cast(payload_type).alias("p"))
              for n in lengths]
     events = (
-        base.select(*[F.col(k) for k in keys], F.explode(F.array(entry, *exits)).alias("e"))
+        base.select(*keys, "__w", F.explode(F.array(entry, *exits)).alias("e"))
         .where(F.col("e.entry") | F.col("e.at").isNotNull())
-        .select(*keys, "e.*")
-        .withColumn("__b", F.floor(F.col("at") / F.lit(bucket_seconds)))
+        .select(*keys, "__w", "e.*")
+        .withColumn("__b", bucket_expr("at"))
     )
     slot_names = [s[0] for s in slots]
 
-    # carry: per (key, bucket) the total of all earlier buckets of the key
-    totals = (events.where(F.col("__b").isNotNull())
-              .groupBy(*keys, "__b").agg(*[F.sum(s).alias(s) for s in slot_names]))
-    earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (totals.select(*keys, "__b", F.count(F.lit(1)).over(earlier).alias("__k"),
-                           *[F.sum(s).over(earlier).alias(s) for s in slot_names])
-             .where(F.col("__k") > 0)
-             .select(*keys, F.lit(None).cast("long").alias("at"), F.lit(False).alias("entry"),
-                     *slot_names, F.lit(None).cast(payload_type).alias("p"), "__b"))
+    if plan.mode != "none":
+        # carry rows, only for keys split into several buckets: per (key, bucket)
+        # the total of all earlier buckets of the key
+        totals = (events.where(F.col("__w").isNotNull() & F.col("__b").isNotNull())
+                  .groupBy(*keys, "__b").agg(*[F.sum(s).alias(s) for s in slot_names]))
+        earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        carry = (totals.select(*keys, "__b", F.count(F.lit(1)).over(earlier).alias("__k"),
+                               *[F.sum(s).over(earlier).alias(s) for s in slot_names])
+                 .where(F.col("__k") > 0)
+                 .select(*keys, F.lit(None).cast("long").alias("__w"),
+                         F.lit(None).cast("long").alias("at"), F.lit(False).alias("entry"),
+                         *slot_names, F.lit(None).cast(payload_type).alias("p"), "__b"))
+        events = events.unionByName(carry)
 
     running = (Window.partitionBy(*keys, "__b").orderBy(F.col("at").asc_nulls_first())
                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    summed = events.unionByName(carry).select(
-        "entry", "p", *[F.sum(s).over(running).alias(s) for s in slot_names])
+    summed = events.select("entry", "p", *[F.sum(s).over(running).alias(s) for s in slot_names])
 
     outs = []
     for i, (a, (_v, _dt, _nullable, fin)) in enumerate(zip(aggs, prepared)):

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from chronoleaf.functions.flags import flag01
 from chronoleaf.functions.time import SECONDS_PER_DAY, day_of_week
-from chronoleaf.operators.rolling import (DEFAULT_BUCKET_SECONDS, rolling_aggregate, rolling_count,
-                                          rolling_sum)
+from chronoleaf.operators.rolling import rolling_aggregate, rolling_count, rolling_sum
 
 # Fixed values of the reference's feature definitions
 WEEK_SECONDS = 7 * SECONDS_PER_DAY
@@ -21,7 +20,7 @@ PRICE_SCALE = 2  # prices are money: summed exactly in cents
 
 
 def user_features(log: DataFrame, *, strategy: str = "events",
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int | None = None) -> DataFrame:
     """user_id, ts, mean_price_7d, last_6m_purchases, day_of_week."""
     src = log.select("user_id", "ts", "price",
                      flag01("purchased").alias("tickets_purchased"))
@@ -41,7 +40,7 @@ def user_features(log: DataFrame, *, strategy: str = "events",
 
 
 def destination_features(log: DataFrame, *, strategy: str = "events",
-                         bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                         bucket_seconds: int | None = None) -> DataFrame:
     """destination_id, ts, sum_clicks_7d, sum_impressions_7d."""
     src = log.select("destination_id", "ts", flag01("clicked").alias("clicked"))
     rolled = rolling_aggregate(

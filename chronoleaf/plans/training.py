@@ -13,7 +13,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame
 
-from chronoleaf.operators.asof import DEFAULT_BUCKET_SECONDS, asof_join
+from chronoleaf.operators.asof import asof_join
 from chronoleaf.operators.latest import latest_per_key
 from chronoleaf.operators.lookup import key_lookup
 
@@ -43,7 +43,7 @@ class Lookup:
 
 
 def apply_lookups(catalog, df: DataFrame, lookups, *,
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int | None = None) -> DataFrame:
     out = df
     for lk in lookups:
         info = catalog.get_table(lk.table_name)
@@ -55,7 +55,8 @@ def apply_lookups(catalog, df: DataFrame, lookups, *,
             [c for c in table.columns if c not in info.row_keys]
         if info.timestamp_key and lk.timestamp_lookup_key:
             out = asof_join(out, table, lk.keys(), pks, lk.timestamp_lookup_key, info.timestamp_key,
-                            feats, rename=lk.rename, bucket_seconds=bucket_seconds)
+                            feats, rename=lk.rename, bucket_seconds=bucket_seconds,
+                            left_key_source=df)
         else:
             if info.timestamp_key:
                 table = latest_per_key(table, pks, [info.timestamp_key])

@@ -67,14 +67,15 @@ def test_collision_needs_rename(spark):
     st.lists(st.tuples(st.sampled_from([1, 2, 3]), st.integers(0, 200)), min_size=0, max_size=25,
              unique=True),
     st.lists(st.tuples(st.sampled_from([1, 2, 3, None]), st.integers(0, 200)), min_size=1, max_size=25),
-    st.sampled_from([60, 3600, 86400]),
+    st.sampled_from([(60, None), (86400, None), (None, 2), (None, 1_000_000)]),
 )
-def test_buckets_match_brute_force(spark, feat_rows, label_rows, bucket):
+def test_buckets_match_brute_force(spark, feat_rows, label_rows, bucketing):
+    bucket, target = bucketing
     feats = [(k, T0 + timedelta(minutes=17 * m), float(m), None) for k, m in feat_rows]
     labels = [(i, k, T0 + timedelta(minutes=17 * m, seconds=i % 3)) for i, (k, m) in enumerate(label_rows)]
     out = _by_id(asof_join(_labels(spark, labels), spark.createDataFrame(
         feats, "k long, ts timestamp, f double, g double") if feats else _feats(spark, []),
-        "k", "k", "ts", "ts", ["f"], bucket_seconds=bucket))
+        "k", "k", "ts", "ts", ["f"], bucket_seconds=bucket, target_rows=target or 1_000_000))
     for i, k, ts in labels:
         cands = [f for f in feats if f[0] == k and f[1] <= ts]
         want = max(cands, key=lambda f: f[1])[2] if cands else None

@@ -14,6 +14,7 @@ SCHEMA = "k long, ts timestamp, price double, flag boolean"
 
 
 def _run(spark, rows, strategy, bucket=3600, secs=604800):
+    # the uniform bucket width exercises the carry rows of split keys
     df = spark.createDataFrame(rows, SCHEMA)
     out = rolling_aggregate(df, ["k"], "ts", [
         rolling_sum("s", "price", secs, scale=2),
@@ -93,16 +94,23 @@ row_strategy = st.tuples(
     st.booleans())
 
 
-@settings(max_examples=25, deadline=None)
-@given(st.lists(row_strategy, min_size=1, max_size=30), st.sampled_from([600, 3600, 86400]))
-def test_events_strategy_matches_brute_force(spark, rows, bucket):
+# (uniform bucket width, heavy-key threshold): uniform buckets for every key,
+# data-driven split of keys above a tiny threshold, or one bucket per key
+BUCKETINGS = [(600, None), (86400, None), (None, 3), (None, 1_000_000)]
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(row_strategy, min_size=1, max_size=30), st.sampled_from(BUCKETINGS))
+def test_events_strategy_matches_brute_force(spark, rows, bucketing):
     secs = 2 * 86400
+    bucket, target = bucketing
     rows = [(k, ts, p, f) for k, ts, p, f in rows]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
                                "i long, k long, ts timestamp, price double, flag boolean")
     out = rolling_aggregate(df, ["k"], "ts", [rolling_sum("s", "price", secs, scale=2),
                                               rolling_count("n", secs)],
-                            strategy="events", bucket_seconds=bucket).collect()
+                            strategy="events", bucket_seconds=bucket,
+                            target_rows=target or 1_000_000).collect()
     expect = _brute(rows, secs)
     for r in out:
         s, n = expect[r.i]
