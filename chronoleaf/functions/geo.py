@@ -56,6 +56,60 @@ def geodesic_miles_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"({metres} / {_num(METRES_PER_MILE)})"
 
 
+# ---- staged form: every intermediate is computed once --------------------------
+def distance_stages(lat1: str, lon1: str, lat2: str, lon2: str, out: str,
+                    method: str = "geodesic") -> list[dict[str, str]]:
+    """Successive projections (name -> SQL) ending in ``out``; intermediates are
+    named ``__g_*``.  Same value as the one-expression form."""
+    if method == "haversine":
+        rl1, rl2 = f"radians({lat1})", f"radians({lat2})"
+        dl = f"(radians({lon2}) - radians({lon1}))"
+        h = f"(power(sin(({rl2} - {rl1}) / 2), 2) + cos({rl1}) * cos({rl2}) * power(sin({dl} / 2), 2))"
+        return [{"__g_h": h},
+                {"__g_s": "(2 * atan2(sqrt(least(1.0, __g_h)), sqrt(greatest(0.0, 1.0 - __g_h))))"},
+                {out: f"({_num(MEAN_RADIUS_M)} * __g_s / {_num(METRES_PER_MILE)})"}]
+    if method != "geodesic":
+        raise ValueError(f"unknown distance method {method!r}")
+    f = WGS84_F
+    return [
+        {"__g_b1": f"atan({_num(1 - f)} * tan(radians({lat1})))",
+         "__g_b2": f"atan({_num(1 - f)} * tan(radians({lat2})))",
+         "__g_dl": f"(radians({lon2}) - radians({lon1}))"},
+        {"__g_h": "(power(sin((__g_b2 - __g_b1) / 2), 2) + "
+                  "cos(__g_b1) * cos(__g_b2) * power(sin(__g_dl / 2), 2))",
+         "__g_p": "((__g_b1 + __g_b2) / 2)", "__g_q": "((__g_b2 - __g_b1) / 2)"},
+        {"__g_s": "(2 * atan2(sqrt(least(1.0, __g_h)), sqrt(greatest(0.0, 1.0 - __g_h))))"},
+        {out: (f"({_num(WGS84_A)} * (__g_s - {_num(f / 2)} * ("
+               "((__g_s - sin(__g_s)) * power(sin(__g_p), 2) * power(cos(__g_q), 2)"
+               " / nullif(power(cos(__g_s / 2), 2), 0)) + "
+               "coalesce((__g_s + sin(__g_s)) * power(cos(__g_p), 2) * power(sin(__g_q), 2)"
+               f" / nullif(power(sin(__g_s / 2), 2), 0), 0))) / {_num(METRES_PER_MILE)})")},
+    ]
+
+
+def _temp_names(stages) -> list[str]:
+    return [k for st in stages for k in st if k.startswith("__g_")]
+
+
+def with_distance(df, lat1: str, lon1: str, lat2: str, lon2: str, out: str = "distance",
+                  method: str = "geodesic"):
+    """``df`` plus a distance column in miles, computed in stages (fast codegen)."""
+    stages = distance_stages(lat1, lon1, lat2, lon2, out, method)
+    for st in stages:
+        df = df.withColumns({k: F.expr(v) for k, v in st.items()})
+    return df.drop(*_temp_names(stages))
+
+
+def distance_select_sql(lat1: str, lon1: str, lat2: str, lon2: str, out: str,
+                        method: str = "geodesic", source: str = "__THIS__") -> str:
+    """Nested SELECTs adding ``out`` (and ``__g_*`` helpers) to every row of ``source``."""
+    sql = source
+    for st in distance_stages(lat1, lon1, lat2, lon2, out, method):
+        cols = ", ".join(f"{v} AS {k}" for k, v in st.items())
+        sql = f"(SELECT *, {cols} FROM {sql})"
+    return sql[1:-1]
+
+
 def geodesic_miles(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
     return F.expr(geodesic_miles_sql(lat1, lon1, lat2, lon2))
 

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from chronoleaf.functions.flags import threshold
 from chronoleaf.operators.stats import accuracy, exact_medians
-from chronoleaf.plans.ondemand import LOCATION_COLUMNS, distance_sql
+from chronoleaf.plans.ondemand import LOCATION_COLUMNS, distance_transform_sql
 from chronoleaf.plans.training import Lookup, apply_lookups
 from chronoleaf.session import checkpoint_root
 
@@ -80,11 +80,12 @@ def _preprocess_sql(feats, medians) -> str:
         parts.append(f"coalesce(CAST(`{c}` AS DOUBLE), CAST({fill!r} AS DOUBLE)) AS `__f_{c}`")
         parts.append(f"CAST((`{c}` IS NULL) AS DOUBLE) AS `__m_{c}`")
     if all(c in feats for c in LOCATION_COLUMNS):
-        dist = distance_sql(loc_medians)
+        source = f"({distance_transform_sql(loc_medians, name='__od_distance')})"
+        dist = "__od_distance"
     else:
-        dist = "CAST(NULL AS DOUBLE)"
+        source, dist = "__THIS__", "CAST(NULL AS DOUBLE)"
     parts.append(f"coalesce({dist}, CAST(0.0 AS DOUBLE)) AS `__distance`")
-    return f"SELECT {', '.join(parts)} FROM __THIS__"
+    return f"SELECT {', '.join(parts)} FROM {source}"
 
 
 class FittedModel:

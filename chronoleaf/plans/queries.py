@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoleaf.functions.flags import flag01
-from chronoleaf.functions.geo import geodesic_miles_sql, haversine_miles_sql
+from chronoleaf.functions.geo import geodesic_miles_sql, haversine_miles_sql, with_distance
 from chronoleaf.functions.strings import clean_user_name
 from chronoleaf.functions.time import day_of_week, day_stamp, epoch_seconds
 from chronoleaf.operators.asof import asof_join
@@ -335,8 +335,10 @@ def _distance_query(spark, sf_dir, sql_fn):
     fr = static_lookup(log.select("event_id", "user_latitude", "user_longitude", "destination_id"),
                        roles.destination_locations(spark, sf_dir), "destination_id",
                        "destination_id", ["latitude", "longitude"])
-    d = F.expr(sql_fn("user_latitude", "user_longitude", "latitude", "longitude"))
-    return fr.select("event_id", F.round(d, 3).alias("distance_miles"))
+    method = "geodesic" if sql_fn is geodesic_miles_sql else "haversine"
+    out = with_distance(fr, "user_latitude", "user_longitude", "latitude", "longitude",
+                        "distance_miles", method)
+    return out.select("event_id", F.round("distance_miles", 3).alias("distance_miles"))
 
 
 def _distance_sql(fn) -> str:
@@ -660,9 +662,10 @@ def q_model_roundtrip(spark, sf_dir):
     cat, log, ts = training_set_df(spark, sf_dir)
     train = ts.load_df()
     reg = ModelRegistry(spark, scratch_dir(spark, "models"))
-    est = OnDemandModel(exclude=["event_id"])
-    reg.log_model("travel", est.fit(train, "purchased"), ts)
-    v = reg.log_model("travel", est.fit(train, "purchased"), ts)
+    model = OnDemandModel(exclude=["event_id"]).fit(train, "purchased")
+    reg.log_model("travel", model, ts)
+    v = reg.log_model("travel", model, ts)
+    if v != 2 or reg.latest_version("travel") != 2:
+        raise RuntimeError("model registry did not advance the version")
     loaded = reg.load("travel", reg.latest_version("travel"))
-    assert v == 2
     return loaded.transform(train).select("event_id", "purchased", "prediction")

@@ -125,3 +125,6 @@ def test_plan_has_no_python_and_one_main_window(spark):
         .executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "Generate explode" in plan
+    # ordinary keys: one shuffle, one sort, one running window for all three features
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Window [") == 1
