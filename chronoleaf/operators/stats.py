@@ -109,7 +109,3 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     """Key tuples occurring more than once, with their count."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-
-
-def is_true(c) -> Column:
-    return F.coalesce(as_col(c), F.lit(False))

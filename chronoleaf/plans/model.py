@@ -30,7 +30,7 @@ from chronoleaf.functions.flags import threshold
 from chronoleaf.operators.stats import accuracy, exact_medians
 from chronoleaf.plans.ondemand import LOCATION_COLUMNS, distance_transform_sql
 from chronoleaf.plans.training import Lookup, apply_lookups
-from chronoleaf.session import checkpoint_root
+from chronoleaf.session import checkpoint_root, materialize
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType, T.BooleanType)
@@ -53,9 +53,8 @@ class OnDemandModel:
         # the training frame feeds several passes (medians, split finding, boosting):
         # materialise it once in the shared checkpoint folder instead of recomputing
         # its lookups each time; the checkpoint also survives lost executors
-        checkpoint_root(train_df.sparkSession)
-        data = (train_df.withColumn("__label", F.col(label).cast("double"))
-                .where(F.col("__label").isNotNull()).checkpoint(eager=True))
+        data = materialize(train_df.withColumn("__label", F.col(label).cast("double"))
+                           .where(F.col("__label").isNotNull()), "training-frame")
         medians = exact_medians(data, feats)
         pre = _preprocess_sql(feats, medians)
         stages = [

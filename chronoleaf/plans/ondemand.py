@@ -28,13 +28,11 @@ def _lit(v) -> str:
 
 
 def distance_sql(medians: dict, method: str = "geodesic", strict: bool = False) -> str:
-    """SQL text (Spark and ANSI engines alike) of the median-filled distance."""
-    filled = {c: f"coalesce(CAST({c} AS DOUBLE), {_lit(medians.get(c))})" for c in LOCATION_COLUMNS}
+    """One SQL expression (Spark and ANSI engines alike) of the median-filled distance."""
+    f = _filled(medians)
     fn = geodesic_miles_sql if method == "geodesic" else haversine_miles_sql
-    body = fn(filled["user_latitude"], filled["user_longitude"], filled["latitude"], filled["longitude"])
-    valid = (f"abs({filled['user_latitude']}) <= 90 AND abs({filled['latitude']}) <= 90")
-    bad = ("raise_error('latitude outside [-90, 90]')" if strict else "CAST(NULL AS DOUBLE)")
-    return f"CASE WHEN {valid} THEN {body} WHEN {valid} IS NULL THEN CAST(NULL AS DOUBLE) ELSE {bad} END"
+    body = fn(f["user_latitude"], f["user_longitude"], f["latitude"], f["longitude"])
+    return _guard(f, body, strict)
 
 
 def location_medians(df: DataFrame) -> dict:

@@ -19,7 +19,6 @@ from chronoleaf.functions.geo import geodesic_miles_sql, haversine_miles_sql, wi
 from chronoleaf.functions.strings import clean_user_name
 from chronoleaf.functions.time import day_of_week, day_stamp, epoch_seconds
 from chronoleaf.operators.asof import asof_join
-from chronoleaf.operators.latest import latest_per_key
 from chronoleaf.operators.lookup import static_lookup
 from chronoleaf.operators.rolling import rolling_aggregate, rolling_count, rolling_sum
 from chronoleaf.operators.split import hash_split, time_split
@@ -108,10 +107,6 @@ FRAME_CTE = """fr AS (
   SELECT l.event_id, l.user_longitude, l.user_latitude, d.longitude, d.latitude
   FROM log l LEFT JOIN loc d ON l.destination_id = d.destination_id)"""
 
-LOG_COLS = ("event_id, user_id, ts, destination_id, booking_date, price, purchased, clicked, "
-            "user_latitude, user_longitude")
-
-
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 

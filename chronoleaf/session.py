@@ -61,6 +61,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{checkpoint_root(spark)}/{_APP}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, purpose: str = "materialized"):
+    """Write ``df`` as parquet below the shared checkpoint folder and read it back:
+    cuts the lineage (re-running a lost task re-reads files instead of
+    recomputing upstream joins) and feeds several passes from one computation."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursive delete through the Hadoop FileSystem of the session."""
     jvm = spark.sparkContext._jvm
