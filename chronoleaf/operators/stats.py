@@ -8,9 +8,10 @@ single final task.  That is fine below a proven bound, so columns with at most
 columns).  Larger columns are narrowed instead: approximate quantiles cut the
 current value range into ``fanout`` slices, one pass counts the values at or
 below / strictly below each cut, the slice holding the wanted rank becomes the
-new range, and once a range holds at most ``local_limit`` values they are
-sorted and the rank read off.  Every pass is a distributed scan with a
-one-row result; memory per task stays bounded.  Interpolation follows Spark's
+new range, and once a range holds at most ``final_rows`` values they are
+sorted and the rank read off (at most ``final_rows`` values reach the
+driver).  Every pass is a distributed scan with a one-row result; memory per
+task stays bounded.  Interpolation follows Spark's
 ``percentile``: position (n - 1) * 0.5 between the two neighbouring ranks.
 """
 
@@ -21,12 +22,13 @@ from pyspark.sql import functions as F
 
 from chronoleaf.functions._util import as_col
 
-LOCAL_LIMIT = 5_000_000
+LOCAL_LIMIT = 1_000_000   # values one task may hold for F.median (~80 MB of map entries)
+FINAL_ROWS = 100_000      # values the driver may receive to read off a rank
 FANOUT = 256
 
 
 def exact_medians(df: DataFrame, cols, *, local_limit: int = LOCAL_LIMIT,
-                  fanout: int = FANOUT) -> dict[str, float | None]:
+                  fanout: int = FANOUT, final_rows: int = FINAL_ROWS) -> dict[str, float | None]:
     cols = [cols] if isinstance(cols, str) else list(cols)
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first().asDict()
     small = [c for c in cols if counts[c] <= local_limit]
@@ -40,14 +42,16 @@ def exact_medians(df: DataFrame, cols, *, local_limit: int = LOCAL_LIMIT,
         n = counts[c]
         lo_rank, hi_rank = (n - 1) // 2, n // 2
         values = df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
-        lo_v = _kth(values, lo_rank, n, local_limit, fanout)
-        hi_v = lo_v if hi_rank == lo_rank else _kth(values, hi_rank, n, local_limit, fanout)
+        final = min(final_rows, local_limit)
+        lo_v = _kth(values, lo_rank, n, final, fanout)
+        hi_v = lo_v if hi_rank == lo_rank else _kth(values, hi_rank, n, final, fanout)
         out[c] = lo_v if hi_rank == lo_rank else 0.5 * lo_v + 0.5 * hi_v
     return out
 
 
-def _kth(values: DataFrame, rank: int, n: int, local_limit: int, fanout: int) -> float:
-    """Value of 0-based ``rank`` among ``values.v`` (no NULLs) by range narrowing."""
+def _kth(values: DataFrame, rank: int, n: int, final_rows: int, fanout: int) -> float:
+    """Value of 0-based ``rank`` among ``values.v`` (no NULLs) by range narrowing; the
+    last range (at most ``final_rows`` values) is ordered and the rank read off."""
     lo, hi = None, None  # current range is (lo, hi) exclusive on both sides when set
     count = n
     v = F.col("v")
@@ -58,7 +62,7 @@ def _kth(values: DataFrame, rank: int, n: int, local_limit: int, fanout: int) ->
         if hi is not None:
             cond = cond & (v < F.lit(hi))
         part = values.where(cond)
-        if count <= local_limit:
+        if count <= final_rows:
             rows = part.orderBy("v").offset(rank).limit(1).collect()
             return rows[0]["v"]
         fractions = [i / fanout for i in range(1, fanout)]
