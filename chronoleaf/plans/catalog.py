@@ -13,7 +13,8 @@ sink keeps a commit log that batch appends would bypass).
 Publish = latest row per primary key (D5): a batch snapshot table, or a
 stateless stream into an online log resolved the same way on read, so state
 never grows inside a streaming query and a late event cannot overwrite a
-newer value.
+newer value.  ``compact_online`` folds the log into a snapshot; later reads
+scan only the snapshot and the log files published after it.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from chronoleaf.operators.stats import duplicate_keys
 from chronoleaf.session import checkpoint_root, delete_path
 
 INGEST = "_ingest_ts"
+PUBLISH = "_publish_ts"
 _PROP = "chronoleaf"
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -223,6 +225,7 @@ class FeatureCatalog:
             if self.spark.catalog.tableExists(q + suffix):
                 self.spark.sql(f"DROP TABLE IF EXISTS {q + suffix}")
                 delete_path(self.spark, self.location(name + suffix))
+        delete_path(self.spark, f"{self.location(name)}__online_snap")
 
     # ---- publish (S7, S8) --------------------------------------------------------
     def snapshot(self, name: str) -> DataFrame:
@@ -256,11 +259,14 @@ class FeatureCatalog:
         if not self.exists(log_name):
             schema = self._raw(name).select(*cols).schema
             ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            self.spark.sql(f"CREATE TABLE {self.qualified(log_name)} ({ddl}, `{INGEST}` timestamp)"
-                           f" USING parquet LOCATION '{self.location(log_name)}'")
+            self.spark.sql(f"CREATE TABLE {self.qualified(log_name)} ({ddl}, `{INGEST}` timestamp,"
+                           f" `{PUBLISH}` timestamp) USING parquet LOCATION '{self.location(log_name)}'")
         self._set_props(name, online="stream")
-        # keep the feature table's own write time: it orders rewrites of one (key, time)
-        src = self.spark.readStream.table(info.name).select(*cols, INGEST)
+        # keep the feature table's own write time: it orders rewrites of one (key, time);
+        # the publish time (constant per micro-batch, batches run in sequence) marks
+        # how far compact_online has folded the log
+        src = (self.spark.readStream.table(info.name)
+               .select(*cols, INGEST, F.current_timestamp().alias(PUBLISH)))
         return (src.writeStream.format("parquet").outputMode("append")
                 .option("checkpointLocation", checkpoint_location)
                 .option("path", self.location(log_name))
@@ -275,14 +281,56 @@ class FeatureCatalog:
         if mode == "batch":
             return self._raw(f"{name}__online")
         if mode == "stream":
-            return _latest_from_log(self._raw(f"{name}__online_log"), info)
+            return _latest_from_log(self._online_rows(name, props), info)
         raise ValueError(f"{info.name} has not been published")
 
-
-def _latest_from_log(log: DataFrame, info: TableInfo) -> DataFrame:
+    def _online_rows(self, name: str, props: dict, upto: int | None = None) -> DataFrame:
+        """Compacted snapshot rows plus the log rows published after its mark
+        (the filter reaches the parquet scan, so folded log files are skipped)."""
+        log = self._raw(f"{name}__online_log")
+        cols = [c for c in log.columns if c not in (INGEST, PUBLISH)]
+        mark = props.get(f"{_PROP}.online_mark")
+        recent = log
+        if mark is not None:
+            recent = recent.where(F.col(PUBLISH) > F.timestamp_micros(F.lit(int(mark))))
+        if upto is not None:
+            recent = recent.where(F.col(PUBLISH) <= F.timestamp_micros(F.lit(int(upto))))
+        rows = recent.select(*cols, INGEST)
+        snap = props.get(f"{_PROP}.online_snapshot")
+        if snap:
+            rows = self.spark.read.parquet(snap).select(*cols, INGEST).unionByName(rows)
+        return rows
+
+    def compact_online(self, name: str) -> None:
+        """Fold a stream-published online log into a snapshot (one row per key),
+        so reads stop re-resolving the whole log.  Safe while the publish stream
+        runs: only rows published up to the newest committed publish time are folded."""
+        info = self.get_table(name)
+        props = {r["key"]: r["value"]
+                 for r in self.spark.sql(f"SHOW TBLPROPERTIES {info.name}").collect()}
+        if props.get(f"{_PROP}.online") != "stream":
+            raise ValueError(f"{info.name} is not stream-published")
+        log = self._raw(f"{name}__online_log")
+        new_mark = log.agg(F.unix_micros(F.max(PUBLISH))).first()[0]
+        old_mark = props.get(f"{_PROP}.online_mark")
+        if new_mark is None or (old_mark is not None and new_mark <= int(old_mark)):
+            return
+        folded = _latest_from_log(self._online_rows(name, props, upto=new_mark), info,
+                                  keep_ingest=True)
+        version = int(props.get(f"{_PROP}.online_version", "0")) + 1
+        path = f"{self.location(name)}__online_snap/v={version}"
+        folded.write.parquet(path)
+        self._set_props(name, online_snapshot=path, online_mark=new_mark, online_version=version)
+        old = props.get(f"{_PROP}.online_snapshot")
+        if old:
+            delete_path(self.spark, old)
+
+
+def _latest_from_log(log: DataFrame, info: TableInfo, keep_ingest: bool = False) -> DataFrame:
     order = ([info.timestamp_key] if info.timestamp_key else []) + [INGEST]
-    cols = [c for c in log.columns if c != INGEST]
-    return latest_per_key(log, list(info.primary_keys), order, columns=cols + [INGEST]).drop(INGEST)
+    cols = [c for c in log.columns if c not in (INGEST, PUBLISH)]
+    out = latest_per_key(log, list(info.primary_keys), order, columns=cols + [INGEST])
+    return out if keep_ingest else out.drop(INGEST)
 
 
 def _sql_str(s: str) -> str:

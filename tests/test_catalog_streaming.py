@@ -132,3 +132,29 @@ def test_lifecycle(spark):
     ck = scratch_dir(spark, "ck-delete")
     spark.range(3).write.parquet(ck)
     assert delete_path(spark, ck) and not path_exists(spark, ck)
+
+
+def test_compact_online_folds_log_and_skips_old_files(spark):
+    cat = _cat(spark)
+    base = scratch_dir(spark, "compact-online")
+    cat.create_table("avail", ["destination_id", "booking_date"], ["event_ts"],
+                     schema=files.AVAILABILITY_SCHEMA)
+    d = date(2024, 1, 20)
+    src = lambda: files.availability_features(files.json_stream(spark, f"{base}/src/*.json"))
+    _write_json(spark, [(datetime(2024, 1, 10, 12), 1, "N1", d, 10.0, 5),
+                        (datetime(2024, 1, 10, 12), 2, "N2", d, 20.0, 8)], f"{base}/src")
+    drain(cat.write_table("avail", src(), checkpoint_location=f"{base}/ck"))
+    drain(cat.publish_table("avail", streaming=True, checkpoint_location=f"{base}/online"))
+    cat.compact_online("avail")
+    assert {r.destination_id: r.availability for r in cat.read_online("avail").collect()} == {1: 5, 2: 8}
+    # newer value for key 1, a late (older) one for key 2, then a second compaction
+    _write_json(spark, [(datetime(2024, 1, 11, 12), 1, "N1", d, 11.0, 6),
+                        (datetime(2024, 1, 9, 12), 2, "N2", d, 19.0, 1)], f"{base}/src")
+    drain(cat.write_table("avail", src(), checkpoint_location=f"{base}/ck"))
+    drain(cat.publish_table("avail", streaming=True, checkpoint_location=f"{base}/online"))
+    assert {r.destination_id: r.availability for r in cat.read_online("avail").collect()} == {1: 6, 2: 8}
+    cat.compact_online("avail")
+    view = cat.read_online("avail")
+    assert {r.destination_id: r.availability for r in view.collect()} == {1: 6, 2: 8}
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(_publish_ts" in plan
