@@ -569,6 +569,7 @@ def q_stream_merge_write(spark, sf_dir):
 def q_stream_publish_latest(spark, sf_dir):
     cat, base = _merged_availability(spark, sf_dir)
     drain(cat.publish_table(TABLES["avail"], streaming=True, checkpoint_location=f"{base}/online"))
+    cat.compact_online(TABLES["avail"])
     return _ntz(cat.read_online(TABLES["avail"]), "event_ts")
 
 
