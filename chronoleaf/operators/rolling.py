@@ -139,7 +139,8 @@ def _by_window(df, keys, ts, aggs):
 def _by_events(df, keys, ts, aggs, bucket_seconds, target_rows):
     prepared = _prepared_values(df, aggs)
     lengths = sorted({a.seconds for a in aggs})
-    payload_cols = list(df.columns)
+    # keys travel as top-level columns (the partitioning); the entry payload holds the rest
+    payload_cols = [c for c in df.columns if c not in keys]
     base = df.withColumn("__t", epoch_seconds(ts))
     if bucket_seconds:
         if bucket_seconds <= 0:
@@ -165,7 +166,7 @@ def _by_events(df, keys, ts, aggs, bucket_seconds, target_rows):
             v = F.when(v.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
         return (v if sign > 0 else -v).cast(dt).alias(name)
 
-    payload = F.struct(*[F.col(c) for c in payload_cols])
+    payload = F.struct(*([F.col(c) for c in payload_cols] or [F.lit(True).alias("__x")]))
     payload_type = base.select(payload.alias("p")).schema["p"].dataType
     entry = F.struct(F.col("__t").alias("at"), F.lit(True).alias("entry"),
                      *[slot_value(s, +1, None) for s in slots], payload.alias("p"))
@@ -197,7 +198,8 @@ def _by_events(df, keys, ts, aggs, bucket_seconds, target_rows):
 
     running = (Window.partitionBy(*keys, "__b").orderBy(F.col("at").asc_nulls_first())
                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    summed = events.select("entry", "p", *[F.sum(s).over(running).alias(s) for s in slot_names])
+    summed = events.select(*keys, "entry", "p",
+                           *[F.sum(s).over(running).alias(s) for s in slot_names])
 
     outs = []
     for i, (a, (_v, _dt, _nullable, fin)) in enumerate(zip(aggs, prepared)):
@@ -207,4 +209,5 @@ def _by_events(df, keys, ts, aggs, bucket_seconds, target_rows):
         if a.kind == "count":
             c = F.coalesce(c, F.lit(0).cast("long"))
         outs.append(fin(c).alias(a.name))
-    return summed.where("entry").select(*[F.col(f"p.{c}").alias(c) for c in payload_cols], *outs)
+    return summed.where("entry").select(
+        *[F.col(c) if c in keys else F.col(f"p.{c}").alias(c) for c in df.columns], *outs)
