@@ -506,14 +506,21 @@ def q_online_lookup(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- T: streaming
-def _stage_availability(spark, sf_dir, path, where=None, files_n=8, transform=None):
+def _files(df: DataFrame, at_least: int = 8) -> int:
+    """Output file count: at least a few (so streams see several triggers), else as
+    many as the input has partitions (the write parallelism grows with the data)."""
+    return max(at_least, df.rdd.getNumPartitions())
+
+
+def _stage_availability(spark, sf_dir, path, where=None, transform=None):
     """Write availability log rows as JSON files (the stream's source directory)."""
     df = roles.availability_log(spark, sf_dir)
     if where is not None:
         df = df.where(where)
     if transform is not None:
         df = transform(df)
-    files.write_json(df.repartition(files_n, "destination_id", "booking_date"), path, mode="append")
+    # round-robin: even files even when one destination holds most rows
+    files.write_json(df.repartition(_files(df)), path, mode="append")
 
 
 AVAIL_OUT = _with(AVAIL_CTE) + "SELECT * FROM avail"
@@ -620,7 +627,7 @@ def q_stream_online_lookup(spark, sf_dir):
     cat.publish_table(TABLES["pop"])
     base = scratch_dir(spark, "stream_requests")
     reqs = roles.requests(log)
-    reqs.repartition(8).write.parquet(f"{base}/requests")
+    reqs.repartition(_files(reqs)).write.parquet(f"{base}/requests")
     live = spark.readStream.schema(reqs.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/requests")
     out = stream_lookup(live, cat.read_online(TABLES["user"]), "user_id", "user_id", ["mean_price_7d"])
     out = stream_lookup(out, cat.read_online(TABLES["pop"]), "destination_id", "destination_id",
