@@ -158,3 +158,36 @@ def test_compact_online_folds_log_and_skips_old_files(spark):
     assert {r.destination_id: r.availability for r in view.collect()} == {1: 6, 2: 8}
     plan = view._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(_publish_ts" in plan
+
+
+@pytest.mark.parametrize("per_trigger", [1, 3])
+def test_stream_equals_batch_for_any_file_split(spark, per_trigger):
+    base = scratch_dir(spark, "split")
+    rows = [(datetime(2024, 1, 10, h), h % 3, f"N{h % 3}", date(2024, 1, 10 + h % 2), float(h), h)
+            for h in range(12)]
+    for i in range(0, 12, 2):
+        _write_json(spark, rows[i:i + 2], f"{base}/src")
+    q = to_parquet(files.json_stream(spark, f"{base}/src/*.json", max_files_per_trigger=per_trigger),
+                   f"{base}/sink", f"{base}/ck")
+    drain(q)
+    streamed = spark.read.parquet(f"{base}/sink")
+    batch = spark.read.schema(files.AVAILABILITY_SCHEMA).option(
+        "timestampFormat", files.MICROS_TS_FORMAT).json(f"{base}/src/*.json")
+    assert streamed.count() == 12
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_lookup_without_label_time_uses_latest_row(spark):
+    from chronoleaf.plans.training import Lookup, create_training_set
+    cat = _cat(spark)
+    feats = spark.createDataFrame([(1, T0, 1.0), (1, datetime(2024, 1, 12), 2.0), (2, T0, 5.0)],
+                                  "k long, ts timestamp, f double")
+    cat.create_table("t", "k", "ts", df=feats)
+    labels = spark.createDataFrame([(10, 1, True), (11, 2, False), (12, 3, True)],
+                                   "id long, k long, y boolean")
+    ts = create_training_set(cat, labels, [Lookup("t", "k")], exclude_columns=["k"], label="y")
+    out = {r.id: r.f for r in ts.load_df().collect()}
+    assert out == {10: 2.0, 11: 5.0, 12: None}
+    assert ts.load_df().columns == ["id", "f", "y"]
+    with pytest.raises(ValueError):
+        create_training_set(cat, labels, [], label="missing")
