@@ -240,16 +240,22 @@ class FeatureCatalog:
         return _latest_from_log(self._raw(name), info)
 
     def publish_table(self, name: str, streaming: bool = False,
-                      checkpoint_location: str | None = None, trigger: dict | None = None):
-        """Batch: (re)write ``<name>__online``.  Streaming: start a query appending
-        the feature table's new rows to ``<name>__online_log`` and return it."""
+                      checkpoint_location: str | None = None, trigger: dict | None = None,
+                      buckets: int | None = None):
+        """Batch: (re)write ``<name>__online``, bucketed by the primary keys into
+        ``buckets`` (default: the session's shuffle partitions) so key lookups
+        against a snapshot too large to broadcast shuffle only the request side.
+        Streaming: start a query appending the feature table's new rows to
+        ``<name>__online_log`` and return it."""
         info = self.get_table(name)
         if not streaming:
             online = f"{name}__online"
             self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(online)}")
             delete_path(self.spark, self.location(online))
+            n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            pks = list(info.primary_keys)
             (self.snapshot(name).write.format("parquet").option("path", self.location(online))
-             .saveAsTable(self.qualified(online)))
+             .bucketBy(n, pks[0], *pks[1:]).saveAsTable(self.qualified(online)))
             self._set_props(name, online="batch")
             return None
         if not checkpoint_location:

@@ -191,3 +191,25 @@ def test_lookup_without_label_time_uses_latest_row(spark):
     assert ts.load_df().columns == ["id", "f", "y"]
     with pytest.raises(ValueError):
         create_training_set(cat, labels, [], label="missing")
+
+
+def test_bucketed_snapshot_join_shuffles_only_requests(spark):
+    from chronoleaf.operators.lookup import online_lookup
+    cat = _cat(spark)
+    feats = spark.range(200).select((F.col("id") % 50).alias("k"),
+                                    F.timestamp_seconds(F.col("id") * 60).alias("ts"),
+                                    F.col("id").cast("double").alias("f"))
+    cat.create_table("t", "k", "ts", df=feats)
+    cat.publish_table("t", buckets=4)
+    reqs = spark.range(1000).select((F.col("id") % 60).alias("k"))
+    # a snapshot too large to broadcast: force the sort-merge path
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = online_lookup(reqs, cat.read_online("t"), "k", "k", ["f"], broadcast=False)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan, plan
+    assert plan.count("Exchange hashpartitioning") == 1, plan   # requests only
+    got = {r.k: r.f for r in out.distinct().collect()}
+    assert got[7] == 157.0 and got[55] is None and len(got) == 60
