@@ -132,8 +132,11 @@ TABLES = {"user": "user_features", "pop": "destination_popularity_features",
           "loc": "destination_location_features", "avail": "destination_availability_features"}
 
 
-def travel_catalog(spark, sf_dir) -> tuple[FeatureCatalog, DataFrame]:
-    """Create the reference's four feature tables from the driver tables."""
+def travel_catalog(spark, sf_dir, streamed_availability: bool = False
+                   ) -> tuple[FeatureCatalog, DataFrame]:
+    """Create the reference's four feature tables from the driver tables.
+    ``streamed_availability``: the availability table is an empty table filled by
+    a streaming merge (S5, S6), as in the reference, instead of a batch write."""
     log = _log(spark, sf_dir)
     cat = _catalog(spark)
     cat.create_table(TABLES["user"], ["user_id"], "ts", df=user_features(log),
@@ -142,9 +145,12 @@ def travel_catalog(spark, sf_dir) -> tuple[FeatureCatalog, DataFrame]:
                      description="Destination Popularity Features")
     cat.create_table(TABLES["loc"], "destination_id", df=roles.destination_locations(spark, sf_dir),
                      description="Destination location features.")
-    cat.create_table(TABLES["avail"], ["destination_id", "booking_date"], ["event_ts"],
-                     df=roles.availability_log(spark, sf_dir),
-                     description="Destination Availability Features")
+    if streamed_availability:
+        _merged_availability(spark, sf_dir, cat)
+    else:
+        cat.create_table(TABLES["avail"], ["destination_id", "booking_date"], ["event_ts"],
+                         df=roles.availability_log(spark, sf_dir),
+                         description="Destination Availability Features")
     return cat, log
 
 
@@ -160,8 +166,8 @@ def travel_lookups() -> list[Lookup]:
 EXCLUDE = ["user_id", "destination_id", "ts", "booking_date", "clicked", "price"]
 
 
-def training_set_df(spark, sf_dir):
-    cat, log = travel_catalog(spark, sf_dir)
+def training_set_df(spark, sf_dir, streamed_availability: bool = False):
+    cat, log = travel_catalog(spark, sf_dir, streamed_availability)
     ts = create_training_set(cat, roles.training_labels(log), travel_lookups(),
                              exclude_columns=EXCLUDE, label="purchased")
     return cat, log, ts
@@ -427,19 +433,23 @@ def q_lookup_location(spark, sf_dir):
                          "destination_id", "destination_id", ["latitude", "longitude"])
 
 
-TRAINING_SQL = _with(LOG_CTE, LAB_CTE, LOC_CTE, AVAIL_CTE, UF_CTE, DF_CTE, """t1 AS (
+def _training_sql(avail_ctes=(AVAIL_CTE,), avail="avail") -> str:
+    return _with(LOG_CTE, LAB_CTE, LOC_CTE, *avail_ctes, UF_CTE, DF_CTE, """t1 AS (
   SELECT l.*, f.sum_clicks_7d, f.sum_impressions_7d FROM lab l
   ASOF LEFT JOIN dfeat f ON l.destination_id = f.destination_id AND l.ts >= f.ts)""", """t2 AS (
   SELECT t1.*, d.latitude, d.longitude FROM t1 LEFT JOIN loc d ON t1.destination_id = d.destination_id)""",
-                     """t3 AS (
+                 """t3 AS (
   SELECT t2.*, u.mean_price_7d FROM t2 ASOF LEFT JOIN uf u ON t2.user_id = u.user_id AND t2.ts >= u.ts)""",
-                     """t4 AS (
-  SELECT t3.*, a.availability FROM t3 ASOF LEFT JOIN avail a
+                 f"""t4 AS (
+  SELECT t3.*, a.availability FROM t3 ASOF LEFT JOIN {avail} a
   ON t3.destination_id = a.destination_id AND t3.booking_date = a.booking_date AND t3.ts >= a.event_ts)""") + \
-    """SELECT event_id, user_latitude, user_longitude, sum_clicks_7d, sum_impressions_7d,
+        """SELECT event_id, user_latitude, user_longitude, sum_clicks_7d, sum_impressions_7d,
   latitude, longitude, mean_price_7d, availability, purchased FROM t4"""
 
 
+TRAINING_SQL = _training_sql()
+
+
 @query("training_set", TRAINING_SQL)
 def q_training_set(spark, sf_dir):
     _cat, _log_df, ts = training_set_df(spark, sf_dir)
@@ -548,12 +558,12 @@ MERGED_CTE = """merged AS (SELECT event_ts, destination_id, name, booking_date,
   FROM avail)"""
 
 
-def _merged_availability(spark, sf_dir):
+def _merged_availability(spark, sf_dir, cat: FeatureCatalog | None = None):
     """Two waves through one streaming merge into an empty feature table: all rows,
     then rewrites of the low-availability rows (same keys and event time)."""
     _prep(spark)
     base = scratch_dir(spark, "stream_merge")
-    cat = _catalog(spark)
+    cat = cat or _catalog(spark)
     cat.create_table(TABLES["avail"], ["destination_id", "booking_date"], ["event_ts"],
                      schema=files.AVAILABILITY_SCHEMA, description="Destination Availability Features")
     src, ckpt = f"{base}/src", f"{base}/ckpt"
@@ -565,6 +575,14 @@ def _merged_availability(spark, sf_dir):
     return cat, base
 
 
+@query("training_set_streamed", _training_sql((AVAIL_CTE, MERGED_CTE), "merged"))
+def q_training_set_streamed(spark, sf_dir):
+    """The reference's flow: availability arrives by streaming merge (with rewrites),
+    then the point-in-time training set is assembled over the resolved table."""
+    _cat, _log_df, ts = training_set_df(spark, sf_dir, streamed_availability=True)
+    return ts.load_df()
+
+
 @query("stream_merge_write", _with(AVAIL_CTE, MERGED_CTE) + "SELECT * FROM merged")
 def q_stream_merge_write(spark, sf_dir):
     cat, _ = _merged_availability(spark, sf_dir)
