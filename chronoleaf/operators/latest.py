@@ -31,3 +31,38 @@ def resolve_merge_log(log: DataFrame, keys, ingest_col: str = "_ingest_ts") -> D
     keys = [keys] if isinstance(keys, str) else list(keys)
     resolved = latest_per_key(log, keys, [ingest_col], columns=cols + [ingest_col])
     return resolved.select(*cols)
+
+
+FOLD_MAX_KEYS = 2_000_000
+
+
+def fold_recent(snapshot: DataFrame, recent: DataFrame, keys, order_by, columns,
+                max_keys: int = FOLD_MAX_KEYS) -> DataFrame:
+    """``latest_per_key(snapshot ∪ recent)`` for a snapshot that already holds one
+    row per key, without shuffling the snapshot when few keys changed.
+
+    The keys touched by ``recent`` are counted; at most ``max_keys`` of them are
+    broadcast: untouched snapshot rows pass through an anti join, touched ones
+    are re-resolved together with the recent rows.  Beyond the bound, or when
+    nothing changed, the plain plans are used.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    columns = [c for c in columns if c not in keys]
+    changed = recent.select(*keys).distinct()
+    n = changed.limit(max_keys + 1).count()
+    if n == 0:
+        return snapshot.select(*keys, *columns)
+    if n > max_keys:
+        return latest_per_key(snapshot.select(*keys, *columns).unionByName(
+            recent.select(*keys, *columns)), keys, order_by, columns)
+    tmp = [f"__ck{i}" for i in range(len(keys))]
+    b = F.broadcast(changed.select(*[F.col(k).alias(t) for k, t in zip(keys, tmp)]))
+    cond = None
+    for k, t in zip(keys, tmp):
+        c = snapshot[k].eqNullSafe(b[t])
+        cond = c if cond is None else cond & c
+    untouched = snapshot.join(b, cond, "left_anti").select(*keys, *columns)
+    touched = latest_per_key(
+        snapshot.join(b, cond, "left_semi").select(*keys, *columns)
+        .unionByName(recent.select(*keys, *columns)), keys, order_by, columns)
+    return untouched.unionByName(touched)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoleaf.operators.latest import latest_per_key, resolve_merge_log
+from chronoleaf.operators.latest import fold_recent, latest_per_key, resolve_merge_log
 from chronoleaf.operators.stats import duplicate_keys
 from chronoleaf.session import checkpoint_root, delete_path
 
@@ -149,10 +149,23 @@ class FeatureCatalog:
         self.spark.catalog.refreshTable(self.qualified(name))
         return self.spark.table(self.qualified(name))
 
+    def _props(self, name: str) -> dict:
+        return {r["key"]: r["value"]
+                for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.qualified(name)}").collect()}
+
     def read_table(self, name: str) -> DataFrame:
-        """The table as of now: one row per key (merge log resolved)."""
+        """The table as of now: one row per key (merge log resolved).  A compacted
+        stream table reads its snapshot plus the log rows written after it."""
         info = self.get_table(name)
         raw = self._raw(name)
+        if info.writer == "stream":
+            props = self._props(name)
+            snap = props.get(f"{_PROP}.table_snapshot")
+            if snap:
+                recent = _after(raw, INGEST, props.get(f"{_PROP}.table_mark"))
+                cols = [c for c in raw.columns if c != INGEST]
+                return fold_recent(self.spark.read.parquet(snap), recent, info.row_keys,
+                                   [INGEST], cols + [INGEST]).select(*cols)
         if info.merged or info.writer == "stream":
             return resolve_merge_log(raw, info.row_keys, INGEST)
         return raw.drop(INGEST)
@@ -207,6 +220,9 @@ class FeatureCatalog:
         first written to a staging table, so the source is never read and
         overwritten by one job."""
         info = self.get_table(name)
+        if info.writer == "stream":
+            self._compact_stream_table(name, info)
+            return
         if info.writer != "batch" or not info.merged:
             return
         resolved = self.read_table(name)
@@ -216,6 +232,32 @@ class FeatureCatalog:
         self.write_table(name, self.spark.read.parquet(loc), mode="overwrite")
         delete_path(self.spark, loc)
 
+    def _compact_stream_table(self, name: str, info: TableInfo) -> None:
+        """A stream-written table cannot be rewritten in place (its sink keeps a
+        commit log): fold the rows written up to the newest committed micro-batch
+        time into a versioned snapshot and remember that mark.  Micro-batches run
+        in sequence, so anything committed later carries a later write time."""
+        props = self._props(name)
+        raw = self._raw(name)
+        new_mark = raw.agg(F.unix_micros(F.max(INGEST))).first()[0]
+        old_mark = props.get(f"{_PROP}.table_mark")
+        if new_mark is None or (old_mark is not None and new_mark <= int(old_mark)):
+            return
+        upto = _upto(_after(raw, INGEST, old_mark), INGEST, new_mark)
+        cols = [c for c in raw.columns if c != INGEST]
+        snap = props.get(f"{_PROP}.table_snapshot")
+        if snap:
+            folded = fold_recent(self.spark.read.parquet(snap), upto, info.row_keys, [INGEST],
+                                 cols + [INGEST])
+        else:
+            folded = latest_per_key(upto, info.row_keys, [INGEST], cols + [INGEST])
+        version = int(props.get(f"{_PROP}.table_version", "0")) + 1
+        path = f"{self.location(name)}__snap/v={version}"
+        folded.write.parquet(path)
+        self._set_props(name, table_snapshot=path, table_mark=new_mark, table_version=version)
+        if snap:
+            delete_path(self.spark, snap)
+
     # ---- drop (S9, S10) ----------------------------------------------------------
     def drop_table(self, name: str) -> None:
         q = self.qualified(name)
@@ -226,6 +268,7 @@ class FeatureCatalog:
                 self.spark.sql(f"DROP TABLE IF EXISTS {q + suffix}")
                 delete_path(self.spark, self.location(name + suffix))
         delete_path(self.spark, f"{self.location(name)}__online_snap")
+        delete_path(self.spark, f"{self.location(name)}__snap")
 
     # ---- publish (S7, S8) --------------------------------------------------------
     def snapshot(self, name: str) -> DataFrame:
@@ -287,7 +330,15 @@ class FeatureCatalog:
         if mode == "batch":
             return self._raw(f"{name}__online")
         if mode == "stream":
-            return _latest_from_log(self._online_rows(name, props), info)
+            snap = props.get(f"{_PROP}.online_snapshot")
+            if not snap:
+                return _latest_from_log(self._online_rows(name, props), info)
+            log = self._raw(f"{name}__online_log")
+            cols = [c for c in log.columns if c not in (INGEST, PUBLISH)]
+            recent = _after(log, PUBLISH, props.get(f"{_PROP}.online_mark")).select(*cols, INGEST)
+            order = ([info.timestamp_key] if info.timestamp_key else []) + [INGEST]
+            return fold_recent(self.spark.read.parquet(snap), recent, list(info.primary_keys),
+                               order, cols + [INGEST]).select(*cols)
         raise ValueError(f"{info.name} has not been published")
 
     def _online_rows(self, name: str, props: dict, upto: int | None = None) -> DataFrame:
@@ -295,12 +346,7 @@ class FeatureCatalog:
         (the filter reaches the parquet scan, so folded log files are skipped)."""
         log = self._raw(f"{name}__online_log")
         cols = [c for c in log.columns if c not in (INGEST, PUBLISH)]
-        mark = props.get(f"{_PROP}.online_mark")
-        recent = log
-        if mark is not None:
-            recent = recent.where(F.col(PUBLISH) > F.timestamp_micros(F.lit(int(mark))))
-        if upto is not None:
-            recent = recent.where(F.col(PUBLISH) <= F.timestamp_micros(F.lit(int(upto))))
+        recent = _upto(_after(log, PUBLISH, props.get(f"{_PROP}.online_mark")), PUBLISH, upto)
         rows = recent.select(*cols, INGEST)
         snap = props.get(f"{_PROP}.online_snapshot")
         if snap:
@@ -332,11 +378,25 @@ class FeatureCatalog:
             delete_path(self.spark, old)
 
 
+def _after(df: DataFrame, col: str, mark) -> DataFrame:
+    """Rows written after ``mark`` (epoch micros); the literal folds to a timestamp
+    constant, so the filter reaches the parquet scan."""
+    if mark is None:
+        return df
+    return df.where(F.col(col) > F.timestamp_micros(F.lit(int(mark))))
+
+
+def _upto(df: DataFrame, col: str, mark) -> DataFrame:
+    if mark is None:
+        return df
+    return df.where(F.col(col) <= F.timestamp_micros(F.lit(int(mark))))
+
+
 def _latest_from_log(log: DataFrame, info: TableInfo, keep_ingest: bool = False) -> DataFrame:
     order = ([info.timestamp_key] if info.timestamp_key else []) + [INGEST]
     cols = [c for c in log.columns if c not in (INGEST, PUBLISH)]
     out = latest_per_key(log, list(info.primary_keys), order, columns=cols + [INGEST])
-    return out if keep_ingest else out.drop(INGEST)
+    return out.select(*cols, INGEST) if keep_ingest else out.select(*cols)
 
 
 def _sql_str(s: str) -> str:

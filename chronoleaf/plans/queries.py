@@ -570,6 +570,8 @@ def _merged_availability(spark, sf_dir, cat: FeatureCatalog | None = None):
     _stage_availability(spark, sf_dir, src)
     stream = lambda: files.availability_features(files.json_stream(spark, f"{src}/*.json"))
     drain(cat.write_table(TABLES["avail"], stream(), mode="merge", checkpoint_location=ckpt))
+    # periodic compaction: the rewrites below then fold into the snapshot on read
+    cat.compact(TABLES["avail"])
     _stage_availability(spark, sf_dir, src, where=F.col("availability") < 50, transform=_bump)
     drain(cat.write_table(TABLES["avail"], stream(), mode="merge", checkpoint_location=ckpt))
     return cat, base

@@ -157,7 +157,8 @@ def test_compact_online_folds_log_and_skips_old_files(spark):
     view = cat.read_online("avail")
     assert {r.destination_id: r.availability for r in view.collect()} == {1: 6, 2: 8}
     plan = view._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(_publish_ts" in plan
+    # nothing published since the compaction: only the snapshot is scanned
+    assert plan.count("FileScan") == 1 and "LeftAnti" not in plan
 
 
 @pytest.mark.parametrize("per_trigger", [1, 3])
@@ -213,3 +214,36 @@ def test_bucketed_snapshot_join_shuffles_only_requests(spark):
     assert plan.count("Exchange hashpartitioning") == 1, plan   # requests only
     got = {r.k: r.f for r in out.distinct().collect()}
     assert got[7] == 157.0 and got[55] is None and len(got) == 60
+
+
+def test_compact_stream_table_and_fold_reads(spark):
+    """Compaction of a stream-written feature table: reads before and after agree,
+    and later writes fold in through a broadcast of the touched keys only."""
+    cat = _cat(spark)
+    base = scratch_dir(spark, "compact-stream")
+    cat.create_table("avail", ["destination_id", "booking_date"], ["event_ts"],
+                     schema=files.AVAILABILITY_SCHEMA)
+    d = date(2024, 1, 20)
+    src = lambda: files.availability_features(files.json_stream(spark, f"{base}/src/*.json"))
+    rows = [(datetime(2024, 1, 10, h), h % 4, f"N{h % 4}", d, float(h), h) for h in range(12)]
+    _write_json(spark, rows, f"{base}/src")
+    drain(cat.write_table("avail", src(), checkpoint_location=f"{base}/ck"))
+    before = cat.read_table("avail")
+    want = {(r.destination_id, r.event_ts): r.availability for r in before.collect()}
+    cat.compact("avail")
+    after = cat.read_table("avail")
+    assert after.columns == before.columns
+    assert {(r.destination_id, r.event_ts): r.availability for r in after.collect()} == want
+    # rewrite one (key, time) and add a new one after the compaction
+    _write_json(spark, [(datetime(2024, 1, 10, 3), 3, "N3", d, 3.0, 300),
+                        (datetime(2024, 1, 10, 20), 0, "N0", d, 20.0, 20)], f"{base}/src")
+    drain(cat.write_table("avail", src(), checkpoint_location=f"{base}/ck"))
+    want[(3, datetime(2024, 1, 10, 3))] = 300
+    want[(0, datetime(2024, 1, 10, 20))] = 20
+    view = cat.read_table("avail")
+    assert {(r.destination_id, r.event_ts): r.availability for r in view.collect()} == want
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "GreaterThan(_ingest_ts" in plan
+    cat.compact("avail")
+    assert {(r.destination_id, r.event_ts): r.availability
+            for r in cat.read_table("avail").collect()} == want
