@@ -76,7 +76,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
     lrows = left.select(*[F.col(c) for c in label_cols], tcol(left_ts).alias("__time"),
                         F.lit(2).alias("__o"))
     rrows = (right.where(_all_not_null(right_keys + [right_ts]))
-             .select(*[F.col(r).alias(l) for l, r in zip(left_keys, right_keys)],
+             .select(*[F.col(r).cast(left.schema[l].dataType).alias(l)
+                       for l, r in zip(left_keys, right_keys)],
                      tcol(right_ts).alias("__time"), F.lit(1).alias("__o"),
                      payload.alias("__p")))
     payload_type = rrows.schema["__p"].dataType

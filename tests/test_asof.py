@@ -80,3 +80,10 @@ def test_buckets_match_brute_force(spark, feat_rows, label_rows, bucketing):
         cands = [f for f in feats if f[0] == k and f[1] <= ts]
         want = max(cands, key=lambda f: f[1])[2] if cands else None
         assert out[i].f == want
+
+
+def test_label_key_types_are_kept(spark):
+    labels = spark.createDataFrame([(1, 1, T0)], "id long, k int, ts timestamp")
+    feats = _feats(spark, [(1, T0, 1.0, 2.0)])  # k is long here
+    out = asof_join(labels, feats, "k", "k", "ts", "ts", ["f"])
+    assert dict(out.dtypes)["k"] == "int" and out.first().f == 1.0
