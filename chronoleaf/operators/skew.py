@@ -2,8 +2,16 @@
 
 A per-key pre-aggregate (count, first and last second; partial aggregation,
 so a hot key costs one row per map task) finds the *heavy* keys: more than
-``target_rows`` rows.  There are at most ``total_rows / target_rows`` of them,
-so the table is small by construction; it is still counted before it is
+``target_rows`` rows.  The statistics come from a Bernoulli sample holding
+about ``sample_rows`` rows of a key at the threshold (1 % for the default 1M;
+exact below ``sample_rows``), so the pass reads only the key and time columns
+and shuffles a hundredth of the partial rows.  The sample only decides how
+the work is split: results are exact for any bucketing, because both sides of
+an operator take their widths from the same table and the carry rows bridge
+every bucket boundary.  A key missed near the threshold simply stays in one
+bucket.  There are at most ``total_rows / target_rows`` heavy keys, so the
+table is small by construction; it is checkpointed once (one computation for
+every use, below the shared checkpoint folder) and counted before it is
 broadcast.  Heavy keys get a bucket width that puts about ``target_rows`` of
 their rows into each time bucket; every other key keeps one bucket (0) and
 needs no carry rows at all.  Beyond ``max_heavy_keys`` heavy keys the plan
@@ -18,9 +26,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronoleaf.session import checkpoint_root
+
 TARGET_BUCKET_ROWS = 1_000_000
 MAX_HEAVY_KEYS = 200_000
 UNIFORM_BUCKET_SECONDS = 3600
+SAMPLE_ROWS = 10_000  # sampled rows of a key right at the threshold
+SAMPLE_SEED = 7
 
 
 @dataclass(frozen=True)
@@ -32,7 +44,8 @@ class Bucketing:
 
 def plan_buckets(sources: list[DataFrame], keys: list[str], secs_col: str = "__s", *,
                  target_rows: int = TARGET_BUCKET_ROWS, max_heavy_keys: int = MAX_HEAVY_KEYS,
-                 uniform_seconds: int = UNIFORM_BUCKET_SECONDS) -> Bucketing:
+                 uniform_seconds: int = UNIFORM_BUCKET_SECONDS,
+                 sample_rows: int | None = None) -> Bucketing:
     """``sources``: DataFrames with the key columns and whole seconds in ``secs_col``."""
     if target_rows <= 0:
         return Bucketing("uniform", width=uniform_seconds)
@@ -40,13 +53,22 @@ def plan_buckets(sources: list[DataFrame], keys: list[str], secs_col: str = "__s
     for s in sources:
         part = s.select(*keys, secs_col)
         u = part if u is None else u.unionByName(part)
+    fraction = min(1.0, (sample_rows or SAMPLE_ROWS) / target_rows)
+    if fraction < 1.0:
+        u = u.sample(fraction=fraction, seed=SAMPLE_SEED)
+    cut = target_rows * fraction  # sampled rows of a key right at the threshold
     stats = (u.groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("__n"), F.min(secs_col).alias("__lo"),
                   F.max(secs_col).alias("__hi"))
-             .where(F.col("__n") > F.lit(target_rows)))
+             .where(F.col("__n") > F.lit(cut)))
     span = F.coalesce(F.col("__hi") - F.col("__lo"), F.lit(0)) + F.lit(1)
-    width = F.greatest(F.lit(1), F.ceil(span * F.lit(target_rows) / F.col("__n"))).cast("long")
+    width = F.greatest(F.lit(1), F.ceil(span * F.lit(cut) / F.col("__n"))).cast("long")
     heavy = stats.select(*keys, width.alias("__w"))
+    if fraction < 1.0:
+        # a sample must be drawn once: every use (both join sides, the carry rows,
+        # a recomputed task) reads these widths, never a second draw
+        checkpoint_root(heavy.sparkSession)
+        heavy = heavy.checkpoint(eager=True)
     n = heavy.limit(max_heavy_keys + 1).count()
     if n == 0:
         return Bucketing("none")

@@ -51,3 +51,21 @@ def test_asof_with_split_hot_key_equals_window(spark, skewed):
     b = asof_join(labels, feats, "k", "k", "ts", "ts", ["f"], strategy="window")
     assert a.count() == N
     assert a.exceptAll(b).count() == 0
+
+
+def test_sampled_detection_keeps_results_exact(spark, skewed, monkeypatch):
+    # a 20 % sample decides the buckets; the answers must not depend on it
+    import chronoleaf.operators.skew as skew
+    monkeypatch.setattr(skew, "SAMPLE_ROWS", TARGET // 5)
+    base = skewed.withColumn("__s", epoch_seconds("ts"))
+    plan = plan_buckets([base], ["k"], "__s", target_rows=TARGET)
+    assert plan.mode == "heavy" and {r.k for r in plan.heavy.collect()} == {0}
+    aggs = [rolling_sum("s", "price", 3 * 86400, scale=2), rolling_count("n", 3 * 86400)]
+    a = rolling_aggregate(skewed, ["k"], "ts", aggs, target_rows=TARGET)
+    b = rolling_aggregate(skewed, ["k"], "ts", aggs, strategy="window")
+    assert a.count() == N and a.select("i", "s", "n").exceptAll(b.select("i", "s", "n")).count() == 0
+    labels = skewed.select("i", "k", (F.col("ts") + F.expr("INTERVAL 90 SECONDS")).alias("ts"))
+    feats = skewed.where(F.col("i") % 2 == 0).select("k", "ts", F.col("price").alias("f"))
+    c = asof_join(labels, feats, "k", "k", "ts", "ts", ["f"], target_rows=TARGET)
+    d = asof_join(labels, feats, "k", "k", "ts", "ts", ["f"], strategy="window")
+    assert c.count() == N and c.exceptAll(d).count() == 0
