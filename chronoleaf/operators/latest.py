@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronoleaf.operators.lookup import BROADCAST_MAX_BYTES, broadcast_size
+
 
 def latest_per_key(df: DataFrame, keys, order_by, columns=None) -> DataFrame:
     """One row per ``keys``: the row with the greatest ``order_by`` tuple
@@ -41,7 +43,8 @@ def fold_recent(snapshot: DataFrame, recent: DataFrame, keys, order_by, columns,
     """``latest_per_key(snapshot ∪ recent)`` for a snapshot that already holds one
     row per key, without shuffling the snapshot when few keys changed.
 
-    The keys touched by ``recent`` are counted; at most ``max_keys`` of them are
+    The keys touched by ``recent`` are counted (rows and bytes, one bounded pass);
+    at most ``max_keys`` of them, within the broadcast byte bound, are
     broadcast: untouched snapshot rows pass through an anti join, touched ones
     are re-resolved together with the recent rows.  Beyond the bound, or when
     nothing changed, the plain plans are used.
@@ -49,10 +52,10 @@ def fold_recent(snapshot: DataFrame, recent: DataFrame, keys, order_by, columns,
     keys = [keys] if isinstance(keys, str) else list(keys)
     columns = [c for c in columns if c not in keys]
     changed = recent.select(*keys).distinct()
-    n = changed.limit(max_keys + 1).count()
+    n, size = broadcast_size(changed, max_keys)
     if n == 0:
         return snapshot.select(*keys, *columns)
-    if n > max_keys:
+    if n > max_keys or size > BROADCAST_MAX_BYTES:
         return latest_per_key(snapshot.select(*keys, *columns).unionByName(
             recent.select(*keys, *columns)), keys, order_by, columns)
     tmp = [f"__ck{i}" for i in range(len(keys))]

@@ -1,31 +1,73 @@
 """Equality lookups without time: static dimension (J4) and latest snapshot.
 
 A left join that keeps every left row once (the right side is unique on its
-keys).  The right side is broadcast only when its row count is proven to be
-below ``broadcast_max_rows``; otherwise the join is left to Spark (sort-merge
-or, with AQE, a runtime broadcast/skew split).
+keys).  The right side is broadcast only when one bounded pass proves it has
+at most ``broadcast_max_rows`` rows and at most ``broadcast_max_bytes`` bytes
+(fixed-width columns by type, strings and nested values by their actual
+length); otherwise the join is left to Spark (sort-merge or, with AQE, a
+runtime broadcast/skew split).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 16  # per row in the broadcast hash relation (header, pointers)
 
+_FIXED = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+          T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
+          T.TimestampNTZType: 8, T.NullType: 0}
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check counts at most ``max_rows + 1`` rows, so it stays cheap on a huge side.
+def _byte_terms(df: DataFrame):
+    """(fixed bytes per row, columns giving the variable bytes of each row)."""
+    fixed, var = ROW_OVERHEAD_BYTES, []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        width = _FIXED.get(type(f.dataType))
+        if width is not None:
+            fixed += width + 1  # value + null flag
+        elif isinstance(f.dataType, T.DecimalType):
+            fixed += 8 if f.dataType.precision <= 18 else 16
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            fixed += 8
+            var.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        else:  # nested: its JSON text is an upper bound of the binary form
+            fixed += 8
+            var.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
+    return fixed, var
+
+
+def broadcast_size(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[int, int]:
+    """(rows, bytes) of ``df``, counting at most ``max_rows + 1`` rows (one bounded pass)."""
+    fixed, var = _byte_terms(df)
+    total = F.lit(0).cast("long")
+    for v in var:
+        total = total + v.cast("long")
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                      F.coalesce(F.sum(total), F.lit(0)).alias("b")).first()
+    return int(row["n"]), int(row["n"]) * fixed + int(row["b"])
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows and ``max_bytes`` bytes,
+    else ``df`` unchanged (Spark then picks a shuffled join).
+
+    The check reads at most ``max_rows + 1`` rows, so it stays cheap on a huge side.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    n, size = broadcast_size(df, max_rows)
+    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
 def key_lookup(left: DataFrame, right: DataFrame, left_keys, right_keys, features=None, *,
                rename: dict | None = None, broadcast: bool | None = None,
-               broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+               broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     left_keys = [left_keys] if isinstance(left_keys, str) else list(left_keys)
     right_keys = [right_keys] if isinstance(right_keys, str) else list(right_keys)
     if features is None:
@@ -40,7 +82,7 @@ def key_lookup(left: DataFrame, right: DataFrame, left_keys, right_keys, feature
     r = right.select(*[F.col(rk).alias(t) for rk, t in zip(right_keys, tmp_keys)],
                      *[F.col(c).alias(n) for c, n in zip(features, out_names)])
     if broadcast is None:
-        r = checked_broadcast(r, broadcast_max_rows)
+        r = checked_broadcast(r, broadcast_max_rows, broadcast_max_bytes)
     elif broadcast:
         r = F.broadcast(r)
     cond = None
