@@ -42,7 +42,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; created locally only if unset."""
+    """The shared checkpoint folder of the session.  Only a local-mode session
+    (tests, laptops) without one gets a temporary folder of its own."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if root:
@@ -50,6 +51,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/").rsplit("/", 1)[0]
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would vanish with its executor: never on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a shared, durable folder")
         root = tempfile.mkdtemp(prefix="chronoleaf-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     sc.setCheckpointDir(root)
