@@ -297,7 +297,13 @@ class FeatureCatalog:
             delete_path(self.spark, self.location(online))
             n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             pks = list(info.primary_keys)
-            (self.snapshot(name).write.format("parquet").option("path", self.location(online))
+            snap = self.snapshot(name)
+            if not (info.merged or info.writer == "stream" or info.timestamp_key):
+                # a plain scan, not an aggregate by the keys: without this each write
+                # task would emit a file for every bucket; hashing by the keys into n
+                # partitions puts one bucket in each task (same hash as the bucket id)
+                snap = snap.repartition(n, *pks)
+            (snap.write.format("parquet").option("path", self.location(online))
              .bucketBy(n, pks[0], *pks[1:]).saveAsTable(self.qualified(online)))
             self._set_props(name, online="batch")
             return None

@@ -216,6 +216,17 @@ def test_bucketed_snapshot_join_shuffles_only_requests(spark):
     assert got[7] == 157.0 and got[55] is None and len(got) == 60
 
 
+def test_published_dimension_writes_one_file_per_bucket(spark):
+    import os
+    cat = _cat(spark)
+    df = spark.range(0, 5000, 1, 6).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    cat.create_table("dim", "k", df=df)
+    cat.publish_table("dim", buckets=8)
+    loc = cat.location("dim__online").replace("file:", "")
+    assert len([f for f in os.listdir(loc) if f.endswith(".parquet")]) == 8
+    assert cat.read_online("dim").exceptAll(df).count() == 0
+
+
 def test_compact_stream_table_and_fold_reads(spark):
     """Compaction of a stream-written feature table: reads before and after agree,
     and later writes fold in through a broadcast of the touched keys only."""
