@@ -10,8 +10,8 @@ the work is split: results are exact for any bucketing, because both sides of
 an operator take their widths from the same table and the carry rows bridge
 every bucket boundary.  A key missed near the threshold simply stays in one
 bucket.  There are at most ``total_rows / target_rows`` heavy keys, so the
-table is small by construction; it is checkpointed once (one computation for
-every use, below the shared checkpoint folder) and counted before it is
+table is small by construction; it is written once below the shared
+checkpoint folder (one computation for every use) and counted before it is
 broadcast.  Heavy keys get a bucket width that puts about ``target_rows`` of
 their rows into each time bucket; every other key keeps one bucket (0) and
 needs no carry rows at all.  Beyond ``max_heavy_keys`` heavy keys the plan
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoleaf.session import checkpoint_root
+from chronoleaf.session import materialize
 
 TARGET_BUCKET_ROWS = 1_000_000
 MAX_HEAVY_KEYS = 200_000
@@ -66,9 +66,9 @@ def plan_buckets(sources: list[DataFrame], keys: list[str], secs_col: str = "__s
     heavy = stats.select(*keys, width.alias("__w"))
     if fraction < 1.0:
         # a sample must be drawn once: every use (both join sides, the carry rows,
-        # a recomputed task) reads these widths, never a second draw
-        checkpoint_root(heavy.sparkSession)
-        heavy = heavy.checkpoint(eager=True)
+        # a recomputed task) reads these widths from one written table, never a
+        # second draw (one job; an RDD checkpoint would compute the sample twice)
+        heavy = materialize(heavy, "heavy-keys")
     n = heavy.limit(max_heavy_keys + 1).count()
     if n == 0:
         return Bucketing("none")
