@@ -62,3 +62,14 @@ def test_query_matches_oracle(spark, duck, name):
     orows = res.fetchall()
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(res.columns, orows)
+
+
+def test_flagship_at_sf01_within_budget(spark):
+    # SURVEY 5.2 (scale): the flagship over the whole sf0.1 tables (100k events),
+    # point-in-time lookups included, stays well inside a generous local budget
+    import time
+    t0 = time.perf_counter()
+    df = E.queries()["training_set"](spark, "/root/testdata/sf0.1")
+    df.write.format("noop").mode("overwrite").save()
+    assert time.perf_counter() - t0 < 180
+    assert df.count() > 50_000
