@@ -1,22 +1,23 @@
 """Time buckets that split hot keys (shared by the rolling and as-of operators).
 
-A per-key pre-aggregate (count, first and last second; partial aggregation,
-so a hot key costs one row per map task) finds the *heavy* keys: more than
-``target_rows`` rows.  The statistics come from a Bernoulli sample holding
+A per-key pre-aggregate (count, first and last second; partial aggregation, so
+a hot key costs one row per map task) finds the *heavy* keys: more than
+``target_rows`` rows. The statistics come from a Bernoulli sample holding
 about ``sample_rows`` rows of a key at the threshold (1 % for the default 1M;
 exact below ``sample_rows``), so the pass reads only the key and time columns
-and shuffles a hundredth of the partial rows.  The sample only decides how
-the work is split: results are exact for any bucketing, because both sides of
-an operator take their widths from the same table and the carry rows bridge
-every bucket boundary.  A key missed near the threshold simply stays in one
-bucket.  There are at most ``total_rows / target_rows`` heavy keys, so the
-table is small by construction; it is written once below the shared
-checkpoint folder (one computation for every use) and counted before it is
-broadcast.  Heavy keys get a bucket width that puts about ``target_rows`` of
+and shuffles a hundredth of the partial rows. The sample only decides how the
+work is split: results are exact for any bucketing, because both sides of an
+operator take their widths from the same table and the carry rows bridge every
+bucket boundary. A key missed near the threshold simply stays in one bucket.
+There are at most ``total_rows / target_rows`` heavy keys, so the table is
+small by construction; it is written once below the shared checkpoint folder
+(one computation for every use) and its rows and bytes are counted before it
+is broadcast. Heavy keys get a bucket width that puts about ``target_rows`` of
 their rows into each time bucket; every other key keeps one bucket (0) and
-needs no carry rows at all.  Beyond ``max_heavy_keys`` heavy keys the plan
-falls back to one uniform width for all keys (no join).  Rows with a NULL time
-get a NULL bucket: they only ever meet each other.
+needs no carry rows at all. Beyond ``max_heavy_keys`` heavy keys (or the
+broadcast byte bound) the plan falls back to one uniform width for all keys
+(no join). Rows with a NULL time get a NULL bucket: they only ever meet each
+other.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronoleaf.operators.lookup import BROADCAST_MAX_BYTES, broadcast_size
 from chronoleaf.session import materialize
 
 TARGET_BUCKET_ROWS = 1_000_000
@@ -69,10 +71,10 @@ def plan_buckets(sources: list[DataFrame], keys: list[str], secs_col: str = "__s
         # a recomputed task) reads these widths from one written table, never a
         # second draw (one job; an RDD checkpoint would compute the sample twice)
         heavy = materialize(heavy, "heavy-keys")
-    n = heavy.limit(max_heavy_keys + 1).count()
+    n, size = broadcast_size(heavy, max_heavy_keys)
     if n == 0:
         return Bucketing("none")
-    if n <= max_heavy_keys:
+    if n <= max_heavy_keys and size <= BROADCAST_MAX_BYTES:
         return Bucketing("heavy", heavy=heavy)
     return Bucketing("uniform", width=uniform_seconds)
 
