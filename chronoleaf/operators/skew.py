@@ -66,14 +66,17 @@ def plan_buckets(sources: list[DataFrame], keys: list[str], secs_col: str = "__s
     span = F.coalesce(F.col("__hi") - F.col("__lo"), F.lit(0)) + F.lit(1)
     width = F.greatest(F.lit(1), F.ceil(span * F.lit(cut) / F.col("__n"))).cast("long")
     heavy = stats.select(*keys, width.alias("__w"))
+    n, size = broadcast_size(heavy, max_heavy_keys)
+    if n == 0:
+        return Bucketing("none")  # the usual case: one job, nothing written
     if fraction < 1.0:
         # a sample must be drawn once: every use (both join sides, the carry rows,
         # a recomputed task) reads these widths from one written table, never a
-        # second draw (one job; an RDD checkpoint would compute the sample twice)
+        # second draw (an RDD checkpoint would compute the sample twice)
         heavy = materialize(heavy, "heavy-keys")
-    n, size = broadcast_size(heavy, max_heavy_keys)
-    if n == 0:
-        return Bucketing("none")
+        n, size = broadcast_size(heavy, max_heavy_keys)
+        if n == 0:
+            return Bucketing("none")
     if n <= max_heavy_keys and size <= BROADCAST_MAX_BYTES:
         return Bucketing("heavy", heavy=heavy)
     return Bucketing("uniform", width=uniform_seconds)
