@@ -8,7 +8,8 @@ times give NULL features.  Right rows with a NULL key or time never match.
 
 Plan (``strategy="buckets"``, default): no range join and no pairs.  Left and
 right rows are unioned, shuffled once by (key, time bucket), sorted by time
-(right before left at equal time) and a running ``last(payload, ignorenulls)``
+(right before left at equal time; right rows tied on time in payload order, so
+a retried task picks the same row) and a running ``last(payload, ignorenulls)``
 hands each left row the newest preceding right row.  Ordinary keys have one
 bucket; hot keys are split into time buckets (see
 :mod:`chronoleaf.operators.skew`) and the newest right row *before* a bucket
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronoleaf.operators.skew import (TARGET_BUCKET_ROWS, Bucketing, attach_width, bucket_expr,
                                        plan_buckets)
@@ -82,8 +84,11 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
                      payload.alias("__p")))
     payload_type = rrows.schema["__p"].dataType
 
+    # right rows tied on (key, time): the greatest payload is "newest" (deterministic)
+    tie = [F.col("__p").asc_nulls_first()] if _orderable(payload_type) else []
     if strategy == "window":
-        w = (Window.partitionBy(*left_keys).orderBy(F.col("__time").asc_nulls_first(), "__o")
+        w = (Window.partitionBy(*left_keys)
+             .orderBy(F.col("__time").asc_nulls_first(), "__o", *tie)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         u = lrows.unionByName(rrows, allowMissingColumns=True)
         return _finish(u.select(*label_cols, "__o", F.last("__p", ignorenulls=True).over(w)
@@ -115,7 +120,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
                                  F.lit(None).cast(payload_type).alias("__p"),
                                  F.lit(True).alias("__l")))
             .groupBy(*left_keys, "__b")
-            .agg(F.max_by("__p", "__time").alias("__p"), F.max("__l").alias("__l"))
+            .agg(F.max_by("__p", F.struct("__time", "__p") if tie else F.col("__time"))
+                 .alias("__p"), F.max("__l").alias("__l"))
         )
         before = (Window.partitionBy(*left_keys).orderBy("__b")
                   .rowsBetween(Window.unboundedPreceding, -1))
@@ -125,12 +131,24 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
                  .select(*left_keys, "__b", F.lit(0).alias("__o"), "__p"))
         u = u.unionByName(carry, allowMissingColumns=True)
 
-    w = (Window.partitionBy(*left_keys, "__b").orderBy(F.col("__time").asc_nulls_first(), "__o")
+    w = (Window.partitionBy(*left_keys, "__b")
+         .orderBy(F.col("__time").asc_nulls_first(), "__o", *tie)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return _finish(u.select(*label_cols, "__o", F.last("__p", ignorenulls=True).over(w).alias("__p")),
                    label_cols, out_names)
 
 
+def _orderable(dt) -> bool:
+    """Spark can sort by this type (maps cannot be compared)."""
+    if isinstance(dt, T.MapType):
+        return False
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    return True
+
+
 def _all_not_null(cols):
     cond = F.lit(True)
     for c in cols:

@@ -87,3 +87,16 @@ def test_label_key_types_are_kept(spark):
     feats = _feats(spark, [(1, T0, 1.0, 2.0)])  # k is long here
     out = asof_join(labels, feats, "k", "k", "ts", "ts", ["f"])
     assert dict(out.dtypes)["k"] == "int" and out.first().f == 1.0
+
+
+@pytest.mark.parametrize("strategy,bucket", [("window", None), ("buckets", None), ("buckets", 60)])
+def test_feature_rows_tied_on_time_resolve_deterministically(spark, strategy, bucket):
+    # two feature rows share (key, time): the greatest payload wins, whatever the
+    # arrival order; also across a bucket boundary (carry rows)
+    t = T0 - timedelta(minutes=3)
+    labels = _labels(spark, [(1, 1, T0), (2, 1, t)])
+    for order in ([(1, t, 1.0, 9.0), (1, t, 2.0, 0.0)], [(1, t, 2.0, 0.0), (1, t, 1.0, 9.0)]):
+        feats = _feats(spark, order).repartition(3)
+        got = _by_id(asof_join(labels, feats, "k", "k", "ts", "ts", ["f", "g"], strategy=strategy,
+                               bucket_seconds=bucket))
+        assert (got[1].f, got[1].g) == (2.0, 0.0) and (got[2].f, got[2].g) == (2.0, 0.0)
