@@ -28,6 +28,9 @@ from chronoleaf.operators.skew import (TARGET_BUCKET_ROWS, Bucketing, attach_wid
                                        plan_buckets)
 
 
+NEVER_MATCH_GROUPS = 1024
+
+
 def _time_type(df: DataFrame, col: str):
     return df.schema[col].dataType
 
@@ -59,7 +62,7 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
     clash = set(out_names) & set(left.columns)
     if clash:
         raise ValueError(f"lookup output collides with label columns {sorted(clash)}; pass rename=")
-    internal = {"__o", "__time", "__b", "__p", "__s", "__w", "__l"}
+    internal = {"__o", "__time", "__b", "__p", "__s", "__w", "__l", "__g"}
     if internal & set(left.columns):
         raise ValueError(f"label columns may not use reserved names {sorted(internal)}")
 
@@ -107,6 +110,17 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
                             target_rows=target_rows)
     lrows = attach_width(lrows, plan, left_keys).withColumn("__b", bucket_expr("__s"))
     rrows = attach_width(rrows, plan, left_keys).withColumn("__b", bucket_expr("__s"))
+    # label rows with a NULL key or time can never match (such feature rows are
+    # dropped): instead of meeting in one window partition they are spread over
+    # NEVER_MATCH_GROUPS groups by a hash of the row; every other row (feature,
+    # carry, matchable label) keeps group NULL
+    never = F.col("__time").isNull()
+    for k in left_keys:
+        never = never | F.col(k).isNull()
+    hashable = [F.col(c) for c in label_cols if _orderable(left.schema[c].dataType)]
+    group = (F.when(never, F.lit(1) + F.pmod(F.xxhash64(*hashable), F.lit(NEVER_MATCH_GROUPS)))
+             if hashable else F.lit(None))
+    lrows = lrows.withColumn("__g", group.cast("long"))
     u = lrows.unionByName(rrows, allowMissingColumns=True)
 
     if plan.mode != "none":
@@ -131,7 +145,7 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
                  .select(*left_keys, "__b", F.lit(0).alias("__o"), "__p"))
         u = u.unionByName(carry, allowMissingColumns=True)
 
-    w = (Window.partitionBy(*left_keys, "__b")
+    w = (Window.partitionBy(*left_keys, "__b", "__g")
          .orderBy(F.col("__time").asc_nulls_first(), "__o", *tie)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return _finish(u.select(*label_cols, "__o", F.last("__p", ignorenulls=True).over(w).alias("__p")),

@@ -100,3 +100,17 @@ def test_feature_rows_tied_on_time_resolve_deterministically(spark, strategy, bu
         got = _by_id(asof_join(labels, feats, "k", "k", "ts", "ts", ["f", "g"], strategy=strategy,
                                bucket_seconds=bucket))
         assert (got[1].f, got[1].g) == (2.0, 0.0) and (got[2].f, got[2].g) == (2.0, 0.0)
+
+
+@pytest.mark.parametrize("bucket", [None, 60])
+def test_never_matching_labels_spread_and_stay_null(spark, bucket):
+    # 300 label rows of key 1 without a time (plus NULL-key rows) cannot match:
+    # they are spread over hash groups and keep NULL features; timed rows still match
+    rows = [(i, 1, None) for i in range(300)] + [(1000 + i, None, T0) for i in range(50)] + \
+        [(2000, 1, T0), (2001, 1, T0 - timedelta(days=2))]
+    labels = _labels(spark, rows)
+    feats = _feats(spark, [(1, T0 - timedelta(days=1), 5.0, 6.0), (None, T0, 7.0, 8.0)])
+    got = _by_id(asof_join(labels, feats, "k", "k", "ts", "ts", ["f"], bucket_seconds=bucket))
+    assert len(got) == len(rows)
+    assert all(got[i].f is None for i in range(300)) and all(got[1000 + i].f is None for i in range(50))
+    assert got[2000].f == 5.0 and got[2001].f is None
