@@ -29,8 +29,11 @@ from chronoleaf.llm.common import col, table, without
 from chronoleaf.session import materialize, scratch_dir
 
 BYTES_PER_TRIGGER = 64 << 30   # digests that one micro-batch takes
-_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: state on disk; no file space taken in advance, which many small stores would waste
+_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def normalized(text: Column) -> Column:
@@ -54,8 +57,9 @@ def _streamed_state(spark: SparkSession, rows: DataFrame, bytes_per_trigger: int
     """digest, keep (least struct(no id, id, place)) and n, from the state of a drained stream over ``rows``."""
     path, checkpoint = scratch_dir(spark, "dedup-digests"), scratch_dir(spark, "dedup-state")
     rows.write.parquet(path)
-    before = spark.conf.get(_STORE)
-    spark.conf.set(_STORE, _ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in _STATE_CONF}
+    for k, v in _STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         stream = (spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", str(bytes_per_trigger)).parquet(path)
                   .groupBy("digest")
@@ -71,7 +75,11 @@ def _streamed_state(spark: SparkSession, rows: DataFrame, bytes_per_trigger: int
         return materialize(state.select("key.digest", F.col("value.min").alias("keep"), F.col("value.count").alias("n")),
                            "dedup-groups")
     finally:
-        spark.conf.set(_STORE, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256,
