@@ -59,6 +59,10 @@ END_ID = 1
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 
 
+_STOP = re.compile(rb"(?<=[a-z])(?=[,.])")
+_COMBINING = re.compile(rb"\xcc|\xcd[\x80-\xaf]")   # U+0300 to U+036F
+
+
 class Encoder:
     """ids of whole texts as the tokenizers library gives them, special tokens not added."""
 
@@ -77,6 +81,8 @@ class Encoder:
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.cache: dict[bytes, bytes] = {}
+        # case and the place between a letter and a comma or full stop do not matter: fewer distinct words
+        self.folds = self.by_word and self._ids(["Ab, cD."]) == self._ids(["ab , cd ."])
         if self.by_word:
             self.piece = regex.compile(split["pattern"]["Regex"])
             self.ends = np.zeros(self.tok.get_vocab_size(), bool)
@@ -86,6 +92,9 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces(self, word: str) -> int:
+        return len(self.piece.findall(self.tok.normalizer.normalize_str(word) if self.tok.normalizer else word))
+
     def _learn(self, words: list[bytes]) -> None:
         """Encode unknown words many at a time, and part the ids by the words' own pieces."""
         plain, odd = [], []
@@ -95,10 +104,9 @@ class Encoder:
             (plain if max(text) < "ɐ" and len(text) < 200 else odd).append((w, text))
         for at in range(0, len(plain), 512):
             part = plain[at:at + 512]
-            clean = [self.tok.normalizer.normalize_str(t) for _, t in part] if self.tok.normalizer else [t for _, t in part]
             ids = np.array(self.tok.encode_batch_fast([" ".join(t for _, t in part)], add_special_tokens=False)[0].ids, np.int64)
             cut = np.flatnonzero(self.ends[ids]) + 1
-            pieces = np.cumsum([len(self.piece.findall(t)) for t in clean])
+            pieces = np.cumsum([1 if t.isalpha() else self._pieces(t) for _, t in part])
             if len(cut) != pieces[-1] or (len(cut) and cut[-1] != len(ids)):
                 odd += part
                 continue
@@ -110,11 +118,16 @@ class Encoder:
         for (w, _), ids in zip(odd, self._ids([t for _, t in odd])):
             self.cache[w] = ids
 
+    def _words(self, text: bytes) -> list[bytes]:
+        if self.folds and not _COMBINING.search(text):   # a mark may compose with a small letter only
+            text = _STOP.sub(b" ", text.lower())
+        return text.split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text, ``width`` bytes each."""
         if not self.by_word:
             return self._ids(texts)
-        parts = [t.encode("utf-8", "replace").split() for t in texts]
+        parts = [self._words(t.encode("utf-8", "replace")) for t in texts]
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
         self._learn(list(set().union(*parts).difference(self.cache)))
