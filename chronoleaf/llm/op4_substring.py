@@ -47,8 +47,8 @@ from chronoleaf.llm.common import shuffle_partitions, table
 
 WINDOW = 20
 ANCHOR = 4                      # words in an anchor
-CHUNK_BYTES = 8 << 20           # text handled at once in a scan task
-BUCKET_BYTES = 24 << 20         # text of one bucket
+CHUNK_BYTES = 6 << 20           # text handled at once in a scan task
+BUCKET_BYTES = 14 << 20         # text of one bucket
 SHIPPED = 3.5                   # shipped text per input text before pre-aggregation, about
 _IDX = np.uint64((1 << 32) - 1)
 _NULL_ID = np.iinfo(np.int64).min
@@ -118,7 +118,7 @@ def _split(ids: list[int], texts: list[bytes], buckets: int, window: int) -> Ite
     bucket = ((gram[anchor[head[ship]]] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
     by = np.argsort(bucket, kind="stable")
     ship, bucket = ship[by], bucket[by]
-    packer = zstandard.ZstdCompressor(level=1)
+    packer = zstandard.ZstdCompressor(level=3)
     owner = doc[left]
     for b, own in zip(*_groups(bucket, ship)):
         fixed = (ids[owner[own]].astype("<i8"), (left[own] - first_word[owner[own]]).astype("<u4"), n[own].astype("<u1"))
