@@ -28,9 +28,6 @@ from chronoleaf.operators.skew import (TARGET_BUCKET_ROWS, Bucketing, attach_wid
                                        plan_buckets)
 
 
-NEVER_MATCH_GROUPS = 1024
-
-
 def _time_type(df: DataFrame, col: str):
     return df.schema[col].dataType
 
@@ -62,7 +59,7 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
     clash = set(out_names) & set(left.columns)
     if clash:
         raise ValueError(f"lookup output collides with label columns {sorted(clash)}; pass rename=")
-    internal = {"__o", "__time", "__b", "__p", "__s", "__w", "__l", "__g"}
+    internal = {"__o", "__time", "__b", "__p", "__s", "__w", "__u", "__l"}
     if internal & set(left.columns):
         raise ValueError(f"label columns may not use reserved names {sorted(internal)}")
 
@@ -99,28 +96,22 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
     if strategy != "buckets":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    lrows = lrows.withColumn("__s", secs("__time"))
+    # label rows with a NULL key or time can never match (such feature rows are
+    # dropped): they go straight to the result and take no part in the shuffle
+    can_match = _all_not_null([*left_keys, "__time"])
+    misses = lrows.where(~can_match).withColumn("__p", F.lit(None).cast(payload_type))
+    lrows = lrows.where(can_match).withColumn("__s", secs("__time"))
     rrows = rrows.withColumn("__s", secs("__time"))
     if bucket_seconds:
         plan = Bucketing("uniform", width=int(bucket_seconds))
     else:
         src = left_key_source if left_key_source is not None else left
-        plan = plan_buckets([src.select(*left_keys, secs(left_ts).alias("__s")),
+        plan = plan_buckets([src.where(_all_not_null([*left_keys, left_ts]))
+                             .select(*left_keys, secs(left_ts).alias("__s")),
                              rrows.select(*left_keys, "__s")], left_keys, "__s",
                             target_rows=target_rows)
-    lrows = attach_width(lrows, plan, left_keys).withColumn("__b", bucket_expr("__s"))
-    rrows = attach_width(rrows, plan, left_keys).withColumn("__b", bucket_expr("__s"))
-    # label rows with a NULL key or time can never match (such feature rows are
-    # dropped): instead of meeting in one window partition they are spread over
-    # NEVER_MATCH_GROUPS groups by a hash of the row; every other row (feature,
-    # carry, matchable label) keeps group NULL
-    never = F.col("__time").isNull()
-    for k in left_keys:
-        never = never | F.col(k).isNull()
-    hashable = [F.col(c) for c in label_cols if _orderable(left.schema[c].dataType)]
-    group = (F.when(never, F.lit(1) + F.pmod(F.xxhash64(*hashable), F.lit(NEVER_MATCH_GROUPS)))
-             if hashable else F.lit(None))
-    lrows = lrows.withColumn("__g", group.cast("long"))
+    lrows = attach_width(lrows, plan, left_keys).withColumn("__b", bucket_expr(plan, "__s"))
+    rrows = attach_width(rrows, plan, left_keys).withColumn("__b", bucket_expr(plan, "__s"))
     u = lrows.unionByName(rrows, allowMissingColumns=True)
 
     if plan.mode != "none":
@@ -145,11 +136,11 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
                  .select(*left_keys, "__b", F.lit(0).alias("__o"), "__p"))
         u = u.unionByName(carry, allowMissingColumns=True)
 
-    w = (Window.partitionBy(*left_keys, "__b", "__g")
+    w = (Window.partitionBy(*left_keys, "__b")
          .orderBy(F.col("__time").asc_nulls_first(), "__o", *tie)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return _finish(u.select(*label_cols, "__o", F.last("__p", ignorenulls=True).over(w).alias("__p")),
-                   label_cols, out_names)
+    found = u.select(*label_cols, "__o", F.last("__p", ignorenulls=True).over(w).alias("__p"))
+    return _finish(found.unionByName(misses.select(*label_cols, "__o", "__p")), label_cols, out_names)
 
 
 def _orderable(dt) -> bool:

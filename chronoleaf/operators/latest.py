@@ -52,7 +52,7 @@ def fold_recent(snapshot: DataFrame, recent: DataFrame, keys, order_by, columns,
     keys = [keys] if isinstance(keys, str) else list(keys)
     columns = [c for c in columns if c not in keys]
     changed = recent.select(*keys).distinct()
-    n, size = broadcast_size(changed, max_keys)
+    n, size = broadcast_size(changed)
     if n == 0:
         return snapshot.select(*keys, *columns)
     if n > max_keys or size > BROADCAST_MAX_BYTES:

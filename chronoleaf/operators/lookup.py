@@ -1,11 +1,13 @@
 """Equality lookups without time: static dimension (J4) and latest snapshot.
 
 A left join that keeps every left row once (the right side is unique on its
-keys).  The right side is broadcast only when one bounded pass proves it has
-at most ``broadcast_max_rows`` rows and at most ``broadcast_max_bytes`` bytes
+keys).  The right side is broadcast only when it is proven to have at most
+``broadcast_max_rows`` rows and at most ``broadcast_max_bytes`` bytes
 (fixed-width columns by type, strings and nested values by their actual
 length); otherwise the join is left to Spark (sort-merge or, with AQE, a
-runtime broadcast/skew split).
+runtime broadcast/skew split).  A plain scan whose files are plainly too large
+is turned away by their size, unread; anything else is counted with partial
+aggregation, so each task hands on one row.
 """
 
 from __future__ import annotations
@@ -42,14 +44,21 @@ def _byte_terms(df: DataFrame):
     return fixed, var
 
 
-def broadcast_size(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[int, int]:
-    """(rows, bytes) of ``df``, counting at most ``max_rows + 1`` rows (one bounded pass)."""
+def _scanned_bytes(df: DataFrame) -> int | None:
+    """Size of the files behind ``df`` if its optimised plan is a bare scan with projections, else None."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() == "Project":
+        plan = plan.child()
+    return int(str(plan.stats().sizeInBytes())) if plan.nodeName().startswith("LogicalRelation") else None
+
+
+def broadcast_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df``: one pass, one partial row from each task."""
     fixed, var = _byte_terms(df)
     total = F.lit(0).cast("long")
     for v in var:
         total = total + v.cast("long")
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                      F.coalesce(F.sum(total), F.lit(0)).alias("b")).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(total), F.lit(0)).alias("b")).first()
     return int(row["n"]), int(row["n"]) * fixed + int(row["b"])
 
 
@@ -58,9 +67,12 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     """``broadcast(df)`` if it has at most ``max_rows`` rows and ``max_bytes`` bytes,
     else ``df`` unchanged (Spark then picks a shuffled join).
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap on a huge side.
+    A scan whose files alone pass the byte bound is not read.
     """
-    n, size = broadcast_size(df, max_rows)
+    files = _scanned_bytes(df)
+    if files is not None and files > max_bytes:
+        return df
+    n, size = broadcast_size(df)
     return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 

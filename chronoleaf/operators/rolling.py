@@ -20,7 +20,10 @@ Strategies
     key x bucket), unioned in, not joined.  Cost: one scan for the per-key
     statistics, one wide shuffle of ~(1 + #lengths) narrow events per row,
     linear running windows; a hot key spreads over its buckets.
-    Fractional sums run in fixed point (decimal) so that subtraction is exact.
+    Fractional sums run in parts that add and subtract exactly (see ``_parts``),
+    so nothing of the input is rounded away and no error builds up.  Rows with a
+    NULL time of a hot key are dealt into salted buckets; each bucket's carry row
+    holds the total of the others.
 
 ``"window"``:
     the plain built-in ``rangeBetween`` window (one shuffle by key).  Kept as the
@@ -37,8 +40,8 @@ from pyspark.sql import types as T
 
 from chronoleaf.functions._util import as_col
 from chronoleaf.functions.time import epoch_seconds
-from chronoleaf.operators.skew import (TARGET_BUCKET_ROWS, Bucketing, attach_width, bucket_expr,
-                                       plan_buckets)
+from chronoleaf.operators.skew import (FIRST_BUCKET, TARGET_BUCKET_ROWS, Bucketing, attach_width,
+                                       bucket_expr, plan_buckets)
 
 
 @dataclass(frozen=True)
@@ -49,7 +52,6 @@ class Rolling:
     seconds: int
     kind: str = "sum"
     value: object = None  # column name or Column; None with kind="count" -> count(*)
-    scale: int | None = None  # fixed-point digits for fractional sums
 
     def __post_init__(self):
         if self.kind not in ("sum", "count"):
@@ -60,16 +62,52 @@ class Rolling:
             raise ValueError("window length must be >= 0 seconds")
 
 
-def rolling_sum(name: str, value, seconds: int, scale: int | None = None) -> Rolling:
-    return Rolling(name, int(seconds), "sum", value, scale)
+def rolling_sum(name: str, value, seconds: int) -> Rolling:
+    return Rolling(name, int(seconds), "sum", value)
 
 
 def rolling_count(name: str, seconds: int, value=None) -> Rolling:
     return Rolling(name, int(seconds), "count", value)
 
 
+_HIGH, _LOW = 2.0 ** 40, 2.0 ** 60
+_RANGE = 2.0 ** 90
+
+
+def _parts(v):
+    """A double as parts whose sums are exact: multiples of 2^40; the rest to 18
+    decimal places; what those places leave, scaled by 2^60; counts of NaN, +Inf
+    and -Inf, as NULL values have a count of their own.  Scaling by powers of two
+    loses nothing; the finest place is about 9e-37.  A value that the parts cannot
+    hold (at least 2^90, or below 2^-90 and not zero) raises instead of being
+    rounded."""
+    v = v.cast("double")
+    size = F.abs(v)
+    finite = (F.when(F.isnan(v) | (size == float("inf")), F.lit(None).cast("double"))
+              .when((size >= _RANGE) | ((size > 0) & (size < 1 / _RANGE)), F.raise_error(F.concat(
+                  F.lit("rolling sum: value outside 2^-90 .. 2^90: "), v.cast("string"))).cast("double"))
+              .otherwise(v))
+    high = F.when(finite >= 0, F.floor(finite / _HIGH)).otherwise(F.ceil(finite / _HIGH))
+    rest = finite - high * F.lit(_HIGH)
+    places = rest.cast("decimal(31,18)")
+    fine = ((rest - places.cast("double")) * F.lit(_LOW)).cast("decimal(31,18)")
+    kinds = [F.isnan(v), v == float("inf"), v == float("-inf")]
+    return ([(high.cast("decimal(28,0)"), T.DecimalType(28, 0)), (places, T.DecimalType(31, 18)),
+             (fine, T.DecimalType(31, 18))]
+            + [(F.when(k, F.lit(1)).otherwise(F.lit(0)).cast("long"), T.LongType()) for k in kinds])
+
+
+def _joined(high, places, fine, nan, up, down):
+    def num(c):
+        return F.coalesce(c.cast("double"), F.lit(0.0))
+
+    return (F.when((nan > 0) | ((up > 0) & (down > 0)), F.lit(float("nan")))
+            .when(up > 0, F.lit(float("inf"))).when(down > 0, F.lit(float("-inf")))
+            .otherwise(num(places) + num(fine) / F.lit(_LOW) + num(high) * F.lit(_HIGH)))
+
+
 def _prepared_values(df: DataFrame, aggs: list[Rolling]):
-    """Per aggregate: (entry value column, its type, nullable, finaliser)."""
+    """Per aggregate: (parts: [(column, type)], nullable, function of the summed parts)."""
     out = []
     probe_cols = [as_col(a.value).alias(f"__probe{i}") for i, a in enumerate(aggs)
                   if a.value is not None]
@@ -82,23 +120,42 @@ def _prepared_values(df: DataFrame, aggs: list[Rolling]):
             j += 1
         if a.kind == "count":
             v = F.lit(1) if a.value is None else F.when(as_col(a.value).isNotNull(), 1).otherwise(0)
-            out.append((v.cast("long"), T.LongType(), False, lambda c: c))
+            out.append(([(v.cast("long"), T.LongType())], False, lambda c: F.coalesce(c, F.lit(0).cast("long"))))
             continue
         dt = field.dataType
         if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            out.append((as_col(a.value).cast("long"), T.LongType(), field.nullable, lambda c: c))
+            out.append(([(as_col(a.value).cast("long"), T.LongType())], field.nullable, lambda c: c))
         elif isinstance(dt, T.DecimalType):
-            out.append((as_col(a.value), dt, field.nullable, lambda c: c))
+            out.append(([(as_col(a.value), dt)], field.nullable, lambda c: c))
         elif isinstance(dt, (T.FloatType, T.DoubleType)):
-            scale = 6 if a.scale is None else a.scale
-            fixed = T.DecimalType(18, scale)
-            out.append((as_col(a.value).cast(fixed), fixed, field.nullable,
-                        lambda c: c.cast("double")))
+            out.append((_parts(as_col(a.value)), field.nullable, _joined))
         else:
             raise TypeError(f"cannot sum column of type {dt.simpleString()}")
     return out
 
 
+def _slots(aggs, prepared):
+    """(slot name, aggregate index, column, type) of every running sum; a nullable sum has a counter too."""
+    slots = []
+    for i, (a, (parts, nullable, _)) in enumerate(zip(aggs, prepared)):
+        slots += [(f"__v{i}_{k}", i, v, dt) for k, (v, dt) in enumerate(parts)]
+        if a.kind == "sum" and nullable:
+            known = as_col(a.value).isNotNull()
+            slots.append((f"__n{i}", i, F.when(known, F.lit(1)).otherwise(F.lit(0)).cast("long"), T.LongType()))
+    return slots
+
+
+def _results(aggs, prepared, slots):
+    names = {s[0] for s in slots}
+    outs = []
+    for i, (a, (parts, _nullable, join)) in enumerate(zip(aggs, prepared)):
+        c = join(*[F.col(f"__v{i}_{k}") for k in range(len(parts))])
+        if f"__n{i}" in names:
+            c = F.when(F.col(f"__n{i}") > 0, c)
+        outs.append(c.alias(a.name))
+    return outs
+
+
 def rolling_aggregate(df: DataFrame, keys, ts, aggs: list[Rolling], *, strategy: str = "events",
                       bucket_seconds: int | None = None,
                       target_rows: int = TARGET_BUCKET_ROWS) -> DataFrame:
@@ -114,6 +171,9 @@ def rolling_aggregate(df: DataFrame, keys, ts, aggs: list[Rolling], *, strategy:
     clash = {a.name for a in aggs} & set(df.columns)
     if clash:
         raise ValueError(f"output columns already exist: {sorted(clash)}")
+    own = [c for c in [*df.columns, *(a.name for a in aggs)] if c.startswith("__")]
+    if own:
+        raise ValueError(f"column names starting with two underscores are reserved: {own}")
     if strategy == "window":
         return _by_window(df, keys, ts, aggs)
     if strategy == "events":
@@ -123,17 +183,11 @@ def rolling_aggregate(df: DataFrame, keys, ts, aggs: list[Rolling], *, strategy:
 
 def _by_window(df, keys, ts, aggs):
     prepared = _prepared_values(df, aggs)
-    t = epoch_seconds(ts)
-    out = df.withColumn("__t", t)
-    by_len = {}
-    for a in aggs:
-        by_len.setdefault(a.seconds, Window.partitionBy(*keys).orderBy("__t")
-                          .rangeBetween(-a.seconds, 0))
-    cols = []
-    for a, (v, _dt, _nullable, fin) in zip(aggs, prepared):
-        w = by_len[a.seconds]
-        cols.append(fin(F.sum(v).over(w)).alias(a.name))
-    return out.select(*df.columns, *cols)
+    slots = _slots(aggs, prepared)
+    out = df.withColumn("__t", epoch_seconds(ts)).withColumns({n: v for n, _, v, _ in slots})
+    by_len = {a.seconds: Window.partitionBy(*keys).orderBy("__t").rangeBetween(-a.seconds, 0) for a in aggs}
+    summed = out.select(*df.columns, *[F.sum(n).over(by_len[aggs[i].seconds]).alias(n) for n, i, _, _ in slots])
+    return summed.select(*df.columns, *_results(aggs, prepared, slots))
 
 
 def _by_events(df, keys, ts, aggs, bucket_seconds, target_rows):
@@ -149,65 +203,64 @@ def _by_events(df, keys, ts, aggs, bucket_seconds, target_rows):
     else:
         plan = plan_buckets([base], keys, "__t", target_rows=target_rows)
     base = attach_width(base, plan, keys)
-
-    # value slots: one per aggregate, plus a non-NULL counter for nullable sums
-    slots = []  # (slot name, agg index, type, is_nonnull_counter)
-    for i, (a, (_v, dt, nullable, _fin)) in enumerate(zip(aggs, prepared)):
-        slots.append((f"__v{i}", i, dt, False))
-        if a.kind == "sum" and nullable:
-            slots.append((f"__n{i}", i, T.LongType(), True))
+    base = base.withColumn("__salt", _row_hash(df, payload_cols) if plan.mode == "heavy" else F.lit(0).cast("long"))
+    slots = _slots(aggs, prepared)
 
     def slot_value(slot, sign, length):
-        name, i, dt, is_counter = slot
+        name, i, v, dt = slot
         if length is not None and aggs[i].seconds != length:
             return F.lit(None).cast(dt).alias(name)
-        v = prepared[i][0]
-        if is_counter:
-            v = F.when(v.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
         return (v if sign > 0 else -v).cast(dt).alias(name)
 
-    payload = F.struct(*([F.col(c) for c in payload_cols] or [F.lit(True).alias("__x")]))
+    payload = F.struct(*([F.col(f"`{c}`") for c in payload_cols] or [F.lit(True).alias("__x")]))
     payload_type = base.select(payload.alias("p")).schema["p"].dataType
-    entry = F.struct(F.col("__t").alias("at"), F.lit(True).alias("entry"),
-                     *[slot_value(s, +1, None) for s in slots], payload.alias("p"))
-    exits = [F.struct((F.col("__t") + F.lit(n + 1)).alias("at"), F.lit(False).alias("entry"),
+    entry = F.struct(F.col("__t").alias("__at"), F.lit(True).alias("__entry"),
+                     *[slot_value(s, +1, None) for s in slots], payload.alias("__p"))
+    exits = [F.struct((F.col("__t") + F.lit(n + 1)).alias("__at"), F.lit(False).alias("__entry"),
                       *[slot_value(s, -1, n) for s in slots],
-                      F.lit(None).cast(payload_type).alias("p"))
+                      F.lit(None).cast(payload_type).alias("__p"))
              for n in lengths]
     events = (
-        base.select(*keys, "__w", F.explode(F.array(entry, *exits)).alias("e"))
-        .where(F.col("e.entry") | F.col("e.at").isNotNull())
-        .select(*keys, "__w", "e.*")
-        .withColumn("__b", bucket_expr("at"))
+        base.select(*keys, "__w", "__u", "__salt", F.explode(F.array(entry, *exits)).alias("__e"))
+        .where(F.col("__e.__entry") | F.col("__e.__at").isNotNull())
+        .select(*keys, "__w", "__u", "__salt", "__e.*")
+        .withColumn("__b", bucket_expr(plan, "__at", F.col("__salt")))
+        .drop("__u", "__salt")
     )
     slot_names = [s[0] for s in slots]
 
     if plan.mode != "none":
-        # carry rows, only for keys split into several buckets: per (key, bucket)
-        # the total of all earlier buckets of the key
+        # carry rows, only for keys split into several buckets: the total of all
+        # earlier buckets of the key, or for NULL times of all its other buckets
         totals = (events.where(F.col("__w").isNotNull() & F.col("__b").isNotNull())
-                  .groupBy(*keys, "__b").agg(*[F.sum(s).alias(s) for s in slot_names]))
-        earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-        carry = (totals.select(*keys, "__b", F.count(F.lit(1)).over(earlier).alias("__k"),
-                               *[F.sum(s).over(earlier).alias(s) for s in slot_names])
+                  .groupBy(*keys, "__b").agg(*[F.sum(s).alias(s) for s in slot_names])
+                  .withColumn("__z", F.col("__b") < F.lit(FIRST_BUCKET)))
+        every = Window.partitionBy(*keys, "__z")
+        earlier = every.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+
+        def carried(s):
+            others = F.coalesce(F.sum(s).over(every), F.lit(0)) - F.coalesce(F.col(s), F.lit(0))
+            return F.when(F.col("__z"), others).otherwise(F.sum(s).over(earlier)).cast(events.schema[s].dataType).alias(s)
+
+        one = F.lit(1)
+        carry = (totals.select(*keys, "__b", F.when(F.col("__z"), F.count(one).over(every) - 1)
+                               .otherwise(F.count(one).over(earlier)).alias("__k"), *[carried(s) for s in slot_names])
                  .where(F.col("__k") > 0)
-                 .select(*keys, F.lit(None).cast("long").alias("__w"),
-                         F.lit(None).cast("long").alias("at"), F.lit(False).alias("entry"),
-                         *slot_names, F.lit(None).cast(payload_type).alias("p"), "__b"))
+                 .select(*keys, F.lit(None).cast(events.schema["__w"].dataType).alias("__w"),
+                         F.lit(None).cast("long").alias("__at"), F.lit(False).alias("__entry"),
+                         *slot_names, F.lit(None).cast(payload_type).alias("__p"), "__b"))
         events = events.unionByName(carry)
 
-    running = (Window.partitionBy(*keys, "__b").orderBy(F.col("at").asc_nulls_first())
+    running = (Window.partitionBy(*keys, "__b").orderBy(F.col("__at").asc_nulls_first())
                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    summed = events.select(*keys, "entry", "p",
+    summed = events.select(*keys, "__entry", "__p",
                            *[F.sum(s).over(running).alias(s) for s in slot_names])
+    return summed.where("__entry").select(
+        *[F.col(f"`{c}`") if c in keys else F.col(f"__p.`{c}`").alias(c) for c in df.columns],
+        *_results(aggs, prepared, slots))
 
-    outs = []
-    for i, (a, (_v, _dt, _nullable, fin)) in enumerate(zip(aggs, prepared)):
-        c = F.col(f"__v{i}")
-        if f"__n{i}" in slot_names:
-            c = F.when(F.col(f"__n{i}") > 0, c)
-        if a.kind == "count":
-            c = F.coalesce(c, F.lit(0).cast("long"))
-        outs.append(fin(c).alias(a.name))
-    return summed.where("entry").select(
-        *[F.col(c) if c in keys else F.col(f"p.{c}").alias(c) for c in df.columns], *outs)
+
+def _row_hash(df, columns):
+    """Deals equal-key rows without a time; rows equal in every column share a bucket."""
+    usable = [F.col(f"`{c}`") for c in columns if "map<" not in df.schema[c].dataType.simpleString()]
+    return F.xxhash64(*usable) if usable else F.lit(0).cast("long")

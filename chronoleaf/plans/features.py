@@ -16,7 +16,6 @@ from chronoleaf.operators.rolling import rolling_aggregate, rolling_count, rolli
 # Fixed values of the reference's feature definitions
 WEEK_SECONDS = 7 * SECONDS_PER_DAY
 SIX_MONTHS_SECONDS = 6 * 30 * SECONDS_PER_DAY
-PRICE_SCALE = 2  # prices are money: summed exactly in cents
 
 
 def user_features(log: DataFrame, *, strategy: str = "events",
@@ -26,7 +25,7 @@ def user_features(log: DataFrame, *, strategy: str = "events",
                      flag01("purchased").alias("tickets_purchased"))
     rolled = rolling_aggregate(
         src, ["user_id"], "ts",
-        [rolling_sum("lookedup_price_7d_rolling_sum", "price", WEEK_SECONDS, scale=PRICE_SCALE),
+        [rolling_sum("lookedup_price_7d_rolling_sum", "price", WEEK_SECONDS),
          rolling_count("lookups_7d_rolling_sum", WEEK_SECONDS),
          rolling_sum("last_6m_purchases", "tickets_purchased", SIX_MONTHS_SECONDS)],
         strategy=strategy, bucket_seconds=bucket_seconds)

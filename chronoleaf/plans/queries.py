@@ -24,7 +24,7 @@ from chronoleaf.operators.rolling import rolling_aggregate, rolling_count, rolli
 from chronoleaf.operators.split import hash_split, time_split
 from chronoleaf.operators.stats import accuracy_col, duplicate_keys, exact_medians, fill_with
 from chronoleaf.plans.catalog import FeatureCatalog
-from chronoleaf.plans.features import (PRICE_SCALE, SIX_MONTHS_SECONDS, WEEK_SECONDS,
+from chronoleaf.plans.features import (SIX_MONTHS_SECONDS, WEEK_SECONDS,
                                        destination_features, user_features)
 from chronoleaf.plans.model import ModelRegistry, OnDemandModel, threshold_predictions
 from chronoleaf.plans.ondemand import LOCATION_COLUMNS, add_distance, distance_sql
@@ -197,7 +197,7 @@ def _one_rolling(spark, sf_dir, keys, agg):
     "AS lookedup_price_7d_rolling_sum", "user_id"))
 def q_rolling_sum_price(spark, sf_dir):
     return _one_rolling(spark, sf_dir, ["user_id"], rolling_sum(
-        "lookedup_price_7d_rolling_sum", "price", WEEK_SECONDS, scale=PRICE_SCALE))
+        "lookedup_price_7d_rolling_sum", "price", WEEK_SECONDS))
 
 
 @query("rolling_count_user", _rolling_sql(
@@ -243,12 +243,20 @@ def q_rolling_mean_price(spark, sf_dir):
     src = e.select("event_id", "user_id", "ts",
                    F.when(F.col("event_type") != "error", F.col("value")).alias("price"))
     out = rolling_aggregate(src, ["user_id"], "ts", [
-        rolling_sum("s7", "price", WEEK_SECONDS, scale=PRICE_SCALE),
+        rolling_sum("s7", "price", WEEK_SECONDS),
         rolling_count("n7", WEEK_SECONDS)])
     return out.select("event_id", "user_id", "ts",
                       (F.col("s7") / F.col("n7")).alias("mean_price_7d"))
 
 
+@query("rolling_sum_fractional", _rolling_sql(
+    "event_id, user_id, ts, round(sum(price / 7) OVER w7, 6) AS sevenths_7d", "user_id"))
+def q_rolling_sum_fractional(spark, sf_dir):
+    out = rolling_aggregate(_log(spark, sf_dir).select("event_id", "user_id", "ts", (F.col("price") / 7).alias("seventh")),
+                            ["user_id"], "ts", [rolling_sum("s", "seventh", WEEK_SECONDS)])
+    return out.select("event_id", "user_id", "ts", F.round("s", 6).alias("sevenths_7d"))
+
+
 # ---------------------------------------------------------------- P: projections / filters
 @query("flag_null_safe", _with(LOG_CTE) + """SELECT l.event_id,
   CASE WHEN e.event_type = 'error' THEN NULL ELSE l.purchased END AS purchased,

@@ -8,6 +8,7 @@ of our own is set only when the session has none (tests, laptops).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -51,7 +52,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/").rsplit("/", 1)[0]
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             # a machine-local folder would vanish with its executor: never on a cluster
             raise RuntimeError("set spark.checkpoint.dir to a shared, durable folder")
         root = tempfile.mkdtemp(prefix="chronoleaf-ckpt-")

@@ -18,9 +18,21 @@ def test_broadcast_size_counts_rows_and_string_bytes(spark):
     assert size == 3 * (ROW_OVERHEAD_BYTES + 5 + 8) + 3 + 2
 
 
-def test_broadcast_size_stops_after_the_row_bound(spark):
-    n, _ = broadcast_size(spark.range(1000), max_rows=10)
-    assert n == 11
+def test_large_files_are_turned_away_unread(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20_000).write.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("size-check", "")
+    assert not _hinted(checked_broadcast(spark.read.parquet(path), max_bytes=1000))
+    jobs = tracker.getJobIdsForGroup("size-check")
+    assert _hinted(checked_broadcast(spark.read.parquet(path)))
+    assert len(tracker.getJobIdsForGroup("size-check")) > len(jobs)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_size_check_sends_one_row_per_task(spark):
+    plan = spark.range(1000).agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "Limit" not in plan
 
 
 def test_checked_broadcast_needs_both_bounds(spark):

@@ -4,25 +4,25 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from chronoleaf.plans.queries import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_cross_join_or_python(spark, name):
-    df = E.queries()[name](spark, "/root/testdata/sf0.001")
+    df = QUERIES[name](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     bad = [op for op in FORBIDDEN if op in plan]
     assert not bad, f"{name} plan contains {bad}"
 
 
 def test_pushdown_and_pruning_reach_the_scan(spark):
-    df = E.queries()["split_before"](spark, "/root/testdata/sf0.001")
+    df = QUERIES["split_before"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), LessThan(ts,2024-01-23" in plan
-    df = E.queries()["asof_user"](spark, "/root/testdata/sf0.001")
+    df = QUERIES["asof_user"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     # the feature side reads only the columns the lookup needs
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
@@ -37,7 +37,7 @@ def _count(plan: str, op: str) -> int:
 def test_one_shuffle_one_sort_one_window(spark, name):
     # all window lengths of a feature group (or both sides of an as-of) share one
     # exchange by key and one sort; ordinary keys need no carry rows
-    plan = E.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution() \
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution() \
         .executedPlan().toString()
     assert _count(plan, r"Exchange hashpartitioning") == 1
     assert _count(plan, r"Sort \[") == 1
@@ -45,6 +45,6 @@ def test_one_shuffle_one_sort_one_window(spark, name):
 
 
 def test_dimension_lookup_is_broadcast_without_shuffle(spark):
-    plan = E.queries()["lookup_location"](spark, "/root/testdata/sf0.001")._jdf.queryExecution() \
+    plan = QUERIES["lookup_location"](spark, "/root/testdata/sf0.001")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

@@ -1,5 +1,6 @@
 """Rolling windows: frame edges, peers, NULLs, and both strategies against a brute-force loop."""
 
+import math
 from datetime import datetime, timedelta
 
 import pytest
@@ -17,7 +18,7 @@ def _run(spark, rows, strategy, bucket=3600, secs=604800):
     # the uniform bucket width exercises the carry rows of split keys
     df = spark.createDataFrame(rows, SCHEMA)
     out = rolling_aggregate(df, ["k"], "ts", [
-        rolling_sum("s", "price", secs, scale=2),
+        rolling_sum("s", "price", secs),
         rolling_count("n", secs),
         rolling_count("nn", secs, value="price"),
     ], strategy=strategy, bucket_seconds=bucket)
@@ -107,7 +108,7 @@ def test_events_strategy_matches_brute_force(spark, rows, bucketing):
     rows = [(k, ts, p, f) for k, ts, p, f in rows]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
                                "i long, k long, ts timestamp, price double, flag boolean")
-    out = rolling_aggregate(df, ["k"], "ts", [rolling_sum("s", "price", secs, scale=2),
+    out = rolling_aggregate(df, ["k"], "ts", [rolling_sum("s", "price", secs),
                                               rolling_count("n", secs)],
                             strategy="events", bucket_seconds=bucket,
                             target_rows=target or 1_000_000).collect()
@@ -118,6 +119,46 @@ def test_events_strategy_matches_brute_force(spark, rows, bucketing):
         assert (r.s is None and s is None) or abs(r.s - s) < 1e-9
 
 
+VALUES = [(1e-7, 1e-7), (2.004, 2.004), (1e13, 0.001), (1e25, -1e25, 3.0), (1 / 7, 1 / 7, -2 / 7), (0.1, 0.2),
+          (float("nan"), 1.0), (float("inf"), 1.0), (float("inf"), float("-inf")), (float("-inf"), None), (1e-25, 2e-25)]
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_sums_round_nothing_away(spark, strategy):
+    from fractions import Fraction
+    rows = [(k, T0 + timedelta(seconds=i), v, True) for k, vs in enumerate(VALUES) for i, v in enumerate(vs)]
+    out = {(r.k, r.ts): r.s for r in _run(spark, rows, strategy)}
+    for k, vs in enumerate(VALUES):
+        got = out[k, T0 + timedelta(seconds=len(vs) - 1)]
+        known = [v for v in vs if v is not None]
+        want = sum(known)
+        if math.isnan(want) or math.isinf(want):
+            assert str(got) == str(want)
+        else:
+            exact = float(sum(map(Fraction, known)))
+            assert abs(got - exact) <= max(1e-15 * max(abs(v) for v in known), 1e-36)   # the finest place
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_special_values_leave_the_window(spark, strategy):
+    day = 86400
+    rows = [(1, T0, float("nan"), True), (1, T0 + timedelta(days=3), float("inf"), True), (1, T0 + timedelta(days=6), 0.3, True)]
+    out = _run(spark, rows, strategy, secs=2 * day)
+    assert math.isnan(out[0].s) and out[1].s == float("inf") and out[2].s == 0.3
+
+
+@pytest.mark.parametrize("value", [1e28, 1e300, 1e-300])
+def test_values_out_of_range_raise(spark, value):
+    with pytest.raises(Exception, match="outside 2"):
+        _run(spark, [(1, T0, value, True)], "events")
+
+
+def test_keys_may_have_any_plain_name(spark):
+    df = spark.createDataFrame([(1, 2, 3, T0, 1.5), (1, 2, 3, T0, 2.5)], "p int, at int, entry int, ts timestamp, price double")
+    out = rolling_aggregate(df, ["p", "at", "entry"], "ts", [rolling_sum("s", "price", 10)])
+    assert [r.s for r in out.collect()] == [4.0, 4.0]
+
+
 def test_plan_has_no_python_and_one_main_window(spark):
     from chronoleaf.plans.features import user_features
     from chronoleaf.sources.roles import purchase_log

@@ -37,7 +37,7 @@ def test_hot_key_is_split_into_many_buckets(spark, skewed):
 
 
 def test_rolling_with_split_hot_key_equals_window(spark, skewed):
-    aggs = [rolling_sum("s", "price", 3 * 86400, scale=2), rolling_count("n", 3 * 86400)]
+    aggs = [rolling_sum("s", "price", 3 * 86400), rolling_count("n", 3 * 86400)]
     a = rolling_aggregate(skewed, ["k"], "ts", aggs, target_rows=TARGET)
     b = rolling_aggregate(skewed, ["k"], "ts", aggs, strategy="window")
     diff = a.select("i", "s", "n").exceptAll(b.select("i", "s", "n"))
@@ -60,7 +60,7 @@ def test_sampled_detection_keeps_results_exact(spark, skewed, monkeypatch):
     base = skewed.withColumn("__s", epoch_seconds("ts"))
     plan = plan_buckets([base], ["k"], "__s", target_rows=TARGET)
     assert plan.mode == "heavy" and {r.k for r in plan.heavy.collect()} == {0}
-    aggs = [rolling_sum("s", "price", 3 * 86400, scale=2), rolling_count("n", 3 * 86400)]
+    aggs = [rolling_sum("s", "price", 3 * 86400), rolling_count("n", 3 * 86400)]
     a = rolling_aggregate(skewed, ["k"], "ts", aggs, target_rows=TARGET)
     b = rolling_aggregate(skewed, ["k"], "ts", aggs, strategy="window")
     assert a.count() == N and a.select("i", "s", "n").exceptAll(b.select("i", "s", "n")).count() == 0
@@ -69,3 +69,31 @@ def test_sampled_detection_keeps_results_exact(spark, skewed, monkeypatch):
     c = asof_join(labels, feats, "k", "k", "ts", "ts", ["f"], target_rows=TARGET)
     d = asof_join(labels, feats, "k", "k", "ts", "ts", ["f"], strategy="window")
     assert c.count() == N and c.exceptAll(d).count() == 0
+
+
+@pytest.fixture(scope="module")
+def uneven(spark):
+    # one key; 90 % of its timed rows within an hour of a 300-day span, half of all rows without a time
+    secs = F.when(F.col("id") % 10 == 0, (F.col("id") * 7919) % (300 * 86400)).otherwise(F.lit(8_000_000) + F.col("id") % 3600)
+    return spark.range(40_000).select(
+        F.col("id").alias("i"), F.lit(1).alias("k"),
+        F.when(F.col("id") % 2 == 1, F.timestamp_seconds(F.lit(1704067200) + secs)).alias("ts"),
+        ((F.col("id") * 31) % 1000 / 100).alias("price"))
+
+
+@pytest.mark.parametrize("sampled", [10_000, 200])
+def test_uneven_times_and_null_times_are_split(spark, uneven, monkeypatch, sampled):
+    import chronoleaf.operators.skew as skew
+    monkeypatch.setattr(skew, "SAMPLE_ROWS", sampled)
+    base = uneven.withColumn("__s", epoch_seconds("ts"))
+    plan = plan_buckets([base], ["k"], "__s", target_rows=TARGET)
+    sizes = add_bucket(base, plan, ["k"], salt=F.xxhash64("i")).groupBy("__b").count().collect()
+    assert max(r["count"] for r in sizes) <= 3 * TARGET and all(r["__b"] is not None for r in sizes)
+    aggs = [rolling_sum("s", "price", 1800), rolling_count("n", 1800), rolling_count("np", 1800, value="price")]
+    a = rolling_aggregate(uneven, ["k"], "ts", aggs, target_rows=TARGET)
+    b = rolling_aggregate(uneven, ["k"], "ts", aggs, strategy="window")
+    assert a.count() == 40_000 and a.exceptAll(b).count() == 0
+    feats = uneven.where("i % 7 = 0").select("k", "ts", F.col("price").alias("f"), "i").withColumnRenamed("i", "j")
+    c = asof_join(uneven, feats, "k", "k", "ts", "ts", ["f", "j"], target_rows=TARGET)
+    d = asof_join(uneven, feats, "k", "k", "ts", "ts", ["f", "j"], strategy="window")
+    assert c.count() == 40_000 and c.exceptAll(d).count() == 0
