@@ -22,7 +22,7 @@ like its own; other columns pass through.
 from __future__ import annotations
 
 import struct
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +34,7 @@ from chronoleaf.llm import words as W
 from chronoleaf.llm.common import table, without
 
 BITS = 20
-SAMPLE_PER_CLASS = 6000   # most labelled rows of either label that training reads
+SAMPLE_PER_CLASS = 4000   # most labelled rows of either label that training reads
 EPOCHS = 8
 STEMS = (3, 4, 5, 6)       # bytes
 _MASK = np.uint64((1 << BITS) - 1)
@@ -79,10 +79,12 @@ def _slots(bufs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(slots, 1), np.concatenate(owner)
 
 
-def train(rows: list[tuple[int, str | None]], model: Ftrl = Ftrl(), epochs: int = EPOCHS) -> np.ndarray:
-    """Weights of FTRL-proximal over (label, text) rows, in the order given."""
+def train(rows: Iterable[tuple[int, str | None]], model: Ftrl = Ftrl(), epochs: int = EPOCHS) -> np.ndarray:
+    """Weights of FTRL-proximal over (label, text) rows, in the order given; zero if labels are of one kind."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    data = [(y, features(text)) for y, text in rows]
+    data = [(y, features(text)) for y, text in rows]       # of a text only its slots are kept
+    if len({y for y, _ in data}) < 2:
+        return z
     for _ in range(epochs):
         for y, at in data:
             w = model.weights(z[at], n[at])
@@ -102,7 +104,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
-        trainer: Callable[[list], np.ndarray] = train) -> np.ndarray:
+        trainer: Callable[[Iterable], np.ndarray] = train) -> np.ndarray:
     """Weights (2^BITS doubles, mostly zero) learned from a bounded sample of labelled documents."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
              .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -114,9 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "h", "doc_id", "text")
 
     def learn(batches):
-        pdf = pd.concat(list(batches), ignore_index=True)
-        kinds = pdf["toxic"].nunique()
-        w = trainer(list(zip(pdf["toxic"], pdf["text"]))) if kinds > 1 else np.zeros(1 << BITS)
+        w = trainer(row for pdf in batches for row in zip(pdf["toxic"], pdf["text"]))
         at = np.flatnonzero(w)
         yield pd.DataFrame({"w": [struct.pack("<I", len(at)) + at.astype("<i4").tobytes() + w[at].astype("<f8").tobytes()]})
 
@@ -146,7 +146,7 @@ def score_texts(docs: DataFrame, weights: np.ndarray, text_col: str = "text") ->
         first = 0
         while first < len(bufs):                           # slices of bounded size
             last, size = first, 0
-            while last < len(bufs) and (last == first or size < 4 << 20):
+            while last < len(bufs) and (last == first or size < 2 << 20):
                 size += len(bufs[last])
                 last += 1
             slots, owner = _slots(bufs[first:last])
