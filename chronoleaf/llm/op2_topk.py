@@ -33,8 +33,8 @@ from chronoleaf.llm.common import shuffle_partitions, table
 from chronoleaf.session import materialize
 
 SHARD_ROWS = 4096      # vectors in one ball tree
-RUN_SHARDS = 8         # trees that one search task reads
-BLOCK_QUERIES = 1024   # queries in one block
+RUN_SHARDS = 4         # trees that one search task reads
+BLOCK_QUERIES = 256    # queries in one block
 LEAF_ROWS = 48
 _NONE = np.iinfo(np.int64).min
 
