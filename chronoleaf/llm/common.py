@@ -21,5 +21,18 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[col(c) for c in df.columns if c.lower() not in low])
 
 
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of bounded rows and bytes (a lower limit of the session stays).
+    Only memory depends on it, never a result."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = str(spark.conf.get(key, "0"))
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(key, str(most))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

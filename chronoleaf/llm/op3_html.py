@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoleaf.llm.common import table
+from chronoleaf.llm.common import small_batches, table
 
 LABELLED_PAGES = 2000   # bound of the sample that the weights are learned from
 CLIP = 4.0              # largest size of a learned weight
@@ -174,6 +174,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
 
 def extract_text(pages: DataFrame, weights: dict[str, float], html_col: str = "html") -> DataFrame:
     """Adds ``text`` to ``pages`` (replacing a column of that name)."""
+    small_batches(pages.sparkSession)
 
     @F.pandas_udf("string")
     def text(col: pd.Series) -> pd.Series:

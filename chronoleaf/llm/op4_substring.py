@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoleaf.llm import words as W
-from chronoleaf.llm.common import shuffle_partitions, table
+from chronoleaf.llm.common import shuffle_partitions, small_batches, table
 
 WINDOW = 20
 ANCHOR = 4                      # words in an anchor
@@ -242,6 +242,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     if not ANCHOR <= window <= 255:
         raise ValueError(f"a window has {ANCHOR} to 255 words")
     spark = docs.sparkSession
+    small_batches(spark)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(shuffle_partitions(spark), math.ceil(size * SHIPPED / BUCKET_BYTES))
     shipped = docs.select("doc_id", "text").mapInPandas(

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoleaf.llm import words as W
-from chronoleaf.llm.common import table, without
+from chronoleaf.llm.common import small_batches, table, without
 
 BITS = 20
 SAMPLE_PER_CLASS = 4000   # most labelled rows of either label that training reads
@@ -106,6 +106,7 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
         trainer: Callable[[Iterable], np.ndarray] = train) -> np.ndarray:
     """Weights (2^BITS doubles, mostly zero) learned from a bounded sample of labelled documents."""
+    small_batches(docs.sparkSession)
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
              .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .withColumn("h", F.xxhash64("doc_id", F.lit(6))))
@@ -131,6 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
 
 def score_texts(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataFrame:
     """Adds ``score`` (0 to 1) and ``predicted`` (score >= 0.5) to every row."""
+    small_batches(docs.sparkSession)
     at = np.flatnonzero(weights)
     sparse = docs.sparkSession.sparkContext.broadcast((at.astype(np.int32), weights[at].astype(np.float64)))
     dense: dict[str, np.ndarray] = {}

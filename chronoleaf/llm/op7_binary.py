@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chronoleaf.llm.common import shuffle_partitions, table
+from chronoleaf.llm.common import shuffle_partitions, small_batches, table
 from chronoleaf.session import materialize, scratch_dir
 
 FILE_BYTES = 64 << 20          # text in one file, about
@@ -232,6 +232,7 @@ class TokenFile:
 def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into token files below ``out_dir``; returns file, docs, tokens, start."""
     spark = docs.sparkSession
+    small_batches(spark)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     files = max(shuffle_partitions(spark), math.ceil(size / FILE_BYTES))
 

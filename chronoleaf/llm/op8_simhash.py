@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoleaf.llm.common import shuffle_partitions, table
+from chronoleaf.llm.common import shuffle_partitions, small_batches, table
 from chronoleaf.session import materialize
 
 SHINGLE = 3
@@ -74,6 +74,7 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE, text_col: str = "text", to: str = "fp") -> DataFrame:
     """Adds the fingerprint as a (signed) long."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
     def fp(col: pd.Series) -> pd.Series:

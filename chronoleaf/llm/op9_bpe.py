@@ -31,7 +31,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoleaf.llm.common import table
+from chronoleaf.llm.common import small_batches, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -85,6 +85,8 @@ def bpe(path: str, pattern: str) -> Bpe:
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str, text_col: str = "text", to: str = "ids") -> DataFrame:
+    small_batches(docs.sparkSession)
+
     @F.pandas_udf("binary")
     def encode(col: pd.Series) -> pd.Series:
         own = bpe(path, pattern)
