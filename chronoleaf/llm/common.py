@@ -29,7 +29,7 @@ def small_batches(spark: SparkSession) -> None:
     Only memory depends on it, never a result."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
                       ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        now = str(spark.conf.get(key, "0"))
+        now = spark.conf.get(key).lower().removesuffix("b")
         if not (now.isdigit() and 0 < int(now) <= most):
             spark.conf.set(key, str(most))
 
