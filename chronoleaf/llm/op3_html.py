@@ -117,10 +117,13 @@ def _weight(feature: str, inside: float, outside: float, all_in: float, all_out:
 
 
 def learn_weights(pages: DataFrame, html_col: str = "html", by: str = "url", limit: int = LABELLED_PAGES) -> dict[str, float]:
-    """Weights from at most ``limit`` labelled pages, the same ones whatever the partitioning."""
-    labelled = (pages.where(F.lower(F.col(html_col)).rlike(r"<(article|main)[\s>]"))
-                .select(F.col(html_col).alias("html"), F.xxhash64(F.col(by)).alias("h"))
-                .orderBy("h", "html").limit(limit))
+    """Weights from at most ``limit`` labelled pages, the same ones whatever the partitioning; copies count once."""
+    small_batches(pages.sparkSession)
+    labelled = pages.where(F.lower(F.col(html_col)).rlike(r"<(article|main)[\s>]")).select(
+        F.col(html_col).alias("html"), F.xxhash64(by).alias("h"), F.xxhash64(html_col).alias("g"))
+    # picked by hashes alone, each text of an address once; then only the picked pages carry their html
+    picked = labelled.select("h", "g").distinct().orderBy("h", "g").limit(limit)
+    sample = labelled.join(F.broadcast(picked), ["h", "g"]).groupBy("h", "g").agg(F.min("html").alias("html"))
 
     def count(batches):
         inside, outside = Counter(), Counter()
@@ -136,7 +139,7 @@ def learn_weights(pages: DataFrame, html_col: str = "html", by: str = "url", lim
                             "outside": [float(outside[x]) for x in names]})
 
     # few rows: a feature is a kind of word or a tag that the sample has; rare tags are left to the default
-    rows = (labelled.mapInPandas(count, "feature string, inside double, outside double")
+    rows = (sample.select("html").mapInPandas(count, "feature string, inside double, outside double")
             .groupBy("feature").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
             .orderBy(F.desc(F.col("inside") + F.col("outside")), "feature").limit(200).collect())
     all_in, all_out = sum(r.inside for r in rows), sum(r.outside for r in rows)
