@@ -15,7 +15,8 @@ weights.  Scoring covers every whole text.  Only the text is an input of a score
 Defined results: null or empty text scores by the bias alone; with labels of
 one kind or none every score is the prior; rows with null id are scored and
 never learned from; a document with several label rows counts as toxic if any
-says so; an empty table gives no rows.  ``score_texts`` replaces columns named
+says so; of rows with one id the least text is learned from; an empty table
+gives no rows.  ``score_texts`` replaces columns named
 like its own; other columns pass through.
 """
 
@@ -114,7 +115,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
     for y in (0, 1):                                       # at most 2 * per_class rows, so they may be broadcast
         own = known.where(F.col("toxic") == y).orderBy("h", "doc_id").limit(per_class)
         sample = own if sample is None else sample.unionByName(own)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "h", "doc_id", "text")
+    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+            .groupBy("toxic", "h", "doc_id").agg(F.min("text").alias("text")))
 
     def learn(batches):
         w = trainer(row for pdf in batches for row in zip(pdf["toxic"], pdf["text"]))
