@@ -22,8 +22,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from chronoleaf.operators.latest import orderable
 from chronoleaf.operators.skew import (TARGET_BUCKET_ROWS, Bucketing, attach_width, bucket_expr,
                                        plan_buckets)
 
@@ -63,6 +63,20 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
     if internal & set(left.columns):
         raise ValueError(f"label columns may not use reserved names {sorted(internal)}")
 
+    # keys meet in their wider type; the label's own type comes back in the result
+    wide = {k: _common_type(left, left.schema[k].dataType, right.schema[r].dataType)
+            for k, r in zip(left_keys, right_keys)}
+    own = {k: left.schema[k].dataType for k in left_keys}
+    if wide != own:
+        def widened(df):
+            return df.withColumns({k: F.col(k).cast(t) for k, t in wide.items()})
+
+        found = asof_join(widened(left), right, left_keys, right_keys, left_ts, right_ts, features,
+                          rename=rename, strategy=strategy, bucket_seconds=bucket_seconds,
+                          target_rows=target_rows,
+                          left_key_source=None if left_key_source is None else widened(left_key_source))
+        return found.withColumns({k: F.col(k).cast(t) for k, t in own.items()})
+
     lt, rt = _time_type(left, left_ts), _time_type(right, right_ts)
     time_cast = None if lt == rt else "timestamp"
 
@@ -85,7 +99,7 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
     payload_type = rrows.schema["__p"].dataType
 
     # right rows tied on (key, time): the greatest payload is "newest" (deterministic)
-    tie = [F.col("__p").asc_nulls_first()] if _orderable(payload_type) else []
+    tie = [F.col("__p").asc_nulls_first()] if orderable(payload_type) else []
     if strategy == "window":
         w = (Window.partitionBy(*left_keys)
              .orderBy(F.col("__time").asc_nulls_first(), "__o", *tie)
@@ -143,15 +157,12 @@ def asof_join(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts:
     return _finish(found.unionByName(misses.select(*label_cols, "__o", "__p")), label_cols, out_names)
 
 
-def _orderable(dt) -> bool:
-    """Spark can sort by this type (maps cannot be compared)."""
-    if isinstance(dt, T.MapType):
-        return False
-    if isinstance(dt, T.StructType):
-        return all(_orderable(f.dataType) for f in dt.fields)
-    if isinstance(dt, T.ArrayType):
-        return _orderable(dt.elementType)
-    return True
+def _common_type(left: DataFrame, lt, rt):
+    """The wider type of two key columns, by Spark's own rules."""
+    if lt == rt:
+        return lt
+    both = [f"CAST(NULL AS {t.simpleString()})" for t in (lt, rt)]
+    return left.sparkSession.sql(f"SELECT coalesce({', '.join(both)}) AS k").schema["k"].dataType
 
 
 def _all_not_null(cols):

@@ -1,6 +1,6 @@
 """Latest row per key (A3) and merge-log resolution.
 
-Both are a hash aggregate with ``max_by``: partial aggregation combines a hot
+Both are a (sort-based) aggregate with ``max_by``: partial aggregation combines a hot
 key map-side, so skew costs one partial row per map task, never one task
 holding the key's rows.  Ties on the ordering columns are broken by the whole
 row, so the result is deterministic.
@@ -10,18 +10,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronoleaf.operators.lookup import BROADCAST_MAX_BYTES, broadcast_size
 
 
+def orderable(dt) -> bool:
+    """Spark can sort by this type (maps cannot be compared)."""
+    if isinstance(dt, T.MapType):
+        return False
+    if isinstance(dt, T.StructType):
+        return all(orderable(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return orderable(dt.elementType)
+    return True
+
+
 def latest_per_key(df: DataFrame, keys, order_by, columns=None) -> DataFrame:
     """One row per ``keys``: the row with the greatest ``order_by`` tuple
-    (NULLs oldest), other columns as tie-break."""
+    (NULLs oldest), other columns as tie-break (maps by their JSON text)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     columns = [c for c in (columns or df.columns) if c not in keys]
     ordering = F.struct(*[F.col(c) for c in order_by],
-                        *[F.col(c) for c in columns if c not in order_by])
+                        *[F.col(c) if orderable(df.schema[c].dataType) else F.to_json(F.struct(c))
+                          for c in columns if c not in order_by])
     return (df.groupBy(*keys)
             .agg(F.max_by(F.struct(*[F.col(c) for c in columns]), ordering).alias("__r"))
             .select(*keys, *[F.col(f"__r.{c}").alias(c) for c in columns]))

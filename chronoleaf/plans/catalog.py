@@ -97,8 +97,8 @@ class FeatureCatalog:
         ts_key = ts_keys[0] if ts_keys else None
         if (df is None) == (schema is None):
             raise ValueError("give exactly one of df= or schema=")
-        if on_duplicate not in ("error", "any"):
-            raise ValueError("on_duplicate must be 'error' or 'any'")
+        if on_duplicate not in ("error", "any", "latest"):
+            raise ValueError("on_duplicate must be 'error', 'any' or 'latest'")
         self.create_database()
         if self.exists(name):
             raise ValueError(f"feature table {self.qualified(name)} already exists")
@@ -124,9 +124,13 @@ class FeatureCatalog:
             if on_duplicate == "any":
                 data = latest_per_key(df, row_keys, [c for c in df.columns if c not in row_keys])
             self._append_batch(name, data)
-            if on_duplicate == "error":
+            if on_duplicate != "any":
                 dup = duplicate_keys(self._raw(name), row_keys).limit(1).collect()
-                if dup:
+                if dup and on_duplicate == "latest":
+                    # only data that has duplicates pays for a second write
+                    self._set_props(name, merged="true")
+                    self.compact(name)
+                elif dup:
                     self.drop_table(name)
                     raise ValueError(f"duplicate keys {row_keys} in feature table data, e.g. {dup[0]}")
         return self.get_table(name)
@@ -261,15 +265,19 @@ class FeatureCatalog:
     # ---- drop (S9, S10) ----------------------------------------------------------
     def drop_table(self, name: str) -> None:
         q = self.qualified(name)
+        version = int(self._props(name).get(f"{_PROP}.publish_version", "0")) if self.exists(name) else 0
         self.spark.sql(f"DROP TABLE IF EXISTS {q}")
         delete_path(self.spark, self.location(name))
-        for suffix in ("__online", "__online_log"):
-            if self.spark.catalog.tableExists(q + suffix):
-                self.spark.sql(f"DROP TABLE IF EXISTS {q + suffix}")
-                delete_path(self.spark, self.location(name + suffix))
+        # one more than the live version: a publish that failed may have left it
+        for extra in [f"{name}__online_log", *[_online_name(name, v) for v in range(1, version + 2)]]:
+            self._drop_data(extra)
         delete_path(self.spark, f"{self.location(name)}__online_snap")
         delete_path(self.spark, f"{self.location(name)}__snap")
 
+    def _drop_data(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(name)}")
+        delete_path(self.spark, self.location(name))
+
     # ---- publish (S7, S8) --------------------------------------------------------
     def snapshot(self, name: str) -> DataFrame:
         """Latest row per primary key of a feature table (A3)."""
@@ -284,17 +292,19 @@ class FeatureCatalog:
 
     def publish_table(self, name: str, streaming: bool = False,
                       checkpoint_location: str | None = None, trigger: dict | None = None,
-                      buckets: int | None = None):
-        """Batch: (re)write ``<name>__online``, bucketed by the primary keys into
-        ``buckets`` (default: the session's shuffle partitions) so key lookups
-        against a snapshot too large to broadcast shuffle only the request side.
+                      buckets: int | None = None, keep_versions: int = 2):
+        """Batch: write the next version ``<name>__online_v<n>``, bucketed by the primary
+        keys into ``buckets`` (default: the session's shuffle partitions) so key lookups
+        against a snapshot too large to broadcast shuffle only the request side; only
+        then point the table at it.  Of the versions before, the newest ``keep_versions``
+        stay for readers that still hold them.
         Streaming: start a query appending the feature table's new rows to
         ``<name>__online_log`` and return it."""
         info = self.get_table(name)
         if not streaming:
-            online = f"{name}__online"
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(online)}")
-            delete_path(self.spark, self.location(online))
+            version = int(self._props(name).get(f"{_PROP}.publish_version", "0")) + 1
+            online = _online_name(name, version)
+            self._drop_data(online)          # what a failed publish may have left; never the live one
             n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             pks = list(info.primary_keys)
             snap = self.snapshot(name)
@@ -305,7 +315,9 @@ class FeatureCatalog:
                 snap = snap.repartition(n, *pks)
             (snap.write.format("parquet").option("path", self.location(online))
              .bucketBy(n, pks[0], *pks[1:]).saveAsTable(self.qualified(online)))
-            self._set_props(name, online="batch")
+            self._set_props(name, online="batch", publish_version=version)
+            if version > keep_versions + 1:
+                self._drop_data(_online_name(name, version - keep_versions - 1))
             return None
         if not checkpoint_location:
             raise ValueError("streaming publish needs checkpoint_location")
@@ -334,7 +346,7 @@ class FeatureCatalog:
                  for r in self.spark.sql(f"SHOW TBLPROPERTIES {info.name}").collect()}
         mode = props.get(f"{_PROP}.online")
         if mode == "batch":
-            return self._raw(f"{name}__online")
+            return self._raw(_online_name(name, int(props[f"{_PROP}.publish_version"])))
         if mode == "stream":
             snap = props.get(f"{_PROP}.online_snapshot")
             if not snap:
@@ -384,6 +396,10 @@ class FeatureCatalog:
             delete_path(self.spark, old)
 
 
+def _online_name(name: str, version: int) -> str:
+    return f"{name}__online_v{version}"
+
+
 def _after(df: DataFrame, col: str, mark) -> DataFrame:
     """Rows written after ``mark`` (epoch micros); the literal folds to a timestamp
     constant, so the filter reaches the parquet scan."""

@@ -19,7 +19,7 @@ from chronoleaf.functions.geo import geodesic_miles_sql, haversine_miles_sql, wi
 from chronoleaf.functions.strings import clean_user_name
 from chronoleaf.functions.time import day_of_week, day_stamp, epoch_seconds
 from chronoleaf.operators.asof import asof_join
-from chronoleaf.operators.lookup import static_lookup
+from chronoleaf.operators.lookup import key_lookup, static_lookup
 from chronoleaf.operators.rolling import rolling_aggregate, rolling_count, rolling_sum
 from chronoleaf.operators.split import hash_split, time_split
 from chronoleaf.operators.stats import accuracy_col, duplicate_keys, exact_medians, fill_with
@@ -29,11 +29,11 @@ from chronoleaf.plans.features import (SIX_MONTHS_SECONDS, WEEK_SECONDS,
 from chronoleaf.plans.model import ModelRegistry, OnDemandModel, threshold_predictions
 from chronoleaf.plans.ondemand import LOCATION_COLUMNS, add_distance, distance_sql
 from chronoleaf.plans.training import Lookup, create_training_set
-from chronoleaf.session import scratch_dir
+from chronoleaf.session import materialize, scratch_dir
 from chronoleaf.sources import files, roles
 from chronoleaf.sources.roles import TRAIN_CUTOFF
 from chronoleaf.streaming.control import drain, to_parquet
-from chronoleaf.streaming.lookup import stream_lookup
+from chronoleaf.streaming.lookup import lookup_waves
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -140,9 +140,9 @@ def travel_catalog(spark, sf_dir, streamed_availability: bool = False
     log = _log(spark, sf_dir)
     cat = _catalog(spark)
     cat.create_table(TABLES["user"], ["user_id"], "ts", df=user_features(log),
-                     description="User Features")
+                     on_duplicate="latest", description="User Features")
     cat.create_table(TABLES["pop"], ["destination_id"], "ts", df=destination_features(log),
-                     description="Destination Popularity Features")
+                     on_duplicate="latest", description="Destination Popularity Features")
     cat.create_table(TABLES["loc"], "destination_id", df=roles.destination_locations(spark, sf_dir),
                      description="Destination location features.")
     if streamed_availability:
@@ -473,6 +473,17 @@ def q_create_feature_table(spark, sf_dir):
     return cat.read_table("user_features")
 
 
+@query("create_feature_table_latest", _with(
+    LOG_CTE, "hourly AS (SELECT * REPLACE (date_trunc('hour', ts) AS ts) FROM log)",
+    DF_CTE.replace("FROM log", "FROM hourly")) + "SELECT DISTINCT * FROM dfeat")
+def q_create_feature_table_latest(spark, sf_dir):
+    """Times as coarse as an hour: several rows share a key, of which one stays."""
+    log = _log(spark, sf_dir).withColumn("ts", F.date_trunc("hour", "ts"))
+    cat = _catalog(spark)
+    cat.create_table("popularity", ["destination_id"], "ts", df=destination_features(log), on_duplicate="latest")
+    return _ntz(cat.read_table("popularity"), "ts")
+
+
 LATEST = "QUALIFY row_number() OVER (PARTITION BY {k} ORDER BY {t} DESC) = 1"
 
 
@@ -637,31 +648,57 @@ def q_stream_resume(spark, sf_dir):
     return _ntz(spark.read.parquet(sink), "event_ts")
 
 
-STREAM_ONLINE_SQL = _with(LOG_CTE, UF_CTE, DF_CTE,
-                          "ufl AS (SELECT * FROM uf " + LATEST.format(k="user_id", t="ts") + ")",
-                          "dfl AS (SELECT * FROM dfeat " + LATEST.format(k="destination_id", t="ts") + ")") + \
-    """SELECT r.event_id, r.user_id, r.booking_date, r.destination_id, r.user_latitude, r.user_longitude,
+def _two_waves(name: str, table: str, key: str) -> str:
+    """Latest rows as published before and after the later features came."""
+    last = LATEST.format(k=key, t="ts")
+    return (f"{name} AS ((SELECT *, true AS early FROM {table} WHERE ts < TIMESTAMP '{TRAIN_CUTOFF}' {last}) "
+            f"UNION ALL (SELECT *, false AS early FROM {table} {last}))")
+
+
+STREAM_ONLINE_SQL = _with(LOG_CTE, UF_CTE, DF_CTE, _two_waves("ufl", "uf", "user_id"),
+                          _two_waves("dfl", "dfeat", "destination_id")) + \
+    f"""SELECT r.event_id, r.user_id, r.booking_date, r.destination_id, r.user_latitude, r.user_longitude,
   ufl.mean_price_7d, dfl.sum_clicks_7d, dfl.sum_impressions_7d
-FROM log r LEFT JOIN ufl ON r.user_id = ufl.user_id LEFT JOIN dfl ON r.destination_id = dfl.destination_id"""
+FROM (SELECT *, coalesce(ts < TIMESTAMP '{TRAIN_CUTOFF}', false) AS wave1 FROM log) r
+LEFT JOIN ufl ON r.user_id = ufl.user_id AND r.wave1 = ufl.early
+LEFT JOIN dfl ON r.destination_id = dfl.destination_id AND r.wave1 = dfl.early"""
 
 
 @query("stream_online_lookup", STREAM_ONLINE_SQL)
 def q_stream_online_lookup(spark, sf_dir):
+    """One running stream, two waves of requests, and a republish of newer features between them."""
     log = _log(spark, sf_dir)
     cat = _catalog(spark)
-    cat.create_table(TABLES["user"], ["user_id"], "ts", df=user_features(log))
-    cat.create_table(TABLES["pop"], ["destination_id"], "ts", df=destination_features(log))
-    cat.publish_table(TABLES["user"])
-    cat.publish_table(TABLES["pop"])
+    early = F.coalesce(F.col("ts") < F.lit(TRAIN_CUTOFF).cast("timestamp"), F.lit(False))
     base = scratch_dir(spark, "stream_requests")
-    reqs = roles.requests(log)
-    reqs.repartition(_files(reqs)).write.parquet(f"{base}/requests")
-    live = spark.readStream.schema(reqs.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/requests")
-    out = stream_lookup(live, cat.read_online(TABLES["user"]), "user_id", "user_id", ["mean_price_7d"])
-    out = stream_lookup(out, cat.read_online(TABLES["pop"]), "destination_id", "destination_id",
-                        ["sum_clicks_7d", "sum_impressions_7d"])
-    drain(to_parquet(out, f"{base}/sink", f"{base}/ckpt"))
-    return spark.read.parquet(f"{base}/sink")
+    feats = {TABLES["user"]: (["user_id"], user_features(log)),
+             TABLES["pop"]: (["destination_id"], destination_features(log))}
+    feats = {t: (keys, materialize(df, f"stream_requests_{t}")) for t, (keys, df) in feats.items()}
+
+    def send(rows):
+        reqs = roles.requests(rows)
+        reqs.repartition(_files(reqs)).write.mode("append").parquet(f"{base}/requests")
+
+    def enrich(wave):
+        out = key_lookup(wave, cat.read_online(TABLES["user"]), "user_id", "user_id", ["mean_price_7d"])
+        return key_lookup(out, cat.read_online(TABLES["pop"]), "destination_id", "destination_id",
+                          ["sum_clicks_7d", "sum_impressions_7d"])
+
+    for t, (keys, df) in feats.items():
+        cat.create_table(t, keys, "ts", df=df.where(early), on_duplicate="latest")
+        cat.publish_table(t)
+    send(log.where(early))
+    live = (spark.readStream.schema(roles.requests(log).schema).option("maxFilesPerTrigger", 8)
+            .parquet(f"{base}/requests"))
+    running = lookup_waves(live, enrich, f"{base}/sink", f"{base}/ckpt",
+                           trigger={"processingTime": "100 milliseconds"})
+    running.processAllAvailable()
+    for t, (_, df) in feats.items():
+        cat.write_table(t, df.where(~early))
+        cat.publish_table(t)
+    send(log.where(~early))
+    drain(running)
+    return spark.read.parquet(f"{base}/sink").drop("wave")
 
 
 # ---------------------------------------------------------------- S1: CSV scan

@@ -114,3 +114,16 @@ def test_never_matching_labels_spread_and_stay_null(spark, bucket):
     assert len(got) == len(rows)
     assert all(got[i].f is None for i in range(300)) and all(got[1000 + i].f is None for i in range(50))
     assert got[2000].f == 5.0 and got[2001].f is None
+
+
+def test_keys_meet_in_their_wider_type(spark):
+    from datetime import datetime
+    t = datetime(2024, 1, 1)
+    left = spark.createDataFrame([(1, t), (None, t)], "k int, ts timestamp")
+    right = spark.createDataFrame([(2 ** 33, t, 5.0), (2 ** 32 + 1, t, 6.0), (1, t, 7.0)], "k long, ts timestamp, f double")
+    out = asof_join(left, right, "k", "k", "ts", "ts", ["f"])
+    assert out.schema["k"].dataType.simpleString() == "int"
+    assert {(r.k, r.f) for r in out.collect()} == {(1, 7.0), (None, None)}
+    days = left.selectExpr("DATE'2024-01-01' AS k", "ts").limit(1)
+    times = spark.createDataFrame([(datetime(2024, 1, 1, 5), t, 1.0)], "k timestamp, ts timestamp, f double")
+    assert asof_join(days, times, "k", "k", "ts", "ts", ["f"]).first().f is None

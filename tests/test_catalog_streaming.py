@@ -222,7 +222,7 @@ def test_published_dimension_writes_one_file_per_bucket(spark):
     df = spark.range(0, 5000, 1, 6).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     cat.create_table("dim", "k", df=df)
     cat.publish_table("dim", buckets=8)
-    loc = cat.location("dim__online").replace("file:", "")
+    loc = cat.location("dim__online_v1").replace("file:", "")
     assert len([f for f in os.listdir(loc) if f.endswith(".parquet")]) == 8
     assert cat.read_online("dim").exceptAll(df).count() == 0
 
@@ -258,3 +258,27 @@ def test_compact_stream_table_and_fold_reads(spark):
     cat.compact("avail")
     assert {(r.destination_id, r.event_ts): r.availability
             for r in cat.read_table("avail").collect()} == want
+
+
+def test_republish_keeps_readers_and_drops_old_versions(spark):
+    cat = _cat(spark)
+    cat.create_table("t", "k", df=spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("f")))
+    cat.publish_table("t", buckets=2)
+    held = cat.read_online("t")
+    for f in (2, 3):
+        cat.write_table("t", spark.range(100).select(F.col("id").alias("k"), F.lit(f).alias("f")))
+        cat.publish_table("t", buckets=2)
+        assert {r.f for r in cat.read_online("t").collect()} == {f}
+    assert {r.f for r in held.collect()} == {1}            # opened two publishes ago
+    cat.publish_table("t", buckets=2)
+    assert not cat.exists("t__online_v1") and cat.exists("t__online_v2")
+    cat.drop_table("t")
+    assert not any(cat.exists(f"t__online_v{v}") for v in range(1, 6))
+
+
+def test_create_table_latest_keeps_one_row_of_each_key(spark):
+    cat = _cat(spark)
+    df = spark.createDataFrame([(1, T0, 1.0, {"a": 1}), (1, T0, 3.0, {"a": 2}), (2, T0, 2.0, None)],
+                               "k long, ts timestamp, f double, m map<string,int>")
+    cat.create_table("t", "k", "ts", df=df, on_duplicate="latest")
+    assert sorted((r.k, r.f, r.m) for r in cat.read_table("t").collect()) == [(1, 3.0, {"a": 2}), (2, 2.0, None)]
