@@ -15,12 +15,17 @@ stateless stream into an online log resolved the same way on read, so state
 never grows inside a streaming query and a late event cannot overwrite a
 newer value.  ``compact_online`` folds the log into a snapshot; later reads
 scan only the snapshot and the log files published after it.
+
+Compaction of a stream's log remembers the committed files it folded, not a
+time: a file committed later is read however its rows are stamped, also by a
+restarted driver whose clock is behind.  Folded files can then be removed.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -163,13 +168,10 @@ class FeatureCatalog:
         info = self.get_table(name)
         raw = self._raw(name)
         if info.writer == "stream":
-            props = self._props(name)
-            snap = props.get(f"{_PROP}.table_snapshot")
+            snap = self._props(name).get(f"{_PROP}.table_snapshot")
             if snap:
-                recent = _after(raw, INGEST, props.get(f"{_PROP}.table_mark"))
                 cols = [c for c in raw.columns if c != INGEST]
-                return fold_recent(self.spark.read.parquet(snap), recent, info.row_keys,
-                                   [INGEST], cols + [INGEST]).select(*cols)
+                return self._fold(snap, raw, info.row_keys, [INGEST], cols + [INGEST]).select(*cols)
         if info.merged or info.writer == "stream":
             return resolve_merge_log(raw, info.row_keys, INGEST)
         return raw.drop(INGEST)
@@ -238,29 +240,53 @@ class FeatureCatalog:
 
     def _compact_stream_table(self, name: str, info: TableInfo) -> None:
         """A stream-written table cannot be rewritten in place (its sink keeps a
-        commit log): fold the rows written up to the newest committed micro-batch
-        time into a versioned snapshot and remember that mark.  Micro-batches run
-        in sequence, so anything committed later carries a later write time."""
-        props = self._props(name)
+        commit log): fold its committed files into a versioned snapshot."""
         raw = self._raw(name)
-        new_mark = raw.agg(F.unix_micros(F.max(INGEST))).first()[0]
-        old_mark = props.get(f"{_PROP}.table_mark")
-        if new_mark is None or (old_mark is not None and new_mark <= int(old_mark)):
-            return
-        upto = _upto(_after(raw, INGEST, old_mark), INGEST, new_mark)
         cols = [c for c in raw.columns if c != INGEST]
-        snap = props.get(f"{_PROP}.table_snapshot")
-        if snap:
-            folded = fold_recent(self.spark.read.parquet(snap), upto, info.row_keys, [INGEST],
-                                 cols + [INGEST])
-        else:
-            folded = latest_per_key(upto, info.row_keys, [INGEST], cols + [INGEST])
-        version = int(props.get(f"{_PROP}.table_version", "0")) + 1
-        path = f"{self.location(name)}__snap/v={version}"
-        folded.write.parquet(path)
-        self._set_props(name, table_snapshot=path, table_mark=new_mark, table_version=version)
-        if snap:
-            delete_path(self.spark, snap)
+        self._compact_log(name, "table", f"{self.location(name)}__snap", raw, info.row_keys,
+                          [INGEST], cols + [INGEST])
+
+    # ---- folding stream logs -------------------------------------------------------
+    def _folded(self, snap: str | None) -> set[str]:
+        """Names of the log files a snapshot holds (as many as the log's own listing has)."""
+        return {r["file"] for r in self.spark.read.parquet(f"{snap}/files").collect()} if snap else set()
+
+    def _fold(self, snap: str | None, log: DataFrame, keys, order, columns) -> DataFrame:
+        """The snapshot with the log files committed after it folded in."""
+        done = self._folded(snap)
+        fresh = [f for f in log.inputFiles() if f not in done]
+        if snap and not fresh:
+            return self.spark.read.parquet(f"{snap}/rows").select(*columns)
+        recent = self.spark.read.schema(log.schema).parquet(*map(unquote, fresh)) if fresh else log.limit(0)
+        if not snap:
+            return latest_per_key(recent, keys, order, columns)
+        return fold_recent(self.spark.read.parquet(f"{snap}/rows"), recent.select(*columns), keys, order, columns)
+
+    def _compact_log(self, name: str, kind: str, folder: str, log: DataFrame, keys, order, columns,
+                     keep_versions: int = 2) -> None:
+        """Fold the committed files of ``log`` into the next snapshot version, then point
+        the table at it.  Of the versions before, the newest ``keep_versions`` stay for
+        readers that still hold them."""
+        props = self._props(name)
+        snap = props.get(f"{_PROP}.{kind}_snapshot")
+        committed = log.inputFiles()
+        if set(committed) <= self._folded(snap):
+            return
+        version = int(props.get(f"{_PROP}.{kind}_version", "0")) + 1
+        path = f"{folder}/v={version}"
+        delete_path(self.spark, path)            # what a failed compaction may have left
+        self._fold(snap, log, keys, order, columns).write.parquet(f"{path}/rows")
+        (self.spark.createDataFrame([(f,) for f in committed], "file string").coalesce(1)
+         .write.parquet(f"{path}/files"))
+        self._set_props(name, **{f"{kind}_snapshot": path, f"{kind}_version": version})
+        if version > keep_versions + 1:
+            delete_path(self.spark, f"{folder}/v={version - keep_versions - 1}")
+
+    def remove_folded(self, name: str, online: bool = False) -> int:
+        """Delete the log files that the snapshot holds; returns their number.  Call it
+        when no reader of an older view and no publish stream still needs them."""
+        snap = self._props(name).get(f"{_PROP}.{'online' if online else 'table'}_snapshot")
+        return sum(delete_path(self.spark, unquote(f)) for f in self._folded(snap))
 
     # ---- drop (S9, S10) ----------------------------------------------------------
     def drop_table(self, name: str) -> None:
@@ -287,6 +313,9 @@ class FeatureCatalog:
             if not info.timestamp_key:
                 return data
             return latest_per_key(data, list(info.primary_keys), [info.timestamp_key])
+        if f"{_PROP}.table_snapshot" in self._props(name):
+            # one row per (key, time) already: the compacted rows and what came after
+            return latest_per_key(self.read_table(name), list(info.primary_keys), _as_list(info.timestamp_key))
         # one aggregation straight off the log: newest time, then newest write
         return _latest_from_log(self._raw(name), info)
 
@@ -329,9 +358,7 @@ class FeatureCatalog:
             self.spark.sql(f"CREATE TABLE {self.qualified(log_name)} ({ddl}, `{INGEST}` timestamp,"
                            f" `{PUBLISH}` timestamp) USING parquet LOCATION '{self.location(log_name)}'")
         self._set_props(name, online="stream")
-        # keep the feature table's own write time: it orders rewrites of one (key, time);
-        # the publish time (constant per micro-batch, batches run in sequence) marks
-        # how far compact_online has folded the log
+        # keep the feature table's own write time: it orders rewrites of one (key, time)
         src = (self.spark.readStream.table(info.name)
                .select(*cols, INGEST, F.current_timestamp().alias(PUBLISH)))
         return (src.writeStream.format("parquet").outputMode("append")
@@ -348,77 +375,41 @@ class FeatureCatalog:
         if mode == "batch":
             return self._raw(_online_name(name, int(props[f"{_PROP}.publish_version"])))
         if mode == "stream":
+            log = self._raw(f"{name}__online_log")
             snap = props.get(f"{_PROP}.online_snapshot")
             if not snap:
-                return _latest_from_log(self._online_rows(name, props), info)
-            log = self._raw(f"{name}__online_log")
+                return _latest_from_log(log, info)
             cols = [c for c in log.columns if c not in (INGEST, PUBLISH)]
-            recent = _after(log, PUBLISH, props.get(f"{_PROP}.online_mark")).select(*cols, INGEST)
-            order = ([info.timestamp_key] if info.timestamp_key else []) + [INGEST]
-            return fold_recent(self.spark.read.parquet(snap), recent, list(info.primary_keys),
-                               order, cols + [INGEST]).select(*cols)
+            return self._fold(snap, log, list(info.primary_keys), _log_order(info),
+                              cols + [INGEST]).select(*cols)
         raise ValueError(f"{info.name} has not been published")
 
-    def _online_rows(self, name: str, props: dict, upto: int | None = None) -> DataFrame:
-        """Compacted snapshot rows plus the log rows published after its mark
-        (the filter reaches the parquet scan, so folded log files are skipped)."""
-        log = self._raw(f"{name}__online_log")
-        cols = [c for c in log.columns if c not in (INGEST, PUBLISH)]
-        recent = _upto(_after(log, PUBLISH, props.get(f"{_PROP}.online_mark")), PUBLISH, upto)
-        rows = recent.select(*cols, INGEST)
-        snap = props.get(f"{_PROP}.online_snapshot")
-        if snap:
-            rows = self.spark.read.parquet(snap).select(*cols, INGEST).unionByName(rows)
-        return rows
-
     def compact_online(self, name: str) -> None:
         """Fold a stream-published online log into a snapshot (one row per key),
         so reads stop re-resolving the whole log.  Safe while the publish stream
-        runs: only rows published up to the newest committed publish time are folded."""
+        runs: only committed files are folded."""
         info = self.get_table(name)
         props = {r["key"]: r["value"]
                  for r in self.spark.sql(f"SHOW TBLPROPERTIES {info.name}").collect()}
         if props.get(f"{_PROP}.online") != "stream":
             raise ValueError(f"{info.name} is not stream-published")
         log = self._raw(f"{name}__online_log")
-        new_mark = log.agg(F.unix_micros(F.max(PUBLISH))).first()[0]
-        old_mark = props.get(f"{_PROP}.online_mark")
-        if new_mark is None or (old_mark is not None and new_mark <= int(old_mark)):
-            return
-        folded = _latest_from_log(self._online_rows(name, props, upto=new_mark), info,
-                                  keep_ingest=True)
-        version = int(props.get(f"{_PROP}.online_version", "0")) + 1
-        path = f"{self.location(name)}__online_snap/v={version}"
-        folded.write.parquet(path)
-        self._set_props(name, online_snapshot=path, online_mark=new_mark, online_version=version)
-        old = props.get(f"{_PROP}.online_snapshot")
-        if old:
-            delete_path(self.spark, old)
+        cols = [c for c in log.columns if c not in (INGEST, PUBLISH)]
+        self._compact_log(name, "online", f"{self.location(name)}__online_snap", log,
+                          list(info.primary_keys), _log_order(info), cols + [INGEST])
 
 
 def _online_name(name: str, version: int) -> str:
     return f"{name}__online_v{version}"
 
 
-def _after(df: DataFrame, col: str, mark) -> DataFrame:
-    """Rows written after ``mark`` (epoch micros); the literal folds to a timestamp
-    constant, so the filter reaches the parquet scan."""
-    if mark is None:
-        return df
-    return df.where(F.col(col) > F.timestamp_micros(F.lit(int(mark))))
-
-
-def _upto(df: DataFrame, col: str, mark) -> DataFrame:
-    if mark is None:
-        return df
-    return df.where(F.col(col) <= F.timestamp_micros(F.lit(int(mark))))
+def _log_order(info: TableInfo) -> list:
+    return _as_list(info.timestamp_key) + [INGEST]
 
 
-def _latest_from_log(log: DataFrame, info: TableInfo, keep_ingest: bool = False) -> DataFrame:
-    order = ([info.timestamp_key] if info.timestamp_key else []) + [INGEST]
+def _latest_from_log(log: DataFrame, info: TableInfo) -> DataFrame:
     cols = [c for c in log.columns if c not in (INGEST, PUBLISH)]
-    out = latest_per_key(log, list(info.primary_keys), order, columns=cols + [INGEST])
-    return out.select(*cols, INGEST) if keep_ingest else out.select(*cols)
+    return latest_per_key(log, list(info.primary_keys), _log_order(info), columns=cols + [INGEST]).select(*cols)
 
 
 def _sql_str(s: str) -> str:
