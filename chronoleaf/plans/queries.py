@@ -140,17 +140,17 @@ def travel_catalog(spark, sf_dir, streamed_availability: bool = False
     log = _log(spark, sf_dir)
     cat = _catalog(spark)
     cat.create_table(TABLES["user"], ["user_id"], "ts", df=user_features(log),
-                     on_duplicate="latest", description="User Features")
+                     on_duplicate="latest", description="what a user spent and bought so far")
     cat.create_table(TABLES["pop"], ["destination_id"], "ts", df=destination_features(log),
-                     on_duplicate="latest", description="Destination Popularity Features")
+                     on_duplicate="latest", description="clicks and views of a destination over a week")
     cat.create_table(TABLES["loc"], "destination_id", df=roles.destination_locations(spark, sf_dir),
-                     description="Destination location features.")
+                     description="where a destination lies")
     if streamed_availability:
         _merged_availability(spark, sf_dir, cat)
     else:
         cat.create_table(TABLES["avail"], ["destination_id", "booking_date"], ["event_ts"],
                          df=roles.availability_log(spark, sf_dir),
-                         description="Destination Availability Features")
+                         description="places left by destination and day")
     return cat, log
 
 
@@ -163,6 +163,7 @@ def travel_lookups() -> list[Lookup]:
     ]
 
 
+# The columns kept out of the training set
 EXCLUDE = ["user_id", "destination_id", "ts", "booking_date", "clicked", "price"]
 
 
@@ -469,7 +470,7 @@ def q_create_feature_table(spark, sf_dir):
     log = _log(spark, sf_dir)
     cat = _catalog(spark)
     cat.create_table("user_features", ["user_id"], "ts", df=user_features(log),
-                     description="User Features")
+                     description="what a user spent and bought so far")
     return cat.read_table("user_features")
 
 
@@ -584,7 +585,7 @@ def _merged_availability(spark, sf_dir, cat: FeatureCatalog | None = None):
     base = scratch_dir(spark, "stream_merge")
     cat = cat or _catalog(spark)
     cat.create_table(TABLES["avail"], ["destination_id", "booking_date"], ["event_ts"],
-                     schema=files.AVAILABILITY_SCHEMA, description="Destination Availability Features")
+                     schema=files.AVAILABILITY_SCHEMA, description="places left by destination and day")
     src, ckpt = f"{base}/src", f"{base}/ckpt"
     _stage_availability(spark, sf_dir, src)
     stream = lambda: files.availability_features(files.json_stream(spark, f"{src}/*.json"))
@@ -714,26 +715,77 @@ def q_scan_csv_infer(spark, sf_dir):
     return _ntz(df, "ts")
 
 
-# ---------------------------------------------------------------- L / U: model (rows-only)
-@query("train_score")
+# ---------------------------------------------------------------- L / U: model
+# Tree scores have no SQL form; what can be checked of every row is returned instead.
+TEST_SPLIT = "CAST(('0x' || substr(md5('123:' || CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 4 >= 3"
+
+
+def _in_range():
+    return F.col("prediction").between(0.0, 1.0).alias("in_range")
+
+
+def _fit(ts):
+    """Model fitted on three quarters of the training set, and the quarter held out."""
+    train, test = hash_split(materialize(ts.load_df(), "training-set"), "event_id")
+    return OnDemandModel(exclude=["event_id"]).fit(train, "purchased"), test
+
+
+def _scored_twice(loaded: DataFrame, model) -> DataFrame:
+    """Rows scored by a loaded model, scored again by the model that was saved."""
+    again = model.transform(loaded.withColumnRenamed("prediction", "loaded"))
+    return again.select("event_id", "purchased", _in_range(),
+                        F.col("loaded").eqNullSafe(F.col("prediction")).alias("same_after_load"))
+
+
+@query("train_score", _with(LOG_CTE) + "SELECT event_id, purchased, true AS in_range, "
+       "true AS same_after_load FROM log")
 def q_train_score(spark, sf_dir):
+    """Fit, log with the lookups, and score the whole log by name (lookups included)."""
     cat, log, ts = training_set_df(spark, sf_dir)
-    model = OnDemandModel(exclude=["event_id"]).fit(ts.load_df(), "purchased")
+    model, _ = _fit(ts)
     reg = ModelRegistry(spark, scratch_dir(spark, "models"))
     reg.log_model("travel", model, ts)
-    scored = reg.score_batch(cat, "models:/travel/latest", log)
-    return scored.select("event_id", "purchased", "prediction")
+    return _scored_twice(reg.score_batch(cat, "models:/travel/latest", log), model)
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", _with(LOG_CTE, LAB_CTE) + "SELECT event_id, purchased, true AS in_range, "
+       f"true AS same_after_load FROM lab WHERE {TEST_SPLIT}")
 def q_model_roundtrip(spark, sf_dir):
-    cat, log, ts = training_set_df(spark, sf_dir)
-    train = ts.load_df()
+    """Two versions logged, the newest loaded, the held-out quarter scored."""
+    _cat, _log_df, ts = training_set_df(spark, sf_dir)
+    model, test = _fit(ts)
     reg = ModelRegistry(spark, scratch_dir(spark, "models"))
-    model = OnDemandModel(exclude=["event_id"]).fit(train, "purchased")
     reg.log_model("travel", model, ts)
     v = reg.log_model("travel", model, ts)
     if v != 2 or reg.latest_version("travel") != 2:
         raise RuntimeError("model registry did not advance the version")
-    loaded = reg.load("travel", reg.latest_version("travel"))
-    return loaded.transform(train).select("event_id", "purchased", "prediction")
+    return _scored_twice(reg.load("travel", reg.latest_version("travel")).transform(test), model)
+
+
+@query("model_accuracy", "SELECT count(*) AS n_test, "
+       "CAST(greatest(avg(CASE WHEN coalesce(availability, 0) >= 50 THEN 1 ELSE 0 END), "
+       "avg(CASE WHEN coalesce(availability, 0) >= 50 THEN 0 ELSE 1 END)) AS DOUBLE) AS constant_accuracy, "
+       f"true AS beats_constant FROM ({_training_sql((AVAIL_CTE,), 'avail')}) WHERE {TEST_SPLIT}")
+def q_model_accuracy(spark, sf_dir):
+    """Accuracy of real scores on the held-out quarter against the constant guess.  The label
+    (at least 50 places left) follows from a feature, so a model that learns must win."""
+    _cat, _log_df, ts = training_set_df(spark, sf_dir)
+    frame = materialize(ts.load_df(), "training-set").withColumn("open", F.coalesce("availability", F.lit(0)) >= 50)
+    train, test = hash_split(frame, "event_id")
+    model = OnDemandModel(exclude=["event_id", "purchased"]).fit(train, "open")
+    scored = threshold_predictions(model.transform(test), 0.5)
+    share = F.avg(F.col("open").cast("double"))
+    return (scored.agg(F.count(F.lit(1)).alias("n_test"), F.greatest(share, 1 - share).alias("constant_accuracy"),
+                       accuracy_col("open", "prediction").alias("accuracy"))
+            .select("n_test", "constant_accuracy", (F.col("accuracy") > F.col("constant_accuracy")).alias("beats_constant")))
+
+
+@query("online_score", f"SELECT *, true AS in_range FROM ({ONLINE_SQL})")
+def q_online_score(spark, sf_dir):
+    """Requests without time or price: newest published features, then the fitted model."""
+    cat, log, ts = training_set_df(spark, sf_dir)
+    model, _ = _fit(ts)
+    for t in TABLES.values():
+        cat.publish_table(t)
+    scored = model.transform(online_features(cat, roles.requests(log)))
+    return scored.select("*", _in_range()).drop("prediction")
