@@ -81,6 +81,7 @@ class Encoder:
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         # case and the place between a letter and a comma or full stop do not matter: fewer distinct words
         self.folds = self.by_word and self._ids(["Ab, cD."]) == self._ids(["ab , cd ."])
         if self.by_word:
@@ -128,11 +129,14 @@ class Encoder:
         if not self.by_word:
             return self._ids(texts)
         parts = [self._words(t.encode("utf-8", "replace")) for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        self._learn(list(set().union(*parts).difference(self.cache)))
+        if len(self.cache) > CACHE_WORDS // 2:            # words in use come back from the older half
+            self.cache, self.older = {}, self.cache
+        known = [list(map(self.cache.get, p)) for p in parts]
+        new = {w for p, k in zip(parts, known) for w, ids in zip(p, k) if ids is None}
+        self.cache.update((w, self.older[w]) for w in new if w in self.older)
+        self._learn([w for w in new if w not in self.cache])
         get = self.cache.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        return [b"".join([get(w) if ids is None else ids for w, ids in zip(p, k)]) for p, k in zip(parts, known)]
 
 
 _encoders: dict[str, Encoder] = {}
