@@ -59,7 +59,7 @@ END_ID = 1
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 
 
-_STOP = re.compile(rb"(?<=[a-z])(?=[,.])")
+_COMMA, _STOP = re.compile(rb",(?<=[a-z],)"), re.compile(rb"\.(?<=[a-z]\.)")
 _COMBINING = re.compile(rb"\xcc|\xcd[\x80-\xaf]")   # U+0300 to U+036F
 
 
@@ -121,7 +121,7 @@ class Encoder:
 
     def _words(self, text: bytes) -> list[bytes]:
         if self.folds and not _COMBINING.search(text):   # a mark may compose with a small letter only
-            text = _STOP.sub(b" ", text.lower())
+            text = _STOP.sub(b" .", _COMMA.sub(b" ,", text.lower()))
         return text.split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
