@@ -1,10 +1,12 @@
 """HTML extraction by a maximum-scoring subsequence.
 
 A page is read as a sequence of words and tags.  A word scores positive, a tag
-negative; words inside links or inside elements that never hold an article
-(menus, headers, footers, adverts, forms ...) score negative too.  One linear
-scan finds the contiguous region with the greatest total, and the words of that
-region, less those in such elements, are the main text.
+and a word inside a link negative; elements that never hold an article (menus,
+headers, footers, adverts, forms ...) score nothing, as their words are dropped
+wherever they stand.  One linear scan finds the contiguous region with the
+greatest total.  It is closed over the blocks at its edges and over the blocks
+and lists beside it that are mostly not links, within the container that holds
+it; its words, less those in such elements, are the main text.
 
 Weights come from labelled pages: pages that mark their own content with
 ``<article>`` or ``<main>``.  From a bounded sample of them (LABELLED_PAGES,
@@ -25,7 +27,6 @@ import html as entities
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,7 @@ _NAME = re.compile(r"[a-z]+|\d+")
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LABELS = frozenset(("article", "main"))
 #: elements that hold no article text, and the words in a class, id or role that say the same
@@ -61,37 +63,52 @@ CONTAINERS = frozenset("div section article main nav header footer aside form ul
                        "select button details figure blockquote center".split())
 
 
-def pieces(page: str) -> Iterator[tuple[str, str, bool, bool]]:
-    """(kind, content, in boilerplate, in labelled content) of every text run and tag.
-    kind: 'tag', 'word' (text outside links) or 'link' (text inside a link); content: tag name or raw text."""
-    open_elements: list[tuple[str, bool, bool]] = []      # name, boilerplate, label (each: own or inherited)
+class Element:
+    """An open container: what stands in it is boilerplate or labelled content if it or one around it is."""
+
+    __slots__ = ("name", "parent", "depth", "at", "boiler", "label")
+
+    def __init__(self, name: str, parent: Element | None, at: int, boiler: bool, label: bool):
+        self.name, self.parent, self.at, self.boiler, self.label = name, parent, at, boiler, label
+        self.depth = parent.depth + 1 if parent else 0
+
+
+def pieces(page: str) -> list[tuple[str, str, int, Element]]:
+    """(kind, content, words, element) of every text run and tag.  kind: 'tag', 'word' (text outside links) or 'link'
+    (text inside a link); content: tag name or raw text; element: the innermost container (a tag that opens or closes
+    one stands in the container that is open after it)."""
+    found: list[tuple[str, str, int, Element]] = []
+    inner = Element("", None, -1, False, False)           # innermost open container
     link, at = False, 0
-    boiler = label = False
     for m in _PIECE.finditer(page):
         if m.start() > at:
-            yield ("link" if link else "word"), page[at:m.start()], boiler, label
+            text = page[at:m.start()]
+            found.append(("link" if link else "word", text, len(text.split()), inner))
         at = m.end()
         name = (m[3] or "").lower()
         if not name:
             if m[1]:
-                yield "tag", m[1].lower(), boiler, label
+                found.append(("tag", m[1].lower(), 0, inner))
             continue
         if name == "a":
             link = not m[2]
         if name in CONTAINERS:
             if m[2]:
-                if any(name == x[0] for x in open_elements):
-                    while open_elements.pop()[0] != name:
-                        pass
+                e = inner
+                while e.parent and e.name != name:
+                    e = e.parent
+                if e.parent:
+                    inner = e.parent
             elif name in LABELS:                          # content ends whatever menu was left open
-                open_elements.append((name, _boilerplate(name, m[4]), True))
+                inner = Element(name, inner, len(found), _boilerplate(name, m[4]), True)
                 link = False
             elif not m[4].rstrip().endswith("/"):
-                open_elements.append((name, boiler or _boilerplate(name, m[4]), label))
-            boiler, label = open_elements[-1][1:] if open_elements else (False, False)
-        yield "tag", name, boiler, label
+                inner = Element(name, inner, len(found), inner.boiler or _boilerplate(name, m[4]), inner.label)
+        found.append(("tag", name, 0, inner))
     if at < len(page):
-        yield ("link" if link else "word"), page[at:], boiler, label
+        text = page[at:]
+        found.append(("link" if link else "word", text, len(text.split()), inner))
+    return found
 
 
 def _boilerplate(name: str, attributes: str) -> bool:
@@ -129,11 +146,11 @@ def learn_weights(pages: DataFrame, html_col: str = "html", by: str = "url", lim
         inside, outside = Counter(), Counter()
         for pdf in batches:
             for page in pdf["html"]:
-                for kind, content, boiler, label in pieces(page):
-                    if kind == "tag" and content in LABELS:
-                        continue
-                    n = 1 if kind == "tag" else len(content.split())
-                    (inside if label and not boiler else outside)[_feature(kind, content, boiler)] += n
+                for kind, content, n, e in pieces(page):
+                    if kind == "tag" and (e.boiler or content in LABELS):
+                        continue                          # tags in boilerplate are not scored
+                    n = 1 if kind == "tag" else n
+                    (inside if e.label and not e.boiler else outside)[_feature(kind, content, e.boiler)] += n
         names = sorted(inside | outside)
         yield pd.DataFrame({"feature": names, "inside": [float(inside[x]) for x in names],
                             "outside": [float(outside[x]) for x in names]})
@@ -146,29 +163,84 @@ def learn_weights(pages: DataFrame, html_col: str = "html", by: str = "url", lim
     return PRIOR | {r.feature: _weight(r.feature, r.inside, r.outside, all_in, all_out) for r in rows}
 
 
+def _grow(found: list[tuple[str, str, int, Element]], start: int, end: int) -> tuple[int, int]:
+    """The region closed over the blocks at its edges, then at either edge over its neighbours in the container there:
+    block by block, lists, tables and other containers as one, while a block has more words outside links than inside.
+    Paragraphs of links are taken too unless they stand in the body itself.  From the end of a container this goes on in
+    the one around it, up to the one that holds the region, and inside labelled content further outwards."""
+    def block_tag(i: int) -> bool:
+        return found[i][0] == "tag" and found[i][1] not in INLINE and found[i][1] not in VOID
+
+    def cut(i: int, here: Element) -> bool:               # a block, list or other container begins or ends
+        e = found[i][3]
+        return block_tag(i) if e is here else e.parent is here and e.at == i
+
+    while start > 0 and not block_tag(start - 1):
+        start -= 1
+    while end < len(found) and not block_tag(end):
+        end += 1
+    # the page is read along the tree of containers, so the one of least depth in the region holds all of it
+    home = min((found[i][3] for i in range(start, end)), key=lambda e: e.depth)
+
+    def outwards(here: Element) -> Element | None:
+        return here.parent if here.parent and (here.depth > home.depth or here.parent.label) else None
+
+    here = found[start][3].parent if found[start][3].at == start else found[start][3]
+    while here:
+        at, more = start, True
+        while more and at > here.at + 1:
+            at -= 1
+            if at == here.at + 1 or cut(at, here):
+                if more := _content(found, at, start, here):
+                    start = at
+        outer = outwards(here) if more else None
+        start, here = here.at if outer else start, outer
+    here = found[end - 1][3]
+    while here:
+        at, more = end, True
+        while more and at < len(found) and found[at][3].depth >= here.depth:
+            at += 1
+            if at == len(found) or found[at][3].depth < here.depth or cut(at, here):
+                if more := _content(found, end, at, here):
+                    end = at
+        here = outwards(here) if more else None
+    return start, end
+
+
+def _content(found: list[tuple[str, str, int, Element]], start: int, end: int, home: Element) -> bool:
+    """Whether a block belongs to the region beside it; blocks without words and boilerplate do no harm."""
+    words = sum(n for kind, _, n, e in found[start:end] if kind == "word" and not e.boiler)
+    links = sum(n for kind, _, n, e in found[start:end] if kind == "link" and not e.boiler)
+    return words > links or not links or found[start][1] in PARAGRAPHS and home.name not in ("", "body")
+
+
 def main_text(page: str | None, weights: dict[str, float]) -> str:
     """The words of the greatest-scoring region, block by block."""
     if not page:
         return ""
-    found = list(pieces(page))
+    found = pieces(page)
     best = total = 0.0
-    start, region = 0, (0, 0)
-    for i, (kind, content, boiler, _) in enumerate(found):
-        w = weights.get(_feature(kind, content, boiler))
+    start, region = 0, None
+    for i, (kind, content, n, e) in enumerate(found):
+        if e.boiler:                                      # its words are dropped below, so they count nothing
+            continue
+        w = weights.get(_feature(kind, content, False))
         if w is None:
             w = -LEAST if content in INLINE or content in VOID else -1.0
-        total += w * (1 if kind == "tag" else len(content.split()))
+        total += w * (1 if kind == "tag" else n)
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best:
             best, region = total, (start, i + 1)
+    if region is None:
+        return ""
     blocks, block = [], []
-    for kind, content, boiler, _ in found[slice(*region)]:
+    for kind, content, _, e in found[slice(*_grow(found, *region))]:
         if kind == "tag":
             if content not in INLINE:
                 blocks.append("".join(block))
                 block = []
-        elif not boiler:
+        elif not e.boiler:
             block.append(content)
     blocks.append("".join(block))
     clean = (" ".join(entities.unescape(b).split()) for b in blocks)

@@ -158,6 +158,35 @@ def test_html_region_without_labels():
     assert op3_html.main_text(page, op3_html.PRIOR) == " ".join(["real text"] * 36)
 
 
+LEARNED = op3_html.PRIOR | {"word": 4.0, "link": -4.0, "boilerplate word": -4.0, "tag p": -0.02, "tag h1": -0.02}   # as learned from the given pages
+
+
+@pytest.mark.parametrize("weights", [op3_html.PRIOR, LEARNED])
+@pytest.mark.parametrize("block", ["<div class=ad><p>{}</p></div>", "<form><p>{}</form>", "<aside>{}</aside>",
+                                   "<section class='comments'><ul><li>{}</li></ul></section>", "<div id=cookie>{}</div>"])
+def test_html_boilerplate_inside_an_article(weights, block):
+    long, close, other = " ".join(["long"] * 100), " ".join(["close"] * 20), " ".join(["other"] * 30)
+    menu = "<div><a href=1>x</a><a href=2>y</a></div>"
+    for first, last in ((long, close), (close, long)):
+        page = f"<body>{menu}<article><p>{first}</p>{block.format(other)}<p>{last}</p></article>{menu}</body>"
+        assert op3_html.main_text(page, weights) == f"{first} {last}"
+
+
+@pytest.mark.parametrize("weights", [op3_html.PRIOR, LEARNED])
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div>{}</div>", "<article><h1>Why</h1><div>{}</div><p>So</p></article>"])
+@pytest.mark.parametrize("edge,text", [
+    ("<p>See <a href=x>the whole long report here</a></p>", "See the whole long report here"),
+    ("<p><a href=x>the report</a></p>", "the report"), ("<p><a href=x>the report</a> and <a href=y>its many notes</a>",
+    "the report and its many notes"), ("<ul><li>one</li><li>two</li></ul>", "one two"), ("<blockquote><b>so</b></blockquote>", "so")])
+def test_html_links_and_lists_at_the_edge(weights, around, edge, text):
+    words = " ".join(["word"] * 60)
+    menu = "<div><ul><li><a href=1>x</a></li><li><a href=2>y</a></li></ul></div>"
+    h, s = ("Why ", " So") if "Why" in around else ("", "")
+    for body, want in ((f"<p>{words}</p>{edge}", f"{words} {text}"), (f"{edge}<p>{words}</p>", f"{text} {words}")):
+        page = f"<html><body>{menu}{around.format(body)}{menu}</body></html>"
+        assert op3_html.main_text(page, weights) == f"{h}{want}{s}"
+
+
 # --- op4
 
 
