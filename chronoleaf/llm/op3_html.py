@@ -16,7 +16,9 @@ are the weights.  The markup that gives the label is itself no feature.  With
 no labelled page the prior weights hold.
 
 Defined results: null html gives an empty text; character references are
-decoded; white space inside a block becomes one space; blocks are joined in
+decoded; an element that only its class, id or role calls boilerplate is none
+while it holds most of the page's words (see _resolve); a link left open ends at
+the next block tag, and <a name=...> is no link; white space inside a block becomes one space; blocks are joined in
 page order by one space; unclosed or stray tags are read as they come; null ids
 pass through; other columns are ignored; an empty table gives no rows.
 """
@@ -45,15 +47,17 @@ _PIECE = re.compile(
     r"|<[!?][^>]*>?"                                                         # doctype and the like
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"             # tag
     r"|</?[a-zA-Z][^>]*>?", re.S | re.I)                                     # tag with a broken attribute
-_ATTR = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_NAME = re.compile(r"[a-z]+|\d+")
+_ATTR = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_BETWEEN = re.compile(r"[\W\d_]+")
+_LINK = re.compile(r"<(/?)a[\s/>]", re.I)
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LABELS = frozenset(("article", "main"))
-#: elements that hold no article text, and the words in a class, id or role that say the same
+#: elements that hold no article text, and the classes, ids and roles that say the same, alone or joined with each other
+#: ("ad", "ad-banner", "share_2"; not "no-sidebar" or "with-comments")
 BOILERPLATE = frozenset("nav header footer aside form button select dialog menu fieldset".split())
 BOILER_NAMES = frozenset(
     "ad ads adv advert advertisement sponsor sponsored promo banner cookie cookies consent notice popup modal nav "
@@ -66,11 +70,35 @@ CONTAINERS = frozenset("div section article main nav header footer aside form ul
 class Element:
     """An open container: what stands in it is boilerplate or labelled content if it or one around it is."""
 
-    __slots__ = ("name", "parent", "depth", "at", "boiler", "label")
+    __slots__ = ("name", "parent", "depth", "at", "boiler", "label", "named", "words", "holds")
 
-    def __init__(self, name: str, parent: Element | None, at: int, boiler: bool, label: bool):
-        self.name, self.parent, self.at, self.boiler, self.label = name, parent, at, boiler, label
+    def __init__(self, name: str, parent: Element | None, at: int, attributes: str = ""):
+        self.name, self.parent, self.at = name, parent, at
         self.depth = parent.depth + 1 if parent else 0
+        self.label = max(1 + (name == "article") if name in LABELS else 0, parent.label if parent else 0)   # 2: article
+        self.boiler = name in BOILERPLATE or name not in LABELS and parent is not None and parent.boiler
+        # by its class alone: not the body, nor what marks the content (an article inside an article is a comment on it)
+        self.named = bool(attributes) and name != "body" and (name not in LABELS or parent.label == 2) and _named(attributes)
+        self.words, self.holds = 0, name in LABELS
+
+
+def _resolve(elements: list[Element]) -> None:
+    """Elements that a class, id or role names are boilerplate, unless they hold most of the page's words (those outside
+    links and BOILERPLATE): more than half of them, or nine in ten inside labelled content, which longer comments may
+    follow.  Beside labelled content they are always boilerplate.  Parents come first in ``elements``."""
+    for e in reversed(elements):
+        if e.parent and e.name not in BOILERPLATE:
+            e.parent.words += e.words
+        if e.parent and e.holds:
+            e.parent.holds = True
+    page = elements[0]
+    for e in elements[1:]:
+        if e.named:
+            if e.parent.label:
+                e.named = e.words < 0.9 * page.words
+            elif e.holds or not page.holds:
+                e.named = 2 * e.words <= page.words
+        e.boiler = e.name in BOILERPLATE or e.named or e.name not in LABELS and e.parent.boiler
 
 
 def pieces(page: str) -> list[tuple[str, str, int, Element]]:
@@ -78,12 +106,15 @@ def pieces(page: str) -> list[tuple[str, str, int, Element]]:
     (text inside a link); content: tag name or raw text; element: the innermost container (a tag that opens or closes
     one stands in the container that is open after it)."""
     found: list[tuple[str, str, int, Element]] = []
-    inner = Element("", None, -1, False, False)           # innermost open container
-    link, at = False, 0
+    inner = Element("", None, -1)                         # innermost open container
+    elements = [inner]
+    link, closed, at = False, False, 0
     for m in _PIECE.finditer(page):
         if m.start() > at:
             text = page[at:m.start()]
-            found.append(("link" if link else "word", text, len(text.split()), inner))
+            n = len(text.split())
+            found.append(("link" if link else "word", text, n, inner))
+            inner.words += 0 if link else n
         at = m.end()
         name = (m[3] or "").lower()
         if not name:
@@ -91,7 +122,10 @@ def pieces(page: str) -> list[tuple[str, str, int, Element]]:
                 found.append(("tag", m[1].lower(), 0, inner))
             continue
         if name == "a":
-            link = not m[2]
+            link = not m[2] and ("href" in m[4].lower() or "name" not in m[4].lower())   # else a place, not a link
+            closed = link and (after := _LINK.search(page, at)) is not None and after[1] == "/"
+        elif link and not closed and name not in INLINE and name not in VOID:
+            link = False                                  # a link left open ends with its block
         if name in CONTAINERS:
             if m[2]:
                 e = inner
@@ -99,22 +133,30 @@ def pieces(page: str) -> list[tuple[str, str, int, Element]]:
                     e = e.parent
                 if e.parent:
                     inner = e.parent
-            elif name in LABELS:                          # content ends whatever menu was left open
-                inner = Element(name, inner, len(found), _boilerplate(name, m[4]), True)
-                link = False
-            elif not m[4].rstrip().endswith("/"):
-                inner = Element(name, inner, len(found), inner.boiler or _boilerplate(name, m[4]), inner.label)
+            elif name in LABELS or not m[4].rstrip().endswith("/"):
+                if name in LABELS:                        # content ends whatever menu or link was left open
+                    link = False
+                inner = Element(name, inner, len(found), m[4])
+                elements.append(inner)
         found.append(("tag", name, 0, inner))
     if at < len(page):
         text = page[at:]
-        found.append(("link" if link else "word", text, len(text.split()), inner))
+        n = len(text.split())
+        found.append(("link" if link else "word", text, n, inner))
+        inner.words += 0 if link else n
+    if any(e.named for e in elements):
+        _resolve(elements)
     return found
 
 
-def _boilerplate(name: str, attributes: str) -> bool:
-    if name in BOILERPLATE:
-        return True
-    return any(not BOILER_NAMES.isdisjoint(_NAME.findall(value.lower())) for _, value in _ATTR.findall(attributes))
+def _named(attributes: str) -> bool:
+    """Whether a class, id or role is a name of boilerplate as a whole, or joined of such names only."""
+    for _, value in _ATTR.findall(attributes):
+        for name in value.strip("\"'").lower().split():
+            parts = [x for x in _BETWEEN.split(name) if x]
+            if parts and BOILER_NAMES.issuperset(parts):
+                return True
+    return False
 
 
 def _feature(kind: str, content: str, boiler: bool) -> str:

@@ -187,6 +187,32 @@ def test_html_links_and_lists_at_the_edge(weights, around, edge, text):
         assert op3_html.main_text(page, weights) == f"{h}{want}{s}"
 
 
+@pytest.mark.parametrize("weights", [op3_html.PRIOR, LEARNED])
+def test_html_classes_do_not_hide_the_page(weights):
+    text, menu = " ".join(["word"] * 60), "<ul><li><a href=1>x</a></li><li><a href=2>y</a></li></ul>"
+    for open_, close in (("<body class='no-sidebar'>", ""), ("<body class='sidebar'>", ""), ("<div id=page class='has-sidebar'>", "</div>"),
+                         ("<article class='post share-enabled'>", "</article>"), ("<article class=widget>", "</article>"),
+                         ("<main id=main role=main class='share'>", "</main>"), ("<div class='content with-comments'>", "</div>"),
+                         ("<div class=widget>", "</div>"), ("<div class=banner><div class='share widget'>", "</div></div>"),
+                         ("<article><div class=widget>", "</div></article>"), ("<div data-id=ad>", "</div>")):
+        assert op3_html.main_text(f"{menu}{open_}<p>{text}</p>{close}{menu}", weights) == text, open_
+    # they do hide what is not the page
+    for other in ("<div class=ad>", "<div class='box ad-banner'>", "<div id=comments>", "<div class='share_2'>", "<div role='navigation'>"):
+        assert op3_html.main_text(f"<body><div><p>{text}</p>{other}<p>{text[:100]}</p></div><p>{text}</p></div>", weights) == f"{text} {text}", other
+        assert op3_html.main_text(f"{other}<p>{text}</p></div><article><p>one two three</p></article>", weights) == "one two three"
+        assert op3_html.main_text(f"<article><p>one two three</p>{other}{text[:40]}</div></article>", weights) == "one two three"
+
+
+def test_html_open_links_end_with_their_block():
+    text = " ".join(["word"] * 60)
+    for start in ("<p><a name=top></p>", "<a name=top>", "<p><a href=x>go<br></p>", "<a href=x>go"):
+        page = f"<body><article><p>{text}</p>{start}<p>{text}</p><p>{text} <a href=y>z</a></p></article></body>"
+        kinds = [k for k, content, _, _ in op3_html.pieces(page) if "word" in content]
+        assert kinds == ["word"] * 3, start
+        assert op3_html.main_text(page, LEARNED) == f"{text}{' go' * ('go' in start)} {text} {text} z"
+    assert [k for k, _, n, _ in op3_html.pieces("<a href=x><h2>title</h2><p>teaser</p></a>") if n] == ["link", "link"]
+
+
 # --- op4
 
 
