@@ -13,6 +13,14 @@ task ships one stretch of text for all of them (about three words a suffix, not
 twenty).  Groups are dealt into as many buckets as keep one bucket's text near
 BUCKET_BYTES.
 
+Frequent runs.  Every place of an anchor ships one stretch at most, so a group
+outgrows a bucket only if its run of ANCHOR words occurs that often.  Such runs
+are counted first (in a sample of the text, with partial aggregation; it only
+decides where windows meet) and are taken as anchors last: a window around a
+common phrase goes by a run of the differing text beside it, which makes its
+prefix longer.  Windows of frequent runs alone have all their words as prefix:
+they are shipped one by one and dealt by the hash of the whole window.
+
 Pre-aggregation.  Within one chunk of a scan task, stretches with equal words
 are shipped once; the later ones are repeats already.  So a passage that a third
 of all documents share costs one stretch per chunk.
@@ -50,6 +58,9 @@ ANCHOR = 4                      # words in an anchor
 CHUNK_BYTES = 6 << 20           # text handled at once in a scan task
 BUCKET_BYTES = 14 << 20         # text of one bucket
 SHIPPED = 3.5                   # shipped text per input text before pre-aggregation, about
+WORD_BYTES = 8                  # of a word and the space after it, at most about
+SAMPLED = 256                   # places in the sample of a run that fills a bucket
+BLOCK = 8192                    # characters that are sampled together
 _IDX = np.uint64((1 << 32) - 1)
 _NULL_ID = np.iinfo(np.int64).min
 
@@ -58,24 +69,60 @@ def _normal(text: str | None) -> bytes:
     return b" ".join((text or "").encode("utf-8", "replace").split())
 
 
-def _anchors(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor position for every window start, and the hash of the anchor at every position."""
+def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(x), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
+
+
+def _anchors(h: np.ndarray, width: int, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor position for every window start; the hash of the run at every position, and whether it is frequent."""
     gram = W.run_hashes(h, ANCHOR)
-    low = (gram & ~_IDX) | np.arange(len(gram), dtype=np.uint64)   # least hash, then leftmost
+    often = _among(gram, frequent)
+    rank = (gram >> np.uint64(33)) | (often.astype(np.uint64) << np.uint64(31))
+    low = (rank << np.uint64(32)) | np.arange(len(gram), dtype=np.uint64)   # frequent last, least hash, then leftmost
     have, n = low, 1                                               # minimum over n neighbours, by doubling
     while 2 * n <= width:
         have = np.minimum(have[:-n], have[n:])
         n *= 2
     rest = width - n
     best = np.minimum(have[:len(have) - rest], have[rest:]) if rest else have
-    return (best & _IDX).astype(np.int64), gram
+    return (best & _IDX).astype(np.int64), gram, often
+
+
+def _count_runs(batches):
+    """Runs of ANCHOR words inside one text, by hash, and how often each occurs in a batch."""
+    for pdf in batches:
+        texts = [_normal(t) for t in pdf["text"]]
+        buf = b"\n".join(texts)
+        start, end = W.spans(buf)
+        doc = W.owners(np.array([len(t) for t in texts]), start)
+        gram = W.run_hashes(W.word_hashes(buf, start, end), ANCHOR)
+        gram, n = np.unique(gram[doc[:len(gram)] == doc[ANCHOR - 1:]] if len(gram) else gram, return_counts=True)
+        yield pd.DataFrame({"run": gram.view(np.int64), "n": n.astype(np.int64)})
+
+
+def frequent_runs(docs: DataFrame, window: int = WINDOW) -> np.ndarray:
+    """Sorted hashes of the runs of ANCHOR words whose stretches may fill half a bucket or more."""
+    most = max(1, BUCKET_BYTES // (WORD_BYTES * (2 * window - ANCHOR)))      # places that fill a bucket
+    rate = min(1.0, SAMPLED / most)
+    text = F.coalesce("text", F.lit(""))
+    numbered = docs.select(text.alias("text"), F.monotonically_increasing_id().alias("row"))
+    picked = F.filter(F.sequence(F.lit(0), F.floor(F.char_length("text") / BLOCK).cast("int")),
+                      lambda b: F.pmod(F.xxhash64("row", b), F.lit(1 << 20)) < int(rate * (1 << 20)))
+    blocks = numbered.select(F.explode(F.transform(
+        picked, lambda b: F.substr("text", b * BLOCK + 1, F.lit(BLOCK)))).alias("text"))
+    rows = (blocks.mapInPandas(_count_runs, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
+            .where(F.col("n") >= math.ceil(most * rate / 2)).select("run").collect())
+    return np.sort(np.array([r.run for r in rows], np.int64).view(np.uint64))
 
 
 def _ranges(start: np.ndarray, n: np.ndarray) -> bytes:
     return np.stack([start, n]).astype("<u4").tobytes()
 
 
-def _split(ids: list[int], texts: list[bytes], buckets: int, window: int) -> Iterator[tuple]:
+def _split(ids: list[int], texts: list[bytes], buckets: int, window: int,
+           frequent: np.ndarray = np.zeros(0, np.uint64)) -> Iterator[tuple]:
     """Rows (bucket, found, doc_id, payload) of a chunk: stretches for a bucket, or (found) repeats of a document."""
     order = sorted(range(len(ids)), key=ids.__getitem__)
     ids, texts = np.array(ids, np.int64)[order], [texts[i] for i in order]
@@ -86,18 +133,20 @@ def _split(ids: list[int], texts: list[bytes], buckets: int, window: int) -> Ite
     doc = W.owners(np.array([len(t) for t in texts]), start)
     first_word = np.searchsorted(doc, np.arange(len(texts)))       # of each document
     h = W.word_hashes(buf, start, end)
-    anchor, gram = _anchors(h, window - ANCHOR + 1)
+    anchor, gram, often = _anchors(h, window - ANCHOR + 1, frequent)
     at = np.flatnonzero(doc[:len(start) - window + 1] == doc[window - 1:])
     if not len(at):
         return
     anchor = anchor[at]
     new = np.ones(len(at), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1) | (doc[at[1:]] != doc[at[:-1]])
+    new |= often[anchor]                                           # dealt one by one
     head = np.flatnonzero(new)
     n = np.diff(np.append(head, len(at)))                          # windows of each stretch
     left = at[head]
     offset = np.arange(len(at)) - np.repeat(head, n)
-    whole = W.run_hashes(h, window)[at] * W.mix(offset.astype(np.uint64) + np.uint64(1))
+    windows = W.run_hashes(h, window)[at]
+    whole = windows * W.mix(offset.astype(np.uint64) + np.uint64(1))
     label = W.mix(np.add.reduceat(whole, head) + n.astype(np.uint64))
     lo, hi = start[left], end[left + n + window - 2]
     _, first, same = np.unique(label, return_index=True, return_inverse=True)
@@ -115,7 +164,9 @@ def _split(ids: list[int], texts: list[bytes], buckets: int, window: int) -> Ite
         for d, own in zip(*_groups(owner, again)):
             yield int(ids[d]) % buckets, True, int(ids[d]), _ranges(left[own] - first_word[d], n[own])
     ship = np.setdiff1d(np.arange(len(left)), again, assume_unique=True)
-    bucket = ((gram[anchor[head[ship]]] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    prefix = anchor[head[ship]]
+    prefix = np.where(often[prefix], windows[head[ship]], gram[prefix])
+    bucket = ((prefix >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
     by = np.argsort(bucket, kind="stable")
     ship, bucket = ship[by], bucket[by]
     packer = zstandard.ZstdCompressor(level=3)
@@ -134,12 +185,12 @@ def _groups(key: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, list[np.ndar
     return key[np.append(0, cut)], np.split(rows, cut)
 
 
-def _splitter(buckets: int, window: int):
+def _splitter(buckets: int, window: int, frequent: np.ndarray):
     def split(batches):
         ids, texts, size = [], [], 0
 
         def rows():
-            found = list(_split(ids, texts, buckets, window))
+            found = list(_split(ids, texts, buckets, window, frequent))
             return pd.DataFrame(found, columns=["bucket", "found", "doc_id", "payload"])
 
         for pdf in batches:
@@ -245,8 +296,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     small_batches(spark)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(shuffle_partitions(spark), math.ceil(size * SHIPPED / BUCKET_BYTES))
+    frequent = frequent_runs(docs, window) if size * SHIPPED > BUCKET_BYTES else np.zeros(0, np.uint64)
     shipped = docs.select("doc_id", "text").mapInPandas(
-        _splitter(buckets, window), "bucket int, found boolean, doc_id long, payload binary")
+        _splitter(buckets, window, frequent), "bucket int, found boolean, doc_id long, payload binary")
     return (shipped.repartition(buckets, "bucket").sortWithinPartitions("bucket")
             .mapInPandas(_finder(window), "doc_id long, ranges binary"))
 

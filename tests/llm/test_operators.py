@@ -248,6 +248,26 @@ def test_substring_null_ids_and_empty(spark):
     assert op4_substring.drop_repeats(docs(spark, [])).count() == 0
 
 
+def test_substring_splits_groups_of_common_phrases(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    word = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 10**6, n))      # noqa: E731
+    licence = " ".join(f"l{i}" for i in range(30))
+    rows = [(i, f"{word(30)} all rights reserved here now {word(30)} {licence if i % 2 else word(9)} {word(25)}") for i in range(600)]
+    monkeypatch.setattr(op4_substring, "BUCKET_BYTES", 40_000)                 # 138 stretches
+    frequent = op4_substring.frequent_runs(docs(spark, rows))
+    assert len(frequent) == 2 + 27                                             # of the phrase, of the licence
+    held = []
+    for b, found, _, p in op4_substring._split([d for d, _ in rows], [op4_substring._normal(t) for _, t in rows], 997, 20, frequent):
+        if not found:
+            raw = op4_substring.zstandard.ZstdDecompressor().decompress(p)
+            held.append(struct.unpack_from("<I", raw)[0])
+    assert max(held) < 138 and sum(held) > 5000
+    out = got(op4_substring.drop_repeats(docs(spark, rows).repartition(3)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256)))
+    assert out == sorted(op4_substring.brute_force(rows), key=str)
+    assert sum(r[2] for r in out) == 299 * 30
+
+
 # --- op5
 
 
