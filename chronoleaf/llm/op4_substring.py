@@ -31,10 +31,14 @@ node part by their next words, children with one leaf are dropped, and at depth
 of the words; each repeat is compared with the earliest leaf byte by byte, so a
 clash of hashes removes nothing.
 
+Rows.  Where a doc_id (or null) stands on several rows, the stretches also carry
+a hash of the row's text, and the repeats are joined back by both; doc_id alone
+gives the order.
+
 Defined results: null text has no words; a null doc_id counts as the smallest;
-rows repeated with their doc_id are one document (neither copy is earlier); rows
-with one doc_id and different texts lose the words at every place where one of
-them has a repeat; an empty table gives no rows; other columns are ignored.
+rows repeated with their doc_id are one document (neither copy is earlier); of
+rows with one doc_id and different texts, windows at the same place are not
+earlier than each other either; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -122,9 +126,11 @@ def _ranges(start: np.ndarray, n: np.ndarray) -> bytes:
 
 
 def _split(ids: list[int], texts: list[bytes], buckets: int, window: int,
-           frequent: np.ndarray = np.zeros(0, np.uint64)) -> Iterator[tuple]:
-    """Rows (bucket, found, doc_id, payload) of a chunk: stretches for a bucket, or (found) repeats of a document."""
+           frequent: np.ndarray = np.zeros(0, np.uint64), keys: list[int] | None = None) -> Iterator[tuple]:
+    """Rows (bucket, found, doc_id, payload) of a chunk: stretches for a bucket, or (found) repeats of a document.
+    With ``keys`` (of the rows), doc_id is (doc_id, key)."""
     order = sorted(range(len(ids)), key=ids.__getitem__)
+    row = np.array(keys if keys is not None else [0] * len(ids), np.int64)[order]
     ids, texts = np.array(ids, np.int64)[order], [texts[i] for i in order]
     buf = b"\n".join(texts)
     start, end = W.spans(buf)
@@ -162,7 +168,7 @@ def _split(ids: list[int], texts: list[bytes], buckets: int, window: int,
         again = again[equal]
         owner = doc[left[again]]
         for d, own in zip(*_groups(owner, again)):
-            yield int(ids[d]) % buckets, True, int(ids[d]), _ranges(left[own] - first_word[d], n[own])
+            yield int(ids[d]) % buckets, True, int(ids[d]) if keys is None else (int(ids[d]), int(row[d])), _ranges(left[own] - first_word[d], n[own])
     ship = np.setdiff1d(np.arange(len(left)), again, assume_unique=True)
     prefix = anchor[head[ship]]
     prefix = np.where(often[prefix], windows[head[ship]], gram[prefix])
@@ -172,9 +178,9 @@ def _split(ids: list[int], texts: list[bytes], buckets: int, window: int,
     packer = zstandard.ZstdCompressor(level=3)
     owner = doc[left]
     for b, own in zip(*_groups(bucket, ship)):
-        fixed = (ids[owner[own]].astype("<i8"), (left[own] - first_word[owner[own]]).astype("<u4"), n[own].astype("<u1"))
+        fixed = (ids[owner[own]].astype("<i8"), row[owner[own]].astype("<i8"), (left[own] - first_word[owner[own]]).astype("<u4"), n[own].astype("<u1"))
         text = b"\n".join(buf[x:y] for x, y in zip(lo[own].tolist(), hi[own].tolist()))
-        yield int(b), False, 0, packer.compress(struct.pack("<I", len(own)) + b"".join(x.tobytes() for x in fixed) + text)
+        yield int(b), False, 0 if keys is None else (0, 0), packer.compress(struct.pack("<I", len(own)) + b"".join(x.tobytes() for x in fixed) + text)
 
 
 def _groups(key: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -187,20 +193,21 @@ def _groups(key: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, list[np.ndar
 
 def _splitter(buckets: int, window: int, frequent: np.ndarray):
     def split(batches):
-        ids, texts, size = [], [], 0
+        ids, keys, texts, size = [], [], [], 0
 
         def rows():
-            found = list(_split(ids, texts, buckets, window, frequent))
-            return pd.DataFrame(found, columns=["bucket", "found", "doc_id", "payload"])
+            found = [(b, known, *d, p) for b, known, d, p in _split(ids, texts, buckets, window, frequent, keys)]
+            return pd.DataFrame(found, columns=["bucket", "found", "doc_id", "row", "payload"])
 
         for pdf in batches:
-            for i, t in zip(pdf["doc_id"].tolist(), pdf["text"]):
+            for i, k, t in zip(pdf["doc_id"].tolist(), pdf["row"].tolist(), pdf["text"]):
                 ids.append(i)
+                keys.append(k)
                 texts.append(_normal(t))
                 size += len(texts[-1])
                 if size >= CHUNK_BYTES:
                     yield rows()
-                    ids, texts, size = [], [], 0
+                    ids, keys, texts, size = [], [], [], 0
         yield rows()
 
     return split
@@ -219,16 +226,18 @@ def deep_nodes(h: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, n
     return leaf, node
 
 
-def _repeats(payloads: list[bytes], window: int) -> Iterator[tuple[int, bytes]]:
-    """(doc_id, ranges) of every window of one bucket that starts earlier elsewhere."""
-    ids, begin, n, texts = [], [], [], []
+def _repeats(payloads: list[bytes], window: int, keyed: bool = False) -> Iterator[tuple]:
+    """(doc_id, ranges) of every window of one bucket that starts earlier elsewhere; ``keyed``: doc_id is (doc_id, key)."""
+    ids, keys, begin, n, texts = [], [], [], [], []
     for p in payloads:
         raw = zstandard.ZstdDecompressor().decompress(p)
         m = struct.unpack_from("<I", raw)[0]
         ids.append(np.frombuffer(raw, "<i8", m, 4))
-        begin.append(np.frombuffer(raw, "<u4", m, 4 + 8 * m))
-        n.append(np.frombuffer(raw, "<u1", m, 4 + 12 * m))
-        texts.append(raw[4 + 13 * m:])
+        keys.append(np.frombuffer(raw, "<i8", m, 4 + 8 * m))
+        begin.append(np.frombuffer(raw, "<u4", m, 4 + 16 * m))
+        n.append(np.frombuffer(raw, "<u1", m, 4 + 20 * m))
+        texts.append(raw[4 + 21 * m:])
+    keys = np.concatenate(keys)
     ids, begin, n = np.concatenate(ids), np.concatenate(begin).astype(np.int64), np.concatenate(n).astype(np.int64)
     buf = b"\n".join(texts)
     del texts
@@ -241,9 +250,9 @@ def _repeats(payloads: list[bytes], window: int) -> Iterator[tuple[int, bytes]]:
     leaf, node = deep_nodes(h, at, window)
     if not len(leaf):
         return
-    doc, pos, at = ids[stretch[leaf]], (begin[stretch] + step)[leaf], at[leaf]
+    doc, key, pos, at = ids[stretch[leaf]], keys[stretch[leaf]], (begin[stretch] + step)[leaf], at[leaf]
     order = np.lexsort((pos, doc, node))
-    node, doc, pos, at = node[order], doc[order], pos[order], at[order]
+    node, doc, key, pos, at = node[order], doc[order], key[order], pos[order], at[order]
     first = np.searchsorted(node, node)                            # the earliest leaf of the same node
     later = (doc != doc[first]) | (pos != pos[first])
     lo, size = start[at], end[at + window - 1] - start[at]
@@ -254,14 +263,17 @@ def _repeats(payloads: list[bytes], window: int) -> Iterator[tuple[int, bytes]]:
         for j in np.flatnonzero(node == i):
             k = earliest.setdefault(buf[lo[j]:lo[j] + size[j]], j)
             later[j] = (doc[j], pos[j]) != (doc[k], pos[k])
-    doc, pos = doc[later], pos[later]
-    order = np.lexsort((pos, doc))
-    doc, pos = doc[order], pos[order]
+    doc, key, pos = doc[later], key[later], pos[later]
+    order = np.lexsort((pos, key, doc))
+    doc, key, pos = doc[order], key[order], pos[order]
     if len(doc):
-        run = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (pos[1:] > pos[:-1] + 1)))
+        other = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])      # the next row
+        run = np.flatnonzero(np.append(True, other | (pos[1:] > pos[:-1] + 1)))
         length = pos[np.append(run[1:], len(pos)) - 1] - pos[run] + 1
-        for d, own in zip(*_groups(doc[run], np.arange(len(run)))):
-            yield int(d), _ranges(pos[run[own]], length[own])
+        row = np.cumsum(np.append(0, other))
+        for _, own in zip(*_groups(row[run], np.arange(len(run)))):
+            d, k = int(doc[run[own[0]]]), int(key[run[own[0]]])
+            yield (d, k) if keyed else d, _ranges(pos[run[own]], length[own])
 
 
 def _finder(window: int):
@@ -269,27 +281,27 @@ def _finder(window: int):
         bucket, held = None, []
 
         def rows(found):
-            return pd.DataFrame(list(found), columns=["doc_id", "ranges"])
+            return pd.DataFrame([(*d, r) for d, r in found], columns=["doc_id", "row", "ranges"])
 
         for pdf in batches:                                        # sorted by bucket
             known = pdf["found"]
             if known.any():                                        # repeats found before the shuffle
-                yield rows(zip(pdf["doc_id"][known], pdf["payload"][known]))
+                yield rows(zip(zip(pdf["doc_id"][known], pdf["row"][known]), pdf["payload"][known]))
             for b, p in zip(pdf["bucket"][~known], pdf["payload"][~known]):
                 if b != bucket and held:
-                    yield rows(_repeats(held, window))
+                    yield rows(_repeats(held, window, True))
                     held = []
                 bucket = b
                 held.append(p)
         if held:
-            yield rows(_repeats(held, window))
+            yield rows(_repeats(held, window, True))
 
     return find
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, ranges: packed (first word, number of windows) pairs of the repeated windows, several rows a document.
-    ``docs`` holds doc_id (not null) and text."""
+    """doc_id, row, ranges: packed (first word, number of windows) pairs of the repeated windows, several rows a document.
+    ``docs`` holds doc_id, row (neither null; row parts texts of one doc_id) and text."""
     if not ANCHOR <= window <= 255:
         raise ValueError(f"a window has {ANCHOR} to 255 words")
     spark = docs.sparkSession
@@ -297,10 +309,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(shuffle_partitions(spark), math.ceil(size * SHIPPED / BUCKET_BYTES))
     frequent = frequent_runs(docs, window) if size * SHIPPED > BUCKET_BYTES else np.zeros(0, np.uint64)
-    shipped = docs.select("doc_id", "text").mapInPandas(
-        _splitter(buckets, window, frequent), "bucket int, found boolean, doc_id long, payload binary")
+    shipped = docs.select("doc_id", "row", "text").mapInPandas(
+        _splitter(buckets, window, frequent), "bucket int, found boolean, doc_id long, row long, payload binary")
     return (shipped.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-            .mapInPandas(_finder(window), "doc_id long, ranges binary"))
+            .mapInPandas(_finder(window), "doc_id long, row long, ranges binary"))
 
 
 def _cut(window: int):
@@ -312,7 +324,7 @@ def _cut(window: int):
                 gone = np.zeros(len(ws) + 1, np.int64)
                 for r in ranges if ranges is not None else ():
                     s, n = np.frombuffer(r, "<u4").reshape(2, -1).astype(np.int64)
-                    np.add.at(gone, np.minimum(s, len(ws)), 1)     # beyond the end: another text of the same id
+                    np.add.at(gone, np.minimum(s, len(ws)), 1)
                     np.add.at(gone, np.minimum(s + n + window - 1, len(ws)), -1)
                 stay = np.cumsum(gone)[:-1] == 0
                 kept = b" ".join(w for w, k in zip(ws, stay.tolist()) if k)
@@ -326,8 +338,10 @@ def _cut(window: int):
 def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, kept (text less its repeated windows, words joined by one space), n_words, n_removed."""
     known = docs.select(F.coalesce("doc_id", F.lit(int(_NULL_ID))).alias("doc_id"), "text")
-    found = repeated_windows(known, window).groupBy("doc_id").agg(F.collect_list("ranges").alias("ranges"))
-    cut = known.join(found, "doc_id", "left").mapInPandas(
+    shared = known.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
+    known = known.withColumn("row", F.xxhash64("text") if shared else F.lit(0).cast("long"))   # unique ids need none
+    found = repeated_windows(known, window).groupBy("doc_id", "row").agg(F.collect_list("ranges").alias("ranges"))
+    cut = known.join(found, ["doc_id", "row"], "left").mapInPandas(
         _cut(window), "doc_id long, kept string, n_words long, n_removed long")
     return cut.withColumn("doc_id", F.nullif("doc_id", F.lit(int(_NULL_ID))))
 

@@ -268,6 +268,18 @@ def test_substring_splits_groups_of_common_phrases(spark, monkeypatch):
     assert sum(r[2] for r in out) == 299 * 30
 
 
+def test_substring_rows_that_share_an_id(spark, monkeypatch):
+    rows = brute.noisy_documents(7)
+    null = int(op4_substring._NULL_ID)
+    rows = [(null if i % 3 == 0 else d // 4 if i % 3 == 1 else d, t) for i, (d, t) in enumerate(rows)] + rows[:2]
+    for chunk in (8 << 20, 300):                                               # repeats found before and after the shuffle
+        monkeypatch.setattr(op4_substring, "CHUNK_BYTES", chunk)
+        out = op4_substring.drop_repeats(docs(spark, [(None if d == null else d, t) for d, t in rows]).repartition(3), 5)
+        mine = got(out.select(F.coalesce("doc_id", F.lit(null)), "n_words", "n_removed", F.sha2("kept", 256)))
+        assert mine == sorted(op4_substring.brute_force(rows, 5), key=str)
+    assert sum(r[2] for r in mine) > 100
+
+
 # --- op5
 
 
