@@ -230,16 +230,19 @@ def components(pairs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
-                    bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp (long), component_id for every row of ``docs``."""
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    fps = materialize(fingerprints(ids, width).select("doc_id", "fp"), "simhash-fingerprints")
+                    bits: int = MAX_BITS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (long), component_id for every row of ``docs``; with ``carry``, then those columns and root, the least
+    fingerprint of the component, which is known where component_id is null."""
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
+    fps = materialize(fingerprints(ids, width).select("doc_id", "fp", *carry), "simhash-fingerprints")
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(classes.select("fp"), bits))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return fps.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    more = (*carry, "root") if carry else ()
+    return fps.join(rooted.join(least, "root").select("fp", "component_id", "root"), "fp").select(
+        "doc_id", "fp", "component_id", *more)
 
 
 def op8_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from chronoleaf.llm import op5_exact, op6_toxicity, op8_simhash, op9_bpe, op10_mixing
 from chronoleaf.llm.common import table
@@ -30,10 +31,18 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one whose doc_id names the group."""
-    found = op8_simhash.near_duplicates(docs, width=op8_simhash.SHINGLE, bits=op8_simhash.MAX_BITS)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each near-duplicate group stays: the one with the smallest doc_id (null after all others), of several
+    the first by its place.  Rows go by their place, so others with the same doc_id or without one are not touched."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    try:
+        placed = docs.select(*COLUMNS, place.alias("place"))
+    except AnalysisException:                              # not read from files
+        placed = materialize(docs.select(*COLUMNS), "simhash-rows").select(*COLUMNS, place.alias("place"))
+    found = op8_simhash.near_duplicates(placed, width=op8_simhash.SHINGLE, bits=op8_simhash.MAX_BITS, carry=("place",))
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "place")
+    groups = found.groupBy("root").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = found.join(groups, "root").where(F.col("place") != F.col("first.place")).select("place")
+    return placed.join(gone, "place", "left_anti").select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,3 +93,14 @@ def test_pipeline_equals_brute_force(spark):
 def test_pipeline_empty(spark):
     out = corpus_pipeline.run(spark, saved(spark, [], []))
     assert out.columns == ["doc_id", "source", "n_tokens", "ids", "decoded_sha256"] and out.count() == 0
+
+
+def test_near_dedup_goes_by_row(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(400)) for w in "abc")
+    near = lambda t: t + " "                                                   # noqa: E731  same shingles
+    docs = [(1, one), (2, near(one)), (2, two), (None, three), (None, near(three)), (None, near(one)), (4, "x"), (4, "x ")]
+    sf = saved(spark, [(d, t, "en", "src0", len(t)) for d, t in docs], [])
+    for table in (spark.read.parquet(f"{sf}/documents.parquet"), spark.createDataFrame([(*d, "en", "s", 1) for d in docs], DOCS)):
+        out = corpus_pipeline.simhash_dedup(spark, table, sf).collect()
+        assert sorted(((r.doc_id, r.text.strip()) for r in out), key=str) == sorted(
+            [(1, one), (2, two), (None, three), (4, "x")], key=str)
