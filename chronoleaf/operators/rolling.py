@@ -20,8 +20,10 @@ Strategies
     key x bucket), unioned in, not joined.  Cost: one scan for the per-key
     statistics, one wide shuffle of ~(1 + #lengths) narrow events per row,
     linear running windows; a hot key spreads over its buckets.
-    Fractional sums run in parts that add and subtract exactly (see ``_parts``),
-    so nothing of the input is rounded away and no error builds up.  Rows with a
+    Sums of doubles run in 64-bit integer digits (see ``Limbs``), laid over the
+    range of the data, so nothing of the input is rounded away and no error
+    builds up; keys whose values lie too far apart for a few digits run beside the
+    others with as many as they need (70 hold every double).  Rows with a
     NULL time of a hot key are dealt into salted buckets; each bucket's carry row
     holds the total of the others.
 
@@ -32,7 +34,9 @@ Strategies
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,8 +44,10 @@ from pyspark.sql import types as T
 
 from chronoleaf.functions._util import as_col
 from chronoleaf.functions.time import epoch_seconds
+from chronoleaf.operators.lookup import checked_broadcast
 from chronoleaf.operators.skew import (FIRST_BUCKET, TARGET_BUCKET_ROWS, Bucketing, attach_width,
                                        bucket_expr, plan_buckets)
+from chronoleaf.session import materialize
 
 
 @dataclass(frozen=True)
@@ -70,50 +76,127 @@ def rolling_count(name: str, seconds: int, value=None) -> Rolling:
     return Rolling(name, int(seconds), "count", value)
 
 
-_HIGH, _LOW = 2.0 ** 40, 2.0 ** 60
-_RANGE = 2.0 ** 90
+DIGIT_BITS = 30      # of a limb: a 64-bit slot adds up 2^33 of them
+CORE_LIMBS = 6       # more are used only for the keys that need them
+CORE_LOW = -90       # finest place of the core limbs where the data's range passes them
+_FLOATS = (T.FloatType, T.DoubleType)
 
 
-def _parts(v):
-    """A double as parts whose sums are exact: multiples of 2^40; the rest to 18
-    decimal places; what those places leave, scaled by 2^60; counts of NaN, +Inf
-    and -Inf, as NULL values have a count of their own.  Scaling by powers of two
-    loses nothing; the finest place is about 9e-37.  A value that the parts cannot
-    hold (at least 2^90, or below 2^-90 and not zero) raises instead of being
-    rounded."""
-    v = v.cast("double")
-    size = F.abs(v)
-    finite = (F.when(F.isnan(v) | (size == float("inf")), F.lit(None).cast("double"))
-              .when((size >= _RANGE) | ((size > 0) & (size < 1 / _RANGE)), F.raise_error(F.concat(
-                  F.lit("rolling sum: value outside 2^-90 .. 2^90: "), v.cast("string"))).cast("double"))
-              .otherwise(v))
-    high = F.when(finite >= 0, F.floor(finite / _HIGH)).otherwise(F.ceil(finite / _HIGH))
-    rest = finite - high * F.lit(_HIGH)
-    places = rest.cast("decimal(31,18)")
-    fine = ((rest - places.cast("double")) * F.lit(_LOW)).cast("decimal(31,18)")
-    kinds = [F.isnan(v), v == float("inf"), v == float("-inf")]
-    return ([(high.cast("decimal(28,0)"), T.DecimalType(28, 0)), (places, T.DecimalType(31, 18)),
-             (fine, T.DecimalType(31, 18))]
-            + [(F.when(k, F.lit(1)).otherwise(F.lit(0)).cast("long"), T.LongType()) for k in kinds])
-
-
-def _joined(high, places, fine, nan, up, down):
-    def num(c):
-        return F.coalesce(c.cast("double"), F.lit(0.0))
-
-    return (F.when((nan > 0) | ((up > 0) & (down > 0)), F.lit(float("nan")))
-            .when(up > 0, F.lit(float("inf"))).when(down > 0, F.lit(float("-inf")))
-            .otherwise(num(places) + num(fine) / F.lit(_LOW) + num(high) * F.lit(_HIGH)))
-
-
-def _prepared_values(df: DataFrame, aggs: list[Rolling]):
+@dataclass(frozen=True)
+class Limbs:
+    """Exact sums of doubles: a value is cut into digits of 30 bits, the first at 2^low; each digit is summed in a
+    64-bit integer slot, so adding and subtracting lose nothing.  ``odd``: NaN and infinities are counted too;
+    ``nulls``: the values that are there are counted too."""
+
+    low: int
+    count: int
+    odd: bool = True
+    nulls: bool = True
+
+    @property
+    def weights(self) -> list[float]:
+        return [math.ldexp(1.0, self.low + DIGIT_BITS * k) for k in range(self.count)]
+
+    @classmethod
+    def over(cls, least: float | None, most: float | None, odd: bool, nulls: bool) -> Limbs:
+        """For values whose sizes lie between ``least`` and ``most`` (None: no value but zeros)."""
+        if least is None:
+            return cls(0, 1, odd, nulls)
+        low = max(math.frexp(least)[1] - 53, -1074)            # the lowest bit that any of them can have
+        return cls(low, (math.frexp(most)[1] - 1 - low) // DIGIT_BITS + 1, odd, nulls)
+
+    def digits(self, v):
+        """The signed digits of a double, lowest first.  Remainders and quotients by powers of two are exact."""
+        size, w = F.abs(v), self.weights
+        known = v.isNotNull() & ~F.isnan(v) & (size < float("inf"))
+        out = []
+        for k in range(self.count):
+            rest = size % F.lit(w[k + 1]) if k + 1 < self.count else size
+            digit = F.floor(rest / F.lit(w[k]))
+            out.append(F.when(known, F.when(v < 0, -digit).otherwise(digit)).otherwise(F.lit(0)).cast("long"))
+        if self.odd:
+            out += [F.when(c, F.lit(1)).otherwise(F.lit(0)).cast("long")
+                    for c in (F.isnan(v), v == float("inf"), v == float("-inf"))]
+        return out
+
+    def normal(self, slots: list) -> list:
+        """The same total with what each digit holds beyond 30 bits moved one digit up: of a total of fewer than 2^33
+        rows, every digit but the last is then below 2^34."""
+        mask, out = F.lit((1 << DIGIT_BITS) - 1), []
+        for k in range(self.count):
+            own = slots[k].bitwiseAND(mask) if k + 1 < self.count else slots[k]
+            out.append(own + F.shiftright(slots[k - 1], DIGIT_BITS) if k else own)
+        return out + list(slots[self.count:])
+
+    def value(self, *slots):
+        """The double that the summed digits stand for: the sign first, then digits of that sign from the lowest up,
+        so nothing cancels and the result is within one place of the exact sum."""
+        zero, mask = F.lit(0).cast("long"), F.lit((1 << DIGIT_BITS) - 1)
+        limbs = [F.coalesce(s, zero) for s in slots[:self.count]]
+
+        def moved(x, carry):
+            return F.shiftright(x if carry is None else x + carry, DIGIT_BITS)
+
+        if self.count <= CORE_LIMBS:                        # spelled out, which Spark compiles
+            carry = reduce(lambda c, x: moved(x, c), limbs, None)
+            sign = F.when(carry < 0, F.lit(-1)).otherwise(F.lit(1)).cast("long")
+            carry, total = None, F.lit(0.0)
+            for x, w in zip(limbs, self.weights):
+                t = x * sign if carry is None else x * sign + carry
+                total = total + t.bitwiseAND(mask).cast("double") * F.lit(w)
+                carry = F.shiftright(t, DIGIT_BITS)
+        else:
+            sign = F.when(F.aggregate(F.array(*limbs), zero, lambda c, x: moved(x, c)) < 0, F.lit(-1)).otherwise(F.lit(1)).cast("long")
+
+            def add(acc, term):
+                t = term["x"] + acc["c"]
+                return F.struct(F.shiftright(t, DIGIT_BITS).alias("c"),
+                                (acc["v"] + t.bitwiseAND(mask).cast("double") * term["w"]).alias("v"))
+
+            terms = F.array(*[F.struct((x * sign).alias("x"), F.lit(w).alias("w")) for x, w in zip(limbs, self.weights)])
+            end = F.aggregate(terms, F.struct(zero.alias("c"), F.lit(0.0).alias("v")), add)
+            carry, total = end["c"], end["v"]
+        top = carry.cast("double") * F.lit(float(1 << DIGIT_BITS)) * F.lit(self.weights[-1])
+        out = (total + top) * sign.cast("double")
+        if not self.odd:
+            return out
+        nan, up, down = slots[self.count:]
+        return (F.when((nan > 0) | ((up > 0) & (down > 0)), F.lit(float("nan")))
+                .when(up > 0, F.lit(float("inf"))).when(down > 0, F.lit(float("-inf"))).otherwise(out))
+
+
+def _double_sums(df: DataFrame, aggs: list[Rolling]) -> dict[int, object]:
+    """The double columns that are summed, by the aggregate's place."""
+    sums = [(i, as_col(a.value)) for i, a in enumerate(aggs) if a.kind == "sum"]
+    if not sums:
+        return {}
+    schema = df.select(*[c.alias(f"__c{i}") for i, c in sums]).schema
+    return {i: c.cast("double") for i, c in sums if isinstance(schema[f"__c{i}"].dataType, _FLOATS)}
+
+
+def _ranges(df: DataFrame, aggs: list[Rolling]) -> dict[int, Limbs]:
+    """Limbs laid over the range of each summed double column: one aggregate over these columns alone."""
+    doubles = _double_sums(df, aggs)
+    if not doubles:
+        return {}
+    terms = []
+    for i, v in doubles.items():
+        finite = F.when(~F.isnan(v) & (F.abs(v) < float("inf")) & (v != 0), F.abs(v))
+        terms += [F.min(finite).alias(f"__least{i}"), F.max(finite).alias(f"__most{i}"),
+                  F.count_if(F.isnan(v) | (F.abs(v) == float("inf"))).alias(f"__odd{i}"),
+                  F.count_if(v.isNull()).alias(f"__null{i}")]
+    r = df.agg(*terms).first()
+    return {i: Limbs.over(r[f"__least{i}"], r[f"__most{i}"], r[f"__odd{i}"] > 0, r[f"__null{i}"] > 0) for i in doubles}
+
+
+def _prepared_values(df: DataFrame, aggs: list[Rolling], limbs: dict[int, Limbs]):
     """Per aggregate: (parts: [(column, type)], nullable, function of the summed parts)."""
     out = []
     probe_cols = [as_col(a.value).alias(f"__probe{i}") for i, a in enumerate(aggs)
                   if a.value is not None]
     probe_schema = df.select(*probe_cols).schema if probe_cols else None
     j = 0
-    for a in aggs:
+    for i, a in enumerate(aggs):
         field = None
         if a.value is not None:
             field = probe_schema[j]
@@ -126,9 +209,11 @@ def _prepared_values(df: DataFrame, aggs: list[Rolling]):
         if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             out.append(([(as_col(a.value).cast("long"), T.LongType())], field.nullable, lambda c: c))
         elif isinstance(dt, T.DecimalType):
-            out.append(([(as_col(a.value), dt)], field.nullable, lambda c: c))
-        elif isinstance(dt, (T.FloatType, T.DoubleType)):
-            out.append((_parts(as_col(a.value)), field.nullable, _joined))
+            wide = T.DecimalType(min(38, dt.precision + 10), dt.scale)   # the type of Spark's own sums
+            out.append(([(as_col(a.value).cast(wide), wide)], field.nullable, lambda c, wide=wide: c.cast(wide)))
+        elif isinstance(dt, _FLOATS):
+            digits = limbs[i].digits(as_col(a.value).cast("double"))
+            out.append(([(d, T.LongType()) for d in digits], field.nullable and limbs[i].nulls, limbs[i].value))
         else:
             raise TypeError(f"cannot sum column of type {dt.simpleString()}")
     return out
@@ -174,15 +259,37 @@ def rolling_aggregate(df: DataFrame, keys, ts, aggs: list[Rolling], *, strategy:
     own = [c for c in [*df.columns, *(a.name for a in aggs)] if c.startswith("__")]
     if own:
         raise ValueError(f"column names starting with two underscores are reserved: {own}")
+    if strategy not in ("window", "events"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    limbs = _ranges(df, aggs)
     if strategy == "window":
-        return _by_window(df, keys, ts, aggs)
-    if strategy == "events":
-        return _by_events(df, keys, ts, aggs, bucket_seconds, target_rows)
-    raise ValueError(f"unknown strategy {strategy!r}")
-
-
-def _by_window(df, keys, ts, aggs):
-    prepared = _prepared_values(df, aggs)
+        return _by_window(df, keys, ts, aggs, limbs)
+    if all(x.count <= CORE_LIMBS for x in limbs.values()):
+        return _by_events(df, keys, ts, aggs, limbs, bucket_seconds, target_rows)
+    # a few keys with values far apart must not widen the sums of all others
+    core = {i: Limbs(CORE_LOW, CORE_LIMBS, x.odd, x.nulls) if x.count > CORE_LIMBS else x for i, x in limbs.items()}
+    wide, rest = _parted(df, keys, aggs, core)
+    return (_by_events(rest, keys, ts, aggs, core, bucket_seconds, target_rows)
+            .unionByName(_by_events(wide, keys, ts, aggs, limbs, bucket_seconds, target_rows)))
+
+
+def _parted(df, keys, aggs, core):
+    """Rows of the keys that hold a value outside the core limbs, and all other rows."""
+    outside = F.lit(False)
+    for i, v in _double_sums(df, aggs).items():
+        size, x = F.abs(v), core[i]
+        fits = (size >= math.ldexp(1.0, x.low + 52)) & (size < math.ldexp(1.0, x.low + DIGIT_BITS * x.count))
+        outside = outside | F.coalesce(~F.isnan(v) & (size < float("inf")) & (v != 0) & ~fits, F.lit(False))
+    named = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]
+    odd = checked_broadcast(materialize(df.where(outside).select(*named).distinct(), "rolling-wide-keys"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & df[f"`{k}`"].eqNullSafe(odd[f"__k{i}"])
+    return df.join(odd, same, "left_semi"), df.join(odd, same, "left_anti")
+
+
+def _by_window(df, keys, ts, aggs, limbs):
+    prepared = _prepared_values(df, aggs, limbs)
     slots = _slots(aggs, prepared)
     out = df.withColumn("__t", epoch_seconds(ts)).withColumns({n: v for n, _, v, _ in slots})
     by_len = {a.seconds: Window.partitionBy(*keys).orderBy("__t").rangeBetween(-a.seconds, 0) for a in aggs}
@@ -190,8 +297,8 @@ def _by_window(df, keys, ts, aggs):
     return summed.select(*df.columns, *_results(aggs, prepared, slots))
 
 
-def _by_events(df, keys, ts, aggs, bucket_seconds, target_rows):
-    prepared = _prepared_values(df, aggs)
+def _by_events(df, keys, ts, aggs, limbs, bucket_seconds, target_rows):
+    prepared = _prepared_values(df, aggs, limbs)
     lengths = sorted({a.seconds for a in aggs})
     # keys travel as top-level columns (the partitioning); the entry payload holds the rest
     payload_cols = [c for c in df.columns if c not in keys]
@@ -235,6 +342,7 @@ def _by_events(df, keys, ts, aggs, bucket_seconds, target_rows):
         totals = (events.where(F.col("__w").isNotNull() & F.col("__b").isNotNull())
                   .groupBy(*keys, "__b").agg(*[F.sum(s).alias(s) for s in slot_names])
                   .withColumn("__z", F.col("__b") < F.lit(FIRST_BUCKET)))
+        totals = totals.withColumns({name: c for i, x in limbs.items() for name, c in _normal(x, i, prepared)})
         every = Window.partitionBy(*keys, "__z")
         earlier = every.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
 
@@ -260,6 +368,12 @@ def _by_events(df, keys, ts, aggs, bucket_seconds, target_rows):
         *_results(aggs, prepared, slots))
 
 
+def _normal(limbs, i, prepared):
+    """A bucket's total in small digits, so that totals of any number of buckets add up in 64 bits."""
+    names = [f"__v{i}_{k}" for k in range(len(prepared[i][0]))]
+    return zip(names, limbs.normal([F.coalesce(F.col(n), F.lit(0).cast("long")) for n in names]))
+
+
 def _row_hash(df, columns):
     """Deals equal-key rows without a time; rows equal in every column share a bucket."""
     usable = [F.col(f"`{c}`") for c in columns if "map<" not in df.schema[c].dataType.simpleString()]
