@@ -22,7 +22,7 @@ Strategies
     linear running windows; a hot key spreads over its buckets.
     Sums of doubles run in 64-bit integer digits (see ``Limbs``), laid over the
     range of the data, so nothing of the input is rounded away and no error
-    builds up; keys whose values lie too far apart for a few digits run beside the
+    builds up; a column of short decimals is summed as decimals; keys whose values lie too far apart for a few digits run beside the
     others with as many as they need (70 hold every double).  Rows with a
     NULL time of a hot key are dealt into salted buckets; each bucket's carry row
     holds the total of the others.
@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -79,19 +80,22 @@ def rolling_count(name: str, seconds: int, value=None) -> Rolling:
 DIGIT_BITS = 30      # of a limb: a 64-bit slot adds up 2^33 of them
 CORE_LIMBS = 6       # more are used only for the keys that need them
 CORE_LOW = -90       # finest place of the core limbs where the data's range passes them
+PLACES = (0, 2, 4, 6)  # decimal places of columns summed as decimals
 _FLOATS = (T.FloatType, T.DoubleType)
 
 
 @dataclass(frozen=True)
 class Limbs:
     """Exact sums of doubles: a value is cut into digits of 30 bits, the first at 2^low; each digit is summed in a
-    64-bit integer slot, so adding and subtracting lose nothing.  ``odd``: NaN and infinities are counted too;
-    ``nulls``: the values that are there are counted too."""
+    64-bit integer slot, so adding and subtracting lose nothing.  A column whose values are all decimals of at most
+    ``places`` places (money) is summed as these decimals: the digits are those of the value times 10^places.
+    ``odd``: NaN and infinities are counted too; ``nulls``: the values that are there are counted too."""
 
     low: int
     count: int
     odd: bool = True
     nulls: bool = True
+    places: int | None = None
 
     @property
     def weights(self) -> list[float]:
@@ -105,10 +109,16 @@ class Limbs:
         low = max(math.frexp(least)[1] - 53, -1074)            # the lowest bit that any of them can have
         return cls(low, (math.frexp(most)[1] - 1 - low) // DIGIT_BITS + 1, odd, nulls)
 
+    @classmethod
+    def of_decimals(cls, most: float | None, odd: bool, nulls: bool, places: int) -> Limbs:
+        return cls(0, 1 if (most or 0.0) * 10 ** places < 1 << DIGIT_BITS else 2, odd, nulls, places)
+
     def digits(self, v):
         """The signed digits of a double, lowest first.  Remainders and quotients by powers of two are exact."""
         size, w = F.abs(v), self.weights
         known = v.isNotNull() & ~F.isnan(v) & (size < float("inf"))
+        if self.places is not None:
+            size = F.rint(size * F.lit(10.0 ** self.places))
         out = []
         for k in range(self.count):
             rest = size % F.lit(w[k + 1]) if k + 1 < self.count else size
@@ -130,14 +140,21 @@ class Limbs:
 
     def value(self, *slots):
         """The double that the summed digits stand for: the sign first, then digits of that sign from the lowest up,
-        so nothing cancels and the result is within one place of the exact sum."""
+        so nothing cancels and the result is within one place of the exact sum; decimals are rounded once."""
         zero, mask = F.lit(0).cast("long"), F.lit((1 << DIGIT_BITS) - 1)
         limbs = [F.coalesce(s, zero) for s in slots[:self.count]]
 
         def moved(x, carry):
             return F.shiftright(x if carry is None else x + carry, DIGIT_BITS)
 
-        if self.count <= CORE_LIMBS:                        # spelled out, which Spark compiles
+        if self.places is not None:
+            high = moved(limbs[0], None) + (limbs[1] if self.count > 1 else zero)
+            low, unit = limbs[0].bitwiseAND(mask), 1 << DIGIT_BITS
+            scale = F.lit(Decimal(10 ** self.places)).cast("decimal(7,0)")
+            out = (F.when((high >= -(1 << 22)) & (high < 1 << 22), (high * unit + low).cast("double") / F.lit(10.0 ** self.places))
+                   .otherwise(((high.cast("decimal(20,0)") * F.lit(unit).cast("decimal(10,0)") + low.cast("decimal(10,0)"))
+                               / scale).cast("double")))
+        elif self.count <= CORE_LIMBS:                      # spelled out, which Spark compiles
             carry = reduce(lambda c, x: moved(x, c), limbs, None)
             sign = F.when(carry < 0, F.lit(-1)).otherwise(F.lit(1)).cast("long")
             carry, total = None, F.lit(0.0)
@@ -156,8 +173,9 @@ class Limbs:
             terms = F.array(*[F.struct((x * sign).alias("x"), F.lit(w).alias("w")) for x, w in zip(limbs, self.weights)])
             end = F.aggregate(terms, F.struct(zero.alias("c"), F.lit(0.0).alias("v")), add)
             carry, total = end["c"], end["v"]
-        top = carry.cast("double") * F.lit(float(1 << DIGIT_BITS)) * F.lit(self.weights[-1])
-        out = (total + top) * sign.cast("double")
+        if self.places is None:
+            top = carry.cast("double") * F.lit(float(1 << DIGIT_BITS)) * F.lit(self.weights[-1])
+            out = (total + top) * sign.cast("double")
         if not self.odd:
             return out
         nan, up, down = slots[self.count:]
@@ -185,8 +203,18 @@ def _ranges(df: DataFrame, aggs: list[Rolling]) -> dict[int, Limbs]:
         terms += [F.min(finite).alias(f"__least{i}"), F.max(finite).alias(f"__most{i}"),
                   F.count_if(F.isnan(v) | (F.abs(v) == float("inf"))).alias(f"__odd{i}"),
                   F.count_if(v.isNull()).alias(f"__null{i}")]
+        for p in PLACES:
+            whole = F.rint(finite * F.lit(10.0 ** p))
+            fits = (whole < 2.0 ** 53) & (whole / F.lit(10.0 ** p) == finite)
+            terms.append(F.count_if(~fits).alias(f"__more{p}_{i}"))
     r = df.agg(*terms).first()
-    return {i: Limbs.over(r[f"__least{i}"], r[f"__most{i}"], r[f"__odd{i}"] > 0, r[f"__null{i}"] > 0) for i in doubles}
+
+    def limbs(i):
+        least, most, odd, nulls = r[f"__least{i}"], r[f"__most{i}"], r[f"__odd{i}"] > 0, r[f"__null{i}"] > 0
+        places = next((p for p in PLACES if not r[f"__more{p}_{i}"]), None)
+        return Limbs.over(least, most, odd, nulls) if places is None else Limbs.of_decimals(most, odd, nulls, places)
+
+    return {i: limbs(i) for i in doubles}
 
 
 def _prepared_values(df: DataFrame, aggs: list[Rolling], limbs: dict[int, Limbs]):

@@ -166,7 +166,7 @@ def test_values_of_any_size_add_up(spark, strategy, bucket, target):
         assert abs(r.s - exact) <= 2.3e-16 * abs(exact), (seen, r.s, exact)
 
 
-@pytest.mark.parametrize("kind, value", [("decimal(10,2)", "99999999.00"), ("double", "9e11"), ("decimal(38,2)", "9" * 30 + ".25"),
+@pytest.mark.parametrize("kind, value", [("decimal(10,2)", "99999999.00"), ("double", "9e11"), ("double", "-9007199254740990"), ("double", "-0.07"), ("decimal(38,2)", "9" * 30 + ".25"),
                                          ("float", "3e38"), ("long", "4611686018427387")])
 @pytest.mark.parametrize("bucket, target", [(None, 1_000_000), (3600, 1_000_000), (None, 50)])
 def test_sums_of_split_keys_equal_the_plain_window(spark, kind, value, bucket, target):
