@@ -27,7 +27,7 @@ from chronoleaf.plans.catalog import FeatureCatalog
 from chronoleaf.plans.features import (SIX_MONTHS_SECONDS, WEEK_SECONDS,
                                        destination_features, user_features)
 from chronoleaf.plans.model import ModelRegistry, OnDemandModel, threshold_predictions
-from chronoleaf.plans.ondemand import LOCATION_COLUMNS, add_distance, distance_sql
+from chronoleaf.plans.ondemand import LOCATION_COLUMNS, add_distance
 from chronoleaf.plans.training import Lookup, create_training_set
 from chronoleaf.session import materialize, scratch_dir
 from chronoleaf.sources import files, roles
@@ -351,13 +351,60 @@ def _distance_query(spark, sf_dir, sql_fn):
     return out.select("event_id", F.round("distance_miles", 3).alias("distance_miles"))
 
 
+# Nodes and weights of the eight-point Gauss-Legendre rule, WGS-84 flattening and semi-major axis
+_NODES = [(0.1834346424956498, 0.3626837833783620), (0.5255324099163290, 0.3137066458778873),
+          (0.7966664774136267, 0.2223810344533745), (0.9602898564975363, 0.1012285362903763)]
+_FLAT, _AXIS, _MILE = "(1 / 298.257223563)", "6378137.0", "1609.344"
+
+
+def _integral(of: str) -> str:
+    """Of sqrt(1 + k2 sin^2 t), as {r} in ``of``, over the arc from s1 to s2."""
+    terms = [f"{w!r} * ({of.format(r=f'sqrt(1 + k2 * pow(sin((s1 + s2) / 2 {sign} (s2 - s1) / 2 * {x!r}), 2))')})"
+             for x, w in _NODES for sign in "+-"]
+    return f"((s2 - s1) / 2 * ({' + '.join(terms)}))"
+
+
+def _geodesic_oracle(pairs: str) -> str:
+    """CTEs ending in geo(a, b, c, d, miles) for the distinct (a, b) to (c, d) of ``pairs``: the azimuth is bisected and
+    the integrals of the geodesic are summed numerically, so nothing is shared with the library's series."""
+    line = f"""SELECT *, (2 * {_FLAT} - pow({_FLAT}, 2)) / pow(1 - {_FLAT}, 2) * (1 - sa * sa) AS k2,
+      atan2(sin1, x) AS s1, atan2(sin2, y) AS s2, atan2(sa * sin2, y) - atan2(sa * sin1, x) AS turn FROM (
+        SELECT *, -sin(m) * cos1 AS x, cos(m) * cos1 AS sa, sqrt(greatest(0, pow(sin(m) * cos1, 2) + cos2 * cos2 - cos1 * cos1)) AS y
+        FROM (SELECT *, (lo + hi) / 2 AS m FROM bis WHERE {{0}}))"""
+    ahead = f"{_FLAT} * sa * " + _integral(f"(2 - {_FLAT}) / (1 + (1 - {_FLAT}) * {{r}})")
+    return f"""pairs AS ({pairs}),
+ends AS MATERIALIZED (SELECT a, b, c, d, abs(radians(d - b) - 2 * pi() * round((d - b) / 360)) AS gap,
+  atan((1 - {_FLAT}) * tan(radians(a))) AS p, atan((1 - {_FLAT}) * tan(radians(c))) AS q
+  FROM (SELECT DISTINCT a, b, c, d FROM pairs WHERE a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL AND d IS NOT NULL)),
+bis AS (
+  SELECT 0 AS i, -pi() / 2 AS lo, pi() / 2 AS hi, a, b, c, d, gap, sin(u) AS sin1, cos(u) AS cos1, sin(v) AS sin2, cos(v) AS cos2
+  FROM (SELECT *, least(-1e-300, CASE WHEN first > 0 THEN -first ELSE first END) AS u, CASE WHEN first > 0 THEN -other ELSE other END AS v
+        FROM (SELECT *, CASE WHEN abs(p) >= abs(q) THEN p ELSE q END AS first, CASE WHEN abs(p) >= abs(q) THEN q ELSE p END AS other
+              FROM ends))
+  UNION ALL
+  SELECT i + 1, CASE WHEN turn - {ahead} < gap THEN m ELSE lo END, CASE WHEN turn - {ahead} < gap THEN hi ELSE m END,
+    a, b, c, d, gap, sin1, cos1, sin2, cos2 FROM ({line.format('i < 70')})
+), geo AS MATERIALIZED (
+  SELECT a, b, c, d, CASE WHEN a = c AND gap = 0 THEN 0
+    WHEN sin1 > -1e-200 AND sin2 = 0 AND gap <= pi() * (1 - {_FLAT}) THEN {_AXIS} * gap / {_MILE}
+    ELSE {_AXIS} * (1 - {_FLAT}) * {_integral('{r}')} / {_MILE} END AS miles FROM ({line.format('i = 70')})
+)"""
+
+
 def _distance_sql(fn) -> str:
     expr = fn("l.user_latitude", "l.user_longitude", "d.latitude", "d.longitude")
     return (_with(LOG_CTE, LOC_CTE) + f"SELECT l.event_id, round({expr}, 3) AS distance_miles\n"
             "FROM log l LEFT JOIN loc d ON l.destination_id = d.destination_id")
 
 
-@query("distance_geodesic", _distance_sql(geodesic_miles_sql))
+_GEO_KEYS = " AND ".join(f"g.{x} = {{}}" for x in "abcd")
+
+
+@query("distance_geodesic", _with(LOG_CTE, LOC_CTE, """ll AS (SELECT l.event_id, l.user_latitude AS a, l.user_longitude AS b,
+  d.latitude AS c, d.longitude AS d FROM log l LEFT JOIN loc d ON l.destination_id = d.destination_id)""",
+       _geodesic_oracle("SELECT a, b, c, d FROM ll")).replace("WITH", "WITH RECURSIVE", 1)
+       + f"""SELECT event_id, round(g.miles, 3) AS distance_miles
+FROM ll LEFT JOIN geo g ON {_GEO_KEYS.format('ll.a', 'll.b', 'll.c', 'll.d')}""")
 def q_distance_geodesic(spark, sf_dir):
     return _distance_query(spark, sf_dir, geodesic_miles_sql)
 
@@ -395,8 +442,15 @@ def q_fill_median(spark, sf_dir):
     return fill_with(fr, exact_medians(fr, list(LOCATION_COLUMNS)))
 
 
-@query("ondemand_distance", _with(LOG_CTE, LOC_CTE, FRAME_CTE) + "SELECT event_id, "
-       + ", ".join(LOCATION_COLUMNS) + f", round({distance_sql(_MED_SQL)}, 3) AS distance FROM fr")
+_FILLED = [f"coalesce(CAST({c} AS DOUBLE), CAST({_MED_SQL[c]} AS DOUBLE))"
+           for c in ("user_latitude", "user_longitude", "latitude", "longitude")]
+
+
+@query("ondemand_distance", _with(LOG_CTE, LOC_CTE, FRAME_CTE, "ff AS MATERIALIZED (SELECT *, " + ", ".join(
+    f"{v} AS {k}" for k, v in zip("abcd", _FILLED)) + " FROM fr)", _geodesic_oracle("SELECT a, b, c, d FROM ff"))
+       .replace("WITH", "WITH RECURSIVE", 1) + "SELECT event_id, " + ", ".join(f"ff.{c}" for c in LOCATION_COLUMNS)
+       + f""", CASE WHEN abs(ff.a) <= 90 AND abs(ff.c) <= 90 THEN round(g.miles, 3) END AS distance
+FROM ff LEFT JOIN geo g ON {_GEO_KEYS.format('ff.a', 'ff.b', 'ff.c', 'ff.d')}""")
 def q_ondemand_distance(spark, sf_dir):
     out = add_distance(_frame(spark, sf_dir))
     return out.withColumn("distance", F.round("distance", 3))
