@@ -2,7 +2,8 @@
 
 Semantics (identical for both strategies): for every input row, aggregate the
 rows with the same key whose whole-second time lies in ``[t - seconds, t]``
-(both ends inclusive, same-second rows are peers, the row itself is inside).
+(both ends inclusive, same-second rows are peers, the row itself is inside
+unless ``exclude_current`` is set; then its same-second peers stay).
 Rows with a NULL time see only the NULL-time rows of their key.  NULL keys form
 one group.  One output row per input row; the input columns are kept.
 
@@ -59,6 +60,7 @@ class Rolling:
     seconds: int
     kind: str = "sum"
     value: object = None  # column name or Column; None with kind="count" -> count(*)
+    exclude_current: bool = False  # leave the row itself out (rows of the same second stay in)
 
     def __post_init__(self):
         if self.kind not in ("sum", "count"):
@@ -69,12 +71,12 @@ class Rolling:
             raise ValueError("window length must be >= 0 seconds")
 
 
-def rolling_sum(name: str, value, seconds: int) -> Rolling:
-    return Rolling(name, int(seconds), "sum", value)
+def rolling_sum(name: str, value, seconds: int, *, exclude_current: bool = False) -> Rolling:
+    return Rolling(name, int(seconds), "sum", value, exclude_current)
 
 
-def rolling_count(name: str, seconds: int, value=None) -> Rolling:
-    return Rolling(name, int(seconds), "count", value)
+def rolling_count(name: str, seconds: int, value=None, *, exclude_current: bool = False) -> Rolling:
+    return Rolling(name, int(seconds), "count", value, exclude_current)
 
 
 DIGIT_BITS = 30      # of a limb: a 64-bit slot adds up 2^33 of them
@@ -252,12 +254,18 @@ def _slots(aggs, prepared):
     slots = []
     for i, (a, (parts, nullable, _)) in enumerate(zip(aggs, prepared)):
         slots += [(f"__v{i}_{k}", i, v, dt) for k, (v, dt) in enumerate(parts)]
-        if a.kind == "sum" and nullable:
+        if a.kind == "sum" and (nullable or a.exclude_current):   # without the row itself a frame can be empty
             known = as_col(a.value).isNotNull()
             slots.append((f"__n{i}", i, F.when(known, F.lit(1)).otherwise(F.lit(0)).cast("long"), T.LongType()))
     return slots
 
 
+def _running(slot, agg, window):
+    """The slot's sum over the frame; less the row's own part, which integer and decimal slots give back exactly."""
+    total = F.sum(slot).over(window)
+    return (total - F.coalesce(F.col(slot), F.lit(0)) if agg.exclude_current else total).alias(slot)
+
+
 def _results(aggs, prepared, slots):
     names = {s[0] for s in slots}
     outs = []
@@ -321,7 +329,7 @@ def _by_window(df, keys, ts, aggs, limbs):
     slots = _slots(aggs, prepared)
     out = df.withColumn("__t", epoch_seconds(ts)).withColumns({n: v for n, _, v, _ in slots})
     by_len = {a.seconds: Window.partitionBy(*keys).orderBy("__t").rangeBetween(-a.seconds, 0) for a in aggs}
-    summed = out.select(*df.columns, *[F.sum(n).over(by_len[aggs[i].seconds]).alias(n) for n, i, _, _ in slots])
+    summed = out.select(*df.columns, *[_running(n, aggs[i], by_len[aggs[i].seconds]) for n, i, _, _ in slots])
     return summed.select(*df.columns, *_results(aggs, prepared, slots))
 
 
@@ -390,7 +398,7 @@ def _by_events(df, keys, ts, aggs, limbs, bucket_seconds, target_rows):
     running = (Window.partitionBy(*keys, "__b").orderBy(F.col("__at").asc_nulls_first())
                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     summed = events.select(*keys, "__entry", "__p",
-                           *[F.sum(s).over(running).alias(s) for s in slot_names])
+                           *[_running(n, aggs[i], running) for n, i, _, _ in slots])
     return summed.where("__entry").select(
         *[F.col(f"`{c}`") if c in keys else F.col(f"__p.`{c}`").alias(c) for c in df.columns],
         *_results(aggs, prepared, slots))

@@ -232,6 +232,22 @@ def q_rolling_impressions(spark, sf_dir):
         "sum_impressions_7d", WEEK_SECONDS))
 
 
+@query("rolling_without_current", _rolling_sql(
+    "event_id, destination_id, ts, CAST(sum(CASE WHEN clicked THEN 1 ELSE 0 END) OVER own AS BIGINT) AS sum_clicks_7d, "
+    "CAST(count(*) OVER own AS BIGINT) AS sum_impressions_7d, "
+    "CAST(sum(CAST(price AS DECIMAL(18,2))) OVER own AS DOUBLE) AS sum_price_7d", "destination_id")
+    + """,
+       own AS (PARTITION BY destination_id ORDER BY s RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW EXCLUDE CURRENT ROW)""")
+def q_rolling_without_current(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    src = log.select("event_id", "destination_id", "ts", "price", flag01("clicked").alias("clicked01"))
+    return rolling_aggregate(src, ["destination_id"], "ts", [
+        rolling_sum("sum_clicks_7d", "clicked01", WEEK_SECONDS, exclude_current=True),
+        rolling_count("sum_impressions_7d", WEEK_SECONDS, exclude_current=True),
+        rolling_sum("sum_price_7d", "price", WEEK_SECONDS, exclude_current=True)]).select(
+        "event_id", "destination_id", "ts", "sum_clicks_7d", "sum_impressions_7d", "sum_price_7d")
+
+
 @query("rolling_mean_price", f"""SELECT event_id, user_id, ts,
   CAST(sum(CAST(price AS DECIMAL(18,2))) OVER w7 AS DOUBLE) / count(*) OVER w7 AS mean_price_7d
 FROM (SELECT event_id, user_id, ts, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS price,

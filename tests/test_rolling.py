@@ -204,6 +204,32 @@ def test_sums_over_all_magnitudes(spark, rows, bucketing):
             assert abs(r.s - exact) <= 2.3e-16 * abs(exact)
 
 
+@pytest.mark.parametrize("strategy, bucket, target", [("window", None, 9), ("events", None, 1_000_000), ("events", 3, 9), ("events", None, 2)])
+def test_frames_without_the_row_itself(spark, strategy, bucket, target):
+    """All earlier rows and the same-second peers, less the row; nothing left gives NULL sums and zero counts."""
+    rows = [(1, T0, 1.5, True), (1, T0, 2.5, True), (1, T0 + timedelta(seconds=5), None, True),
+            (1, T0 + timedelta(seconds=20), 8.25, True), (2, T0, 4.0, True), (3, None, 1.0, True), (3, None, 2.0, True)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, " + SCHEMA)
+    out = rolling_aggregate(df, ["k"], "ts", [
+        rolling_sum("s", "price", 10, exclude_current=True), rolling_sum("d", F.col("price").cast("decimal(5,2)"), 10, exclude_current=True),
+        rolling_count("n", 10, exclude_current=True), rolling_count("nn", 10, value="price", exclude_current=True),
+        rolling_sum("whole", "price", 10)], strategy=strategy, bucket_seconds=bucket, target_rows=target)
+    got = {r.i: (r.s, None if r.d is None else float(r.d), r.n, r.nn, r.whole) for r in out.collect()}
+    assert got == {0: (2.5, 2.5, 1, 1, 4.0), 1: (1.5, 1.5, 1, 1, 4.0), 2: (4.0, 4.0, 2, 2, 4.0), 3: (None, None, 0, 0, 8.25),
+                   4: (None, None, 0, 0, 4.0), 5: (2.0, 2.0, 1, 1, 3.0), 6: (1.0, 1.0, 1, 1, 3.0)}
+
+
+def test_a_rows_own_click_does_not_reach_its_features(spark):
+    from chronoleaf.plans.features import destination_features
+    log = spark.createDataFrame([(7, T0, True), (7, T0 + timedelta(hours=1), False), (8, T0, True)],
+                                "destination_id int, ts timestamp, clicked boolean")
+    out = destination_features(log, exclude_current=True).collect()
+    got = {(r.destination_id, r.ts): (r.sum_clicks_7d, r.sum_impressions_7d) for r in out}
+    assert got == {(7, T0): (None, 0), (7, T0 + timedelta(hours=1)): (1, 1), (8, T0): (None, 0)}
+    flipped = destination_features(log.withColumn("clicked", ~F.col("clicked")), exclude_current=True).collect()
+    assert {r.sum_clicks_7d for r in flipped if r.ts == T0} == {None}
+
+
 def test_bucket_totals_carry_their_digits_up(spark):
     """Digits of a bucket's total stay small whatever the number of rows, so any number of buckets adds up."""
     from chronoleaf.operators.rolling import Limbs
