@@ -34,8 +34,8 @@ from chronoleaf.session import materialize
 
 SHARD_ROWS = 4096      # vectors in one ball tree
 RUN_SHARDS = 4         # trees that one search task reads
-BLOCK_QUERIES = 256    # queries in one block
-LEAF_ROWS = 48
+BLOCK_QUERIES = 2048   # queries in one block; trees are sent once for each block
+LEAF_ROWS = 512
 _NONE = np.iinfo(np.int64).min
 
 
@@ -46,6 +46,8 @@ class BallTree:
 
     def __init__(self, **parts: np.ndarray):
         self.__dict__.update(parts)
+        self.high = _largest(self.x)
+        self.xf = self.x.astype(float)
 
     @classmethod
     def grown(cls, ids: np.ndarray, x: np.ndarray) -> BallTree:
@@ -89,7 +91,7 @@ class TopK:
 
     def __init__(self, ids: np.ndarray, q: np.ndarray, k: int, floor: np.ndarray):
         self.qid, self.q, self.k = ids, q, k
-        self.qf = q.astype(float)
+        self.qf, self.high = q.astype(float), _largest(q)
         self.norm = np.sqrt((self.qf ** 2).sum(axis=1))
         self.floor = floor                               # shared k-th scores known so far
         self.score = np.full((len(ids), k), _NONE, np.int64)
@@ -114,22 +116,39 @@ class TopK:
                 self.search(tree, b, own)
 
     def _leaf(self, tree: BallTree, rows: slice, who: np.ndarray) -> None:
-        s = _products(self.q[who], tree.x[rows])
-        ids = np.broadcast_to(tree.ids[rows], s.shape)
-        s = np.where(ids == self.qid[who][:, None], _NONE, s)
-        ids = np.where(s == _NONE, np.iinfo(np.int64).max, ids)
-        s, ids = np.hstack([self.score[who], s]), np.hstack([self.id[who], ids])
-        best = np.lexsort((ids, ~s), axis=1)[:, :self.k]   # ~s falls as s rises, without overflow
-        self.score[who] = np.take_along_axis(s, best, 1)
-        self.id[who] = np.take_along_axis(ids, best, 1)
-
-
-def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact inner products; Python integers where 64 bits might not hold them."""
-    high = int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0)) * max(1, q.shape[1])
-    if high < 2 ** 52:
-        return np.rint(q.astype(float) @ x.T.astype(float)).astype(np.int64)
-    return (q.astype(object) @ x.T.astype(object)).astype(np.int64) if high >= 2 ** 62 else q @ x.T
+        s = self._products(tree, rows, who)
+        ids, k = tree.ids[rows], self.k
+        s[ids[None, :] == self.qid[who][:, None]] = _NONE
+        least = np.maximum(self.score[who, -1], self.floor[who])        # what a score must reach
+        if s.shape[1] > k:
+            least = np.maximum(least, np.partition(s, -k, axis=1)[:, -k])
+        good = (s >= least[:, None]) & (s > _NONE)
+        hit = np.flatnonzero(good.any(axis=1))
+        if not len(hit):
+            return
+        row, col = np.nonzero(good[hit])                                # about k of a row, and ties
+        who, s = who[hit], s[hit]
+        row = np.concatenate([row, np.repeat(np.arange(len(hit)), k)])
+        score = np.concatenate([s[row[:len(col)], col], self.score[who].ravel()])
+        ids = np.concatenate([ids[col], self.id[who].ravel()])
+        order = np.lexsort((ids, ~score, row))                          # ~score falls as score rises, without overflow
+        row = row[order]
+        best = order[np.arange(len(row)) - np.searchsorted(row, row) < k]
+        self.score[who] = score[best].reshape(-1, k)
+        self.id[who] = ids[best].reshape(-1, k)
+
+    def _products(self, tree: BallTree, rows: slice, who: np.ndarray) -> np.ndarray:
+        """Exact inner products; Python integers where 64 bits might not hold them."""
+        q = self.q[who]
+        high = self.high * tree.high * max(1, q.shape[1])
+        if high < 2 ** 52:
+            return np.rint(self.qf[who] @ tree.xf[rows].T).astype(np.int64)
+        x = tree.x[rows]
+        return (q.astype(object) @ x.T.astype(object)).astype(np.int64) if high >= 2 ** 62 else q @ x.T
+
+
+def _largest(x: np.ndarray) -> int:
+    return max(int(x.max()), -int(x.min())) if x.size else 0
 
 
 def quantized(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:

@@ -53,7 +53,7 @@ from chronoleaf.llm.common import shuffle_partitions, small_batches, table
 from chronoleaf.session import materialize, scratch_dir
 
 FILE_BYTES = 64 << 20          # text in one file, about
-CACHE_WORDS = 400_000          # words whose ids a worker keeps
+CACHE_WORDS = 1_000_000         # words whose ids a worker keeps
 END_ID = 1
 # fixed values of the zstandard formats
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -98,24 +98,22 @@ class Encoder:
 
     def _learn(self, words: list[bytes]) -> None:
         """Encode unknown words many at a time, and part the ids by the words' own pieces."""
-        plain, odd = [], []
-        for w in words:
-            text = w.decode()
-            # beyond these letters the two regular-expression libraries might differ; such words go alone
-            (plain if max(text) < "ɐ" and len(text) < 200 else odd).append((w, text))
+        texts = [w.decode() for w in words]
+        # beyond these letters the two regular-expression libraries might differ; such words go alone
+        simple = [len(t) < 200 and (t.isascii() or max(t) < "ɐ") for t in texts]
+        plain = [(w, t) for w, t, ok in zip(words, texts, simple) if ok]
+        odd = [(w, t) for w, t, ok in zip(words, texts, simple) if not ok]
         for at in range(0, len(plain), 512):
-            part = plain[at:at + 512]
-            ids = np.array(self.tok.encode_batch_fast([" ".join(t for _, t in part)], add_special_tokens=False)[0].ids, np.int64)
+            own, said = zip(*plain[at:at + 512])
+            ids = np.array(self.tok.encode_batch_fast([" ".join(said)], add_special_tokens=False)[0].ids, np.int64)
             cut = np.flatnonzero(self.ends[ids]) + 1
-            pieces = np.cumsum([1 if t.isalpha() else self._pieces(t) for _, t in part])
+            pieces = np.cumsum([1 if t.isalpha() else self._pieces(t) for t in said])
             if len(cut) != pieces[-1] or (len(cut) and cut[-1] != len(ids)):
-                odd += part
+                odd += zip(own, said)
                 continue
-            stop = np.append(0, cut)[pieces]
-            raw, start = ids.astype(self.kind).tobytes(), 0
-            for (w, _), e in zip(part, (stop * self.width).tolist()):
-                self.cache[w] = raw[start:e]
-                start = e
+            stop = (np.append(0, cut)[pieces] * self.width).tolist()
+            raw = ids.astype(self.kind).tobytes()
+            self.cache.update(zip(own, [raw[i:j] for i, j in zip([0, *stop], stop)]))
         for (w, _), ids in zip(odd, self._ids([t for _, t in odd])):
             self.cache[w] = ids
 
@@ -131,12 +129,10 @@ class Encoder:
         parts = [self._words(t.encode("utf-8", "replace")) for t in texts]
         if len(self.cache) > CACHE_WORDS // 2:            # words in use come back from the older half
             self.cache, self.older = {}, self.cache
-        known = [list(map(self.cache.get, p)) for p in parts]
-        new = {w for p, k in zip(parts, known) for w, ids in zip(p, k) if ids is None}
+        new = set().union(*parts).difference(self.cache)
         self.cache.update((w, self.older[w]) for w in new if w in self.older)
         self._learn([w for w in new if w not in self.cache])
-        get = self.cache.__getitem__
-        return [b"".join([get(w) if ids is None else ids for w, ids in zip(p, k)]) for p, k in zip(parts, known)]
+        return [b"".join(map(self.cache.__getitem__, p)) for p in parts]
 
 
 _encoders: dict[str, Encoder] = {}
