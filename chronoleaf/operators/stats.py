@@ -5,30 +5,52 @@ Exact median without one task holding a column
 ``percentile``/``median`` merge every distinct value of the column into a
 single final task.  That is fine below a proven bound, so columns with at most
 ``local_limit`` non-NULL values use ``F.median`` directly (one job for all
-columns).  Larger columns are narrowed instead: approximate quantiles cut the
-current value range into ``fanout`` slices, one pass counts the values at or
-below / strictly below each cut, the slice holding the wanted rank becomes the
-new range, and once a range holds at most ``final_rows`` values they are
-sorted and the rank read off (at most ``final_rows`` values reach the
-driver).  Every pass is a distributed scan with a one-row result; memory per
-task stays bounded.  Interpolation follows Spark's
-``percentile``: position (n - 1) * 0.5 between the two neighbouring ranks.
+columns).  Larger columns are selected by radix: the values become 64-bit
+integers of the same order (sign, exponent and mantissa), written once for all
+columns; four passes then count the next 16 bits of the keys that share what is
+already known of a wanted rank.  Every pass serves all columns and both middle
+ranks together, and hands the driver at most 65,536 counts for each of them,
+whatever the input; tasks combine before the shuffle.  Interpolation follows
+Spark's ``percentile``: position (n - 1) * 0.5 between the two middle ranks.
 """
 
 from __future__ import annotations
 
+import math
+import struct
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoleaf.functions._util import as_col
+from chronoleaf.session import materialize
 
 LOCAL_LIMIT = 1_000_000   # values one task may hold for F.median (~80 MB of map entries)
-FINAL_ROWS = 100_000      # values the driver may receive to read off a rank
-FANOUT = 256
+DIGIT, DIGITS = 16, 4
+
+
+def ordered_key(v: Column) -> Column:
+    """A double as a long of the same order: its exponent and mantissa, negated for negative values.  Every step is exact:
+    powers of two, quotients by them, and a logarithm that is corrected by comparison.  Both zeros give 0, NaN comes last."""
+    size = F.abs(v)
+    guess = F.floor(F.log2(size))
+    power = guess + F.when(size >= F.pow(F.lit(2.0), guess + 1), 1).when(size < F.pow(F.lit(2.0), guess), -1).otherwise(0)
+    scale = F.pow(F.lit(2.0), power)
+    normal = (power + 1023) * F.lit(1 << 52) + ((size / scale - 1) * F.lit(2.0 ** 52)).cast("long")
+    bits = (F.when(size == float("inf"), F.lit(2047 << 52))
+            .when(size < 2.0 ** -1022, (size / F.lit(math.ldexp(1.0, -1074))).cast("long")).otherwise(normal))
+    return F.when(F.isnan(v), F.lit((1 << 63) - 1)).when(v == 0, F.lit(0).cast("long")).when(v < 0, -bits).otherwise(bits)
+
+
+def key_value(key: int) -> float:
+    """The double of an ordered key."""
+    if key == (1 << 63) - 1:
+        return float("nan")
+    size = struct.unpack("<d", struct.pack("<q", abs(key)))[0]
+    return -size if key < 0 else size
 
 
-def exact_medians(df: DataFrame, cols, *, local_limit: int = LOCAL_LIMIT,
-                  fanout: int = FANOUT, final_rows: int = FINAL_ROWS) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, cols, *, local_limit: int = LOCAL_LIMIT) -> dict[str, float | None]:
     cols = [cols] if isinstance(cols, str) else list(cols)
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first().asDict()
     small = [c for c in cols if counts[c] <= local_limit]
@@ -36,55 +58,40 @@ def exact_medians(df: DataFrame, cols, *, local_limit: int = LOCAL_LIMIT,
     if small:
         row = df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in small]).first()
         out.update({c: row[c] for c in small})
-    for c in cols:
-        if c in out:
-            continue
-        n = counts[c]
-        lo_rank, hi_rank = (n - 1) // 2, n // 2
-        values = df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
-        final = min(final_rows, local_limit)
-        lo_v = _kth(values, lo_rank, n, final, fanout)
-        hi_v = lo_v if hi_rank == lo_rank else _kth(values, hi_rank, n, final, fanout)
-        out[c] = lo_v if hi_rank == lo_rank else 0.5 * lo_v + 0.5 * hi_v
+    large = [c for c in cols if c not in out]
+    if large:
+        found = _by_radix(df, large, counts)
+        for c in large:
+            lo, hi = found[c]
+            out[c] = lo if lo == hi or math.isnan(lo) else 0.5 * lo + 0.5 * hi
     return out
 
 
-def _kth(values: DataFrame, rank: int, n: int, final_rows: int, fanout: int) -> float:
-    """Value of 0-based ``rank`` among ``values.v`` (no NULLs) by range narrowing; the
-    last range (at most ``final_rows`` values) is ordered and the rank read off."""
-    lo, hi = None, None  # current range is (lo, hi) exclusive on both sides when set
-    count = n
-    v = F.col("v")
-    while True:
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (v > F.lit(lo))
-        if hi is not None:
-            cond = cond & (v < F.lit(hi))
-        part = values.where(cond)
-        if count <= final_rows:
-            rows = part.orderBy("v").offset(rank).limit(1).collect()
-            return rows[0]["v"]
-        fractions = [i / fanout for i in range(1, fanout)]
-        cuts = part.agg(F.percentile_approx(v, fractions, fanout * 40).alias("q")).first()["q"]
-        cuts = sorted(set(cuts))
-        stats = part.agg(*[F.count_if(v <= F.lit(x)).alias(f"le{i}") for i, x in enumerate(cuts)],
-                         *[F.count_if(v < F.lit(x)).alias(f"lt{i}") for i, x in enumerate(cuts)]
-                         ).first()
-        le = [stats[f"le{i}"] for i in range(len(cuts))]
-        lt = [stats[f"lt{i}"] for i in range(len(cuts))]
-        idx = next((i for i, c in enumerate(le) if c > rank), None)
-        if idx is None:  # above the last cut
-            base = le[-1]
-            lo, count, rank = cuts[-1], count - base, rank - base
-            continue
-        if lt[idx] <= rank:  # the rank falls on copies of the cut value itself
-            return float(cuts[idx])
-        base = le[idx - 1] if idx > 0 else 0
-        if idx > 0:
-            lo = cuts[idx - 1]
-        hi = cuts[idx]
-        count, rank = lt[idx] - base, rank - base
+def _by_radix(df: DataFrame, cols: list[str], counts: dict[str, int]) -> dict[str, tuple[float, float]]:
+    """The values of the two middle ranks of each column."""
+    keys = materialize(df.select(*[ordered_key(F.col(c).cast("double")).alias(f"k{i}") for i, c in enumerate(cols)]),
+                       "median-keys")
+    pairs = keys.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"k{i}").alias("k")) for i in range(len(cols))]))
+                        .alias("p")).select("p.*").where(F.col("k").isNotNull())
+    # (column, which middle) -> (known leading digits, rank among the keys that share them)
+    want = {(i, r): (None, rank) for i, c in enumerate(cols) for r, rank in enumerate(((counts[c] - 1) // 2, counts[c] // 2))}
+    for done in range(DIGITS):
+        shift = 64 - DIGIT * (done + 1)
+        if done:
+            known = [F.struct(F.lit(i).alias("c"), F.lit(lead).alias("lead")) for i, lead in {(i, w[0]) for (i, _), w in want.items()}]
+            part = pairs.where(F.struct("c", F.shiftright("k", shift + DIGIT).alias("lead")).isin(known))
+        else:
+            part = pairs
+        seen: dict[tuple, list] = {}
+        for r in part.groupBy("c", F.shiftright("k", shift).alias("lead")).count().collect():
+            seen.setdefault((r.c, r.lead >> DIGIT if done else None), []).append((r.lead, r["count"]))
+        for name, (lead, rank) in want.items():
+            for at, n in sorted(seen[name[0], lead]):
+                if rank < n:
+                    want[name] = (at, rank)
+                    break
+                rank -= n
+    return {c: (key_value(want[i, 0][0]), key_value(want[i, 1][0])) for i, c in enumerate(cols)}
 
 
 def fill_with(df: DataFrame, values: dict[str, float | None]) -> DataFrame:

@@ -10,7 +10,8 @@ from chronoleaf.functions import day_of_week, day_stamp, epoch_seconds, flag01,
 from chronoleaf.functions.geo import geodesic_miles, haversine_miles, with_distance
 from chronoleaf.functions.strings import clean_user_name
 from chronoleaf.operators.split import hash_split, time_split
-from chronoleaf.operators.stats import accuracy, duplicate_keys, exact_medians, fill_median
+from chronoleaf.operators.stats import accuracy, duplicate_keys, exact_medians, fill_median, key_value, ordered_key
+from chronoleaf.session import materialize
 from chronoleaf.plans.ondemand import add_distance
 
 
@@ -166,7 +167,7 @@ def test_median_skips_null_and_interpolates(spark):
 def test_median_narrowing_equals_spark_median(spark, n):
     df = spark.range(n).select((((F.col("id") * 7919) % 1009) / 7.0).alias("x"))
     want = df.agg(F.median("x")).first()[0]
-    got = exact_medians(df, ["x"], local_limit=50, fanout=8)["x"]
+    got = exact_medians(df, ["x"], local_limit=50)["x"]
     assert got == pytest.approx(want, abs=1e-12)
 
 
@@ -174,7 +175,37 @@ def test_median_narrowing_with_heavy_duplicates(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(5.0))
                                   .otherwise(F.col("id").cast("double")).alias("x"))
     want = df.agg(F.median("x")).first()[0]
-    assert exact_medians(df, ["x"], local_limit=20, fanout=4)["x"] == pytest.approx(want)
+    assert exact_medians(df, ["x"], local_limit=20)["x"] == pytest.approx(want)
+
+
+def test_ordered_keys_keep_the_order_and_every_bit(spark):
+    import struct
+    values = sorted({0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, 1.0, -1.0, 2.0,
+                     1.9999999999999998, 0.9999999999999999, 8.0, 7.999999999999999, 1000.0, 1024.0, 0.1, -0.1, 3e-310, float("inf"),
+                     float("-inf"), *[math.ldexp(1.0, e) for e in range(-1074, 1024, 7)], *[math.nextafter(2.0 ** e, 0) for e in range(-1000, 1000, 9)]})
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    keys = [r.k for r in df.select("i", ordered_key(F.col("v")).alias("k")).orderBy("i").collect()]
+    assert keys == sorted(set(keys))
+    assert [key_value(k) for k in keys] == values
+    assert keys[values.index(1.0)] == struct.unpack("<q", struct.pack("<d", 1.0))[0]
+    odd = spark.createDataFrame([(-0.0,), (float("nan"),), (None,)], "v double").select(ordered_key(F.col("v")).alias("k")).collect()
+    assert [r.k for r in odd] == [0, 2 ** 63 - 1, None]
+
+
+def test_medians_of_all_columns_in_four_passes(spark, monkeypatch):
+    import random
+    from chronoleaf.operators import stats
+    rng = random.Random(2)
+    rows = [(rng.gauss(0, 1) * 10 ** rng.randrange(-300, 300), float(rng.randrange(3)), rng.choice([None, -1.5, 2.5]), None,
+             rng.choice([float("inf"), -1.0])) for _ in range(301)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(3)
+    cols = list("abcde")
+    want = df.agg(*[F.median(c).alias(c) for c in cols]).first().asDict()
+    written = []
+    monkeypatch.setattr(stats, "materialize", lambda d, name: written.append(name) or materialize(d, name))
+    assert exact_medians(df, cols, local_limit=10) == want
+    assert exact_medians(df.limit(300), cols[:3], local_limit=10) == df.limit(300).agg(*[F.median(c).alias(c) for c in cols[:3]]).first().asDict()
+    assert written == ["median-keys"] * 2
 
 
 def test_distance_fills_null_coordinates_with_medians(spark):
