@@ -785,6 +785,19 @@ def q_scan_csv_infer(spark, sf_dir):
     return _ntz(df, "ts")
 
 
+@query("scan_csv_declared", _with(LOC_CTE) + """SELECT destination_id, name,
+  CASE WHEN destination_id % 5 <> 3 THEN price END AS price, latitude, longitude,
+  CASE WHEN destination_id % 5 = 3 THEN concat_ws(',', destination_id, name, 'n/a', latitude, longitude) END AS malformed_line
+FROM loc""")
+def q_scan_csv_declared(spark, sf_dir):
+    """The location dimension from CSV with a declared schema; every fifth line has a price that is no number."""
+    loc = roles.destination_locations(spark, sf_dir)
+    price = F.when(F.col("destination_id") % 5 == 3, F.lit("n/a")).otherwise(F.col("price").cast("string"))
+    path = f"{scratch_dir(spark, 'csv')}/locations"
+    loc.select(F.concat_ws(",", "destination_id", "name", price, "latitude", "longitude").alias("value")).write.text(path)
+    return files.read_csv_checked(spark, path, files.LOCATION_SCHEMA, header=False)
+
+
 # ---------------------------------------------------------------- L / U: model
 # Tree scores have no SQL form; what can be checked of every row is returned instead.
 TEST_SPLIT = "CAST(('0x' || substr(md5('123:' || CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 4 >= 3"

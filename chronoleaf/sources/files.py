@@ -4,6 +4,7 @@ schema (S2, S3), and writers that keep microsecond timestamps (trap T3)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed value: the availability log schema of the reference (all fields nullable)
@@ -36,6 +37,35 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return r.csv(path)
 
 
+MALFORMED = "malformed_line"
+LOCATION_SCHEMA = T.StructType([
+    T.StructField("destination_id", T.IntegerType(), True),
+    T.StructField("name", T.StringType(), True),
+    T.StructField("price", T.IntegerType(), True),
+    T.StructField("latitude", T.DoubleType(), True),
+    T.StructField("longitude", T.DoubleType(), True),
+])
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, malformed: str = MALFORMED,
+                     **options) -> DataFrame:
+    """CSV with a declared schema that keeps every row: of a line that does not fit the schema the fields that do are
+    kept, the others are NULL, and the line itself stands in ``malformed`` (NULL for good lines)."""
+    if malformed in schema.names:
+        raise ValueError(f"the schema already has a column {malformed!r}")
+    return read_csv(spark, path, T.StructType([*schema.fields, T.StructField(malformed, T.StringType(), True)]),
+                    mode="PERMISSIVE", columnNameOfCorruptRecord=malformed, **options)
+
+
+def count_malformed(df: DataFrame, malformed: str = MALFORMED) -> tuple[int, int]:
+    """(good lines, malformed lines), in one pass."""
+    # every declared column is asked for, so each line is parsed in full and checked against the whole schema
+    whole = F.struct(*[F.col(c) for c in df.columns if c != malformed])
+    r = df.agg(F.count_if(F.col(malformed).isNull()).alias("good"), F.count(malformed).alias("bad"),
+               F.max(F.hash(whole)).alias("parsed")).first()
+    return r["good"], r["bad"]
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     (df.write.mode(mode).option("header", True)
      .option("timestampFormat", MICROS_TS_FORMAT)

@@ -322,3 +322,26 @@ def test_compaction_reads_rows_of_a_clock_that_is_behind(spark):
     drain(cat.publish_table("avail", streaming=True, checkpoint_location=f"{base}/online"))
     for read in (cat.read_table, cat.read_online, cat.snapshot):
         assert {r.destination_id for r in read("avail").collect()} == {1, 2, 3}
+
+
+def test_a_drain_of_an_endless_source_ends(spark, tmp_path):
+    import time
+    q = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 10).load().writeStream.format("noop")
+         .option("checkpointLocation", str(tmp_path / "ck")).start())
+    t0 = time.monotonic()
+    with pytest.raises(TimeoutError):
+        drain(q, 3)
+    assert time.monotonic() - t0 < 20 and not q.isActive
+
+
+def test_csv_with_a_declared_schema_keeps_malformed_lines(spark, tmp_path):
+    from chronoleaf.sources.files import LOCATION_SCHEMA, count_malformed, read_csv_checked
+    (tmp_path / "a.csv").write_text("destination_id,name,price,latitude,longitude\n1,Rome,10,41.9,12.5\n2,Oslo,cheap,59.9,10.7\n"
+                                    "x,Bonn,7,50.7,7.1\n3,,,,\n")
+    df = read_csv_checked(spark, str(tmp_path), LOCATION_SCHEMA)
+    got = sorted(map(tuple, df.collect()), key=str)
+    assert got == sorted([(1, "Rome", 10, 41.9, 12.5, None), (2, "Oslo", None, 59.9, 10.7, "2,Oslo,cheap,59.9,10.7"),
+                          (None, "Bonn", 7, 50.7, 7.1, "x,Bonn,7,50.7,7.1"), (3, None, None, None, None, None)], key=str)
+    assert count_malformed(df) == (2, 2)
+    with pytest.raises(ValueError):
+        read_csv_checked(spark, str(tmp_path), LOCATION_SCHEMA, malformed="name")
