@@ -5,7 +5,7 @@ coordinates filled by medians for the distance only (the four coordinate
 columns themselves stay as they are and remain model inputs).  Medians are
 either given (``fit`` mode: training medians reused at scoring time, no
 train/serve skew) or computed over the batch passed in (``batch`` mode, as the
-reference does).  Everything is one SQL expression (no Python worker).
+reference does).  Everything is SQL (no Python worker).
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def _lit(v) -> str:
 
 
 def distance_sql(medians: dict, method: str = "geodesic", strict: bool = False) -> str:
-    """One SQL expression (Spark and ANSI engines alike) of the median-filled distance."""
+    """One Spark SQL expression of the median-filled distance; add_distance() is the fast form."""
     f = _filled(medians)
     fn = geodesic_miles_sql if method == "geodesic" else haversine_miles_sql
     body = fn(f["user_latitude"], f["user_longitude"], f["latitude"], f["longitude"])
