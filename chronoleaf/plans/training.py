@@ -1,6 +1,6 @@
 """Feature lookups and training-set assembly.
 
-``create_training_set`` folds each :class:`Lookup` over the label rows:
+``create_training_set`` applies each :class:`Lookup` to the label rows:
 a point-in-time lookup when both the feature table and the lookup have a time
 key, a plain key lookup otherwise (a time-keyed table looked up without a
 label time uses its latest row per key).  Exactly one output row per label row.
@@ -13,7 +13,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame
 
-from chronoleaf.operators.asof import asof_join
+from chronoleaf.operators.asof import AsOf, asof_lookups
 from chronoleaf.operators.latest import latest_per_key
 from chronoleaf.operators.lookup import key_lookup
 
@@ -44,7 +44,20 @@ class Lookup:
 
 def apply_lookups(catalog, df: DataFrame, lookups, *,
                   bucket_seconds: int | None = None) -> DataFrame:
-    out = df
+    """All lookups on ``df``, their features in the order given.  Point-in-time lookups go first, one pass per
+    leading key, so that they shuffle narrow rows; a lookup by a column that another one brings waits for it."""
+    out, columns, timed, plain = df, list(df.columns), [], []
+
+    def joined(now: DataFrame) -> DataFrame:
+        own = all({*lk.left_keys, lk.left_ts} <= set(df.columns) for lk in timed)
+        if timed:
+            now = asof_lookups(now, timed, bucket_seconds=bucket_seconds, left_key_source=df if own else None)
+        for table, keys, pks, feats, rename in plain:
+            now = key_lookup(now, table, keys, pks, feats, rename=rename)
+        timed.clear()
+        plain.clear()
+        return now
+
     for lk in lookups:
         info = catalog.get_table(lk.table_name)
         table = catalog.read_table(lk.table_name)
@@ -53,15 +66,21 @@ def apply_lookups(catalog, df: DataFrame, lookups, *,
             raise ValueError(f"{info.name} has keys {pks}, lookup gives {lk.keys()}")
         feats = list(lk.feature_names) if lk.feature_names else \
             [c for c in table.columns if c not in info.row_keys]
-        if info.timestamp_key and lk.timestamp_lookup_key:
-            out = asof_join(out, table, lk.keys(), pks, lk.timestamp_lookup_key, info.timestamp_key,
-                            feats, rename=lk.rename, bucket_seconds=bucket_seconds,
-                            left_key_source=df)
+        names = [(lk.rename or {}).get(c, c) for c in feats]
+        clash = set(names) & set(columns)
+        if clash:
+            raise ValueError(f"lookup output collides with label columns {sorted(clash)}; pass rename=")
+        columns += names
+        by_time = info.timestamp_key and lk.timestamp_lookup_key
+        if not {*lk.keys(), *([lk.timestamp_lookup_key] if by_time else [])} <= set(out.columns):
+            out = joined(out)
+        if by_time:
+            timed.append(AsOf(table, lk.keys(), pks, lk.timestamp_lookup_key, info.timestamp_key, feats, lk.rename))
         else:
             if info.timestamp_key:
                 table = latest_per_key(table, pks, [info.timestamp_key])
-            out = key_lookup(out, table, lk.keys(), pks, feats, rename=lk.rename)
-    return out
+            plain.append((table, lk.keys(), pks, feats, lk.rename))
+    return joined(out).select(*columns)
 
 
 class TrainingSet:

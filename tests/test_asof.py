@@ -6,7 +6,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from chronoleaf.operators.asof import asof_join
+from pyspark.sql import functions as F
+
+from chronoleaf.operators.asof import AsOf, asof_join, asof_lookups
 
 T0 = datetime(2024, 1, 10, 10, 0, 0)
 STRATEGIES = ["buckets", "window"]
@@ -127,3 +129,57 @@ def test_keys_meet_in_their_wider_type(spark):
     days = left.selectExpr("DATE'2024-01-01' AS k", "ts").limit(1)
     times = spark.createDataFrame([(datetime(2024, 1, 1, 5), t, 1.0)], "k timestamp, ts timestamp, f double")
     assert asof_join(days, times, "k", "k", "ts", "ts", ["f"]).first().f is None
+
+
+def _several(spark):
+    labels = spark.createDataFrame(
+        [(i, None if i % 17 == 0 else i % 3, None if i % 13 == 0 else "ab"[i % 2],
+          None if i % 19 == 0 else T0 + timedelta(minutes=11 * i)) for i in range(120)],
+        "id long, k int, d string, ts timestamp")
+    one = spark.createDataFrame([(i % 4, T0 + timedelta(minutes=37 * (i // 2)), float(i), None if i % 5 else i)
+                                 for i in range(60)], "k long, ts timestamp, f double, g long")
+    two = spark.createDataFrame([(i % 3, T0 + timedelta(minutes=29 * i), f"x{i}") for i in range(50)],
+                                "kk long, at timestamp, h string")
+    deep = spark.createDataFrame([(i % 3, "ab"[i % 2] if i % 7 else None, T0 + timedelta(minutes=41 * i), i)
+                                  for i in range(50)], "k long, d string, ts timestamp, n int")
+    apart = spark.createDataFrame([("ab"[i % 2], T0 + timedelta(minutes=53 * i), i) for i in range(20)],
+                                  "d string, ts timestamp, m int")
+    return labels, [AsOf(one, "k", "k", "ts", "ts"), AsOf(deep, ["k", "d"], ["k", "d"], "ts", "ts", rename={"n": "left"}),
+                    AsOf(apart, "d", "d", "ts", "ts"), AsOf(two, "k", "kk", "ts", "at", ["h"])]
+
+
+@pytest.mark.parametrize("how", [{}, {"bucket_seconds": 3600}, {"target_rows": 5}, {"strategy": "window"}])
+def test_several_lookups_in_one_pass_equal_one_after_another(spark, how):
+    labels, lookups = _several(spark)
+    want = labels
+    for lk in lookups:
+        want = asof_join(want, lk.right, lk.left_keys, lk.right_keys, lk.left_ts, lk.right_ts, lk.features,
+                         rename=lk.rename, strategy="window")
+    got = asof_lookups(labels, lookups, **how)
+    assert got.columns == ["id", "k", "d", "ts", "f", "g", "left", "m", "h"] and got.dtypes == want.dtypes
+    rows = sorted(got.collect())
+    assert rows == sorted(want.collect()) and len(rows) == 120
+    assert sum(r.left is not None for r in rows) > 20 and sum(r.h is not None for r in rows) > 50
+
+
+def test_one_exchange_for_each_leading_key(spark):
+    labels, lookups = _several(spark)
+    plan = asof_lookups(labels, lookups)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2            # k and d
+    assert plan.count("- Window [") == 3                           # k, (k, d) and d
+
+
+def test_lookups_whose_keys_part_after_the_first(spark):
+    labels, lookups = _several(spark)
+    other = lookups[1].right.withColumnRenamed("n", "z").withColumnRenamed("d", "id").withColumn("id", F.lit(5))
+    both = [lookups[1], AsOf(other, ["k", "id"], ["k", "id"], "ts", "ts")]
+    got = asof_lookups(labels, both)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    want = asof_lookups(asof_lookups(labels, both[:1]), both[1:])
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_wide_label_keys_keep_their_value(spark):
+    labels = spark.createDataFrame([(2 ** 53 + 1, T0)], "k long, ts timestamp")
+    feats = spark.createDataFrame([(float(2 ** 53), T0, 1)], "k double, ts timestamp, f int")
+    assert asof_join(labels, feats, "k", "k", "ts", "ts").first().k == 2 ** 53 + 1
