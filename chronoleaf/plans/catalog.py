@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoleaf.operators.latest import fold_recent, latest_per_key, resolve_merge_log
+from chronoleaf.operators.lookup import scanned_bytes
 from chronoleaf.operators.stats import duplicate_keys
 from chronoleaf.session import checkpoint_root, delete_path
 
 INGEST = "_ingest_ts"
 PUBLISH = "_publish_ts"
 _PROP = "chronoleaf"
+BUCKET_BYTES = 128 << 20
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
@@ -323,9 +325,10 @@ class FeatureCatalog:
                       checkpoint_location: str | None = None, trigger: dict | None = None,
                       buckets: int | None = None, keep_versions: int = 2):
         """Batch: write the next version ``<name>__online_v<n>``, bucketed by the primary
-        keys into ``buckets`` (default: the session's shuffle partitions) so key lookups
-        against a snapshot too large to broadcast shuffle only the request side; only
-        then point the table at it.  Of the versions before, the newest ``keep_versions``
+        keys into ``buckets`` so key lookups against a snapshot too large to broadcast
+        shuffle only the request side; only then point the table at it.  By default a
+        bucket takes about BUCKET_BYTES of the feature table's files, up to the session's
+        shuffle partitions, and a table that fits in one is written without buckets.  Of the versions before, the newest ``keep_versions``
         stay for readers that still hold them.
         Streaming: start a query appending the feature table's new rows to
         ``<name>__online_log`` and return it."""
@@ -334,16 +337,16 @@ class FeatureCatalog:
             version = int(self._props(name).get(f"{_PROP}.publish_version", "0")) + 1
             online = _online_name(name, version)
             self._drop_data(online)          # what a failed publish may have left; never the live one
-            n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            n = buckets or self._bucket_count(name)
             pks = list(info.primary_keys)
             snap = self.snapshot(name)
-            if not (info.merged or info.writer == "stream" or info.timestamp_key):
+            if n > 1 and not (info.merged or info.writer == "stream" or info.timestamp_key):
                 # a plain scan, not an aggregate by the keys: without this each write
                 # task would emit a file for every bucket; hashing by the keys into n
                 # partitions puts one bucket in each task (same hash as the bucket id)
                 snap = snap.repartition(n, *pks)
-            (snap.write.format("parquet").option("path", self.location(online))
-             .bucketBy(n, pks[0], *pks[1:]).saveAsTable(self.qualified(online)))
+            out = snap.write.format("parquet").option("path", self.location(online))
+            (out.bucketBy(n, pks[0], *pks[1:]) if n > 1 else out).saveAsTable(self.qualified(online))
             self._set_props(name, online="batch", publish_version=version)
             if version > keep_versions + 1:
                 self._drop_data(_online_name(name, version - keep_versions - 1))
@@ -366,6 +369,12 @@ class FeatureCatalog:
                 .option("path", self.location(log_name))
                 .trigger(**(trigger or {"availableNow": True})).start())
 
+    def _bucket_count(self, name: str) -> int:
+        """Buckets for a snapshot of a table: its files are an upper bound of the snapshot's."""
+        most = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        size = scanned_bytes(self._raw(name))
+        return most if size is None else max(1, min(most, -(-size // BUCKET_BYTES)))
+
     def read_online(self, name: str) -> DataFrame:
         """The published latest-value view of a feature table."""
         info = self.get_table(name)
