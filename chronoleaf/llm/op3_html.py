@@ -16,8 +16,8 @@ are the weights.  The markup that gives the label is itself no feature.  With
 no labelled page the prior weights hold.
 
 Defined results: null html gives an empty text; character references are
-decoded; an element that only its class, id or role calls boilerplate is none
-while it holds most of the page's words (see _resolve); a link left open ends at
+decoded; a form, or an element that only its class, id or role calls boilerplate,
+is none while it holds most of the page's words (see _resolve); a link left open ends at
 the next block tag, and <a name=...> is no link; white space inside a block becomes one space; blocks are joined in
 page order by one space; unclosed or stray tags are read as they come; null ids
 pass through; other columns are ignored; an empty table gives no rows.
@@ -28,7 +28,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections import Counter
+from collections import Counter, deque
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +43,6 @@ LEAST = 0.02            # smallest size of a weight: words stay positive, tags n
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)"                                                     # comment
     r"|<(script|style|textarea|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"       # raw element
-    r"|<(?:noscript|template|svg)\b[^>]*>.*?</(?:noscript|template|svg)\s*>"
     r"|<[!?][^>]*>?"                                                         # doctype and the like
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"             # tag
     r"|</?[a-zA-Z][^>]*>?", re.S | re.I)                                     # tag with a broken attribute
@@ -58,7 +57,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 LABELS = frozenset(("article", "main"))
 #: elements that hold no article text, and the classes, ids and roles that say the same, alone or joined with each other
 #: ("ad", "ad-banner", "share_2"; not "no-sidebar" or "with-comments")
-BOILERPLATE = frozenset("nav header footer aside form button select dialog menu fieldset".split())
+BOILERPLATE = frozenset("nav header footer aside button select dialog menu".split())
+WRAPPERS = frozenset("form fieldset".split())    # the same, unless one holds most of the page's words
+SKIPPED = frozenset("noscript template svg".split())   # dropped up to their closing tag, if there is one
 BOILER_NAMES = frozenset(
     "ad ads adv advert advertisement sponsor sponsored promo banner cookie cookies consent notice popup modal nav "
     "navbar navigation menu breadcrumb breadcrumbs sidebar footer header comment comments reply replies related "
@@ -78,12 +79,12 @@ class Element:
         self.label = max(1 + (name == "article") if name in LABELS else 0, parent.label if parent else 0)   # 2: article
         self.boiler = name in BOILERPLATE or name not in LABELS and parent is not None and parent.boiler
         # by its class alone: not the body, nor what marks the content (an article inside an article is a comment on it)
-        self.named = bool(attributes) and name != "body" and (name not in LABELS or parent.label == 2) and _named(attributes)
+        self.named = name in WRAPPERS or bool(attributes) and name != "body" and (name not in LABELS or parent.label == 2) and _named(attributes)
         self.words, self.holds = 0, name in LABELS
 
 
 def _resolve(elements: list[Element]) -> None:
-    """Elements that a class, id or role names are boilerplate, unless they hold most of the page's words (those outside
+    """Elements that a class, id or role names, and WRAPPERS, are boilerplate, unless they hold most of the page's words (those outside
     links and BOILERPLATE): more than half of them, or nine in ten inside labelled content, which longer comments may
     follow.  Beside labelled content they are always boilerplate.  Parents come first in ``elements``."""
     for e in reversed(elements):
@@ -109,7 +110,9 @@ def pieces(page: str) -> list[tuple[str, str, int, Element]]:
     inner = Element("", None, -1)                         # innermost open container
     elements = [inner]
     link, closed, at = False, False, 0
-    for m in _PIECE.finditer(page):
+    open_names: Counter = Counter()
+    endings: dict[str, deque] = {}                        # where the SKIPPED elements close, read forwards once
+    while m := _PIECE.search(page, at):
         if m.start() > at:
             text = page[at:m.start()]
             n = len(text.split())
@@ -121,6 +124,14 @@ def pieces(page: str) -> list[tuple[str, str, int, Element]]:
             if m[1]:
                 found.append(("tag", m[1].lower(), 0, inner))
             continue
+        if name in SKIPPED and not m[2] and not m[4].rstrip().endswith("/"):
+            if name not in endings:
+                endings[name] = deque(x.end() for x in re.finditer(rf"</{name}\s*>", page, re.I))
+            while endings[name] and endings[name][0] <= at:
+                endings[name].popleft()
+            if endings[name]:
+                at = endings[name][0]
+                continue
         if name == "a":
             link = not m[2] and ("href" in m[4].lower() or "name" not in m[4].lower())   # else a place, not a link
             closed = link and (after := _LINK.search(page, at)) is not None and after[1] == "/"
@@ -128,16 +139,17 @@ def pieces(page: str) -> list[tuple[str, str, int, Element]]:
             link = False                                  # a link left open ends with its block
         if name in CONTAINERS:
             if m[2]:
-                e = inner
-                while e.parent and e.name != name:
-                    e = e.parent
-                if e.parent:
-                    inner = e.parent
+                while open_names[name]:                   # a stray closing tag closes nothing
+                    last, inner = inner.name, inner.parent
+                    open_names[last] -= 1
+                    if last == name:
+                        break
             elif name in LABELS or not m[4].rstrip().endswith("/"):
                 if name in LABELS:                        # content ends whatever menu or link was left open
                     link = False
                 inner = Element(name, inner, len(found), m[4])
                 elements.append(inner)
+                open_names[name] += 1
         found.append(("tag", name, 0, inner))
     if at < len(page):
         text = page[at:]

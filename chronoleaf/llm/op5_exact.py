@@ -23,9 +23,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from chronoleaf.llm.common import col, table, without
+from chronoleaf.llm.common import col, placed, table, without
 from chronoleaf.session import materialize, scratch_dir
 
 BYTES_PER_TRIGGER = 64 << 30   # digests that one micro-batch takes
@@ -44,15 +43,6 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def _located(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__at``, the place of each row: its file and row number there."""
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    try:
-        return docs.withColumn("__at", place)
-    except AnalysisException:                              # not a plain scan: write it, so that rows have places
-        return materialize(docs, "dedup-input").withColumn("__at", place)
-
-
 def _streamed_state(spark: SparkSession, rows: DataFrame, bytes_per_trigger: int) -> DataFrame:
     """digest, keep (least struct(no id, id, place)) and n, from the state of a drained stream over ``rows``."""
     path, checkpoint = scratch_dir(spark, "dedup-digests"), scratch_dir(spark, "dedup-state")
@@ -86,7 +76,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 bytes_per_trigger: int = BYTES_PER_TRIGGER) -> DataFrame:
     """Adds keep_id, group_size, kept and text_digest to every row of ``docs``."""
     spark = docs.sparkSession
-    docs = _located(without(docs, "keep_id", "group_size", "kept", "text_digest"))
+    docs = placed(without(docs, "keep_id", "group_size", "kept", "text_digest"), "__at", "dedup-input")
     text = normalized(col(text_col))
     groups = _streamed_state(
         spark, docs.select(digest(text).alias("digest"), col(id_col).cast("long").alias("id"), F.col("__at").alias("at")),

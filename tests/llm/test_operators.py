@@ -203,6 +203,34 @@ def test_html_classes_do_not_hide_the_page(weights):
         assert op3_html.main_text(f"<article><p>one two three</p>{other}{text[:40]}</div></article>", weights) == "one two three"
 
 
+@pytest.mark.parametrize("weights", [op3_html.PRIOR, LEARNED])
+def test_html_page_inside_a_form_and_self_closed_svg(weights):
+    text = " ".join(["some words of the article"] * 12)
+    login = "<form><label>name</label><input><button>log in now</button></form>"
+    for page, want in [(f"<body><form action=/><div><p>{text}</p></div></form></body>", text),
+                       (f"<body><form><fieldset><article><p>{text}</p></article></fieldset></form></body>", text),
+                       (f"<body>{login}<article><p>{text}</p>{login}</article>{login}</body>", text),
+                       (f"<body><p>{text} <svg/> two <svg><text>drawn</text></svg> three</p></body>", f"{text} two three"),
+                       (f"<body><svg class=x><p>drawn</p><p>{text}</p></body>", f"drawn {text}"),
+                       (f"<noscript>turn it on</noscript><p>{text}</p><template><p>no</p></template>", text)]:
+        assert op3_html.main_text(page, weights) == want, page
+
+
+@pytest.mark.parametrize("odd", ["<svg>", "<noscript>", "<template>", "</div>", "<div></section>", "<div>", "<svg></svg>", "<svg/>",
+                                 "<a>", "<form>"])
+def test_html_takes_linear_time_on_odd_tags(odd):
+    import time
+    page = "<p>" + "some words here " * 100 + "</p>" + odd * 100_000
+    start = time.process_time()
+    assert "some words here" in op3_html.main_text(page, LEARNED)
+    assert time.process_time() - start < 6            # linear: under 2 s each
+
+
+def test_html_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "u", "<p>one two three four</p>")] * 3, "page_id long, url string, html string")
+    assert [r.text for r in op3_html.extract_text(df, op3_html.learn_weights(df)).collect()] == ["one two three four"] * 3
+
+
 def test_html_open_links_end_with_their_block():
     text = " ".join(["word"] * 60)
     for start in ("<p><a name=top></p>", "<a name=top>", "<p><a href=x>go<br></p>", "<a href=x>go"):
@@ -312,9 +340,63 @@ def test_exact_dedup_empty_and_many_batches(spark):
     assert {(r.keep_id, r.group_size) for r in out} == {(i, 10) for i in range(7)}
 
 
+def _repeated_places(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    docs(spark, [(1, "a  b"), (2, "a b"), (3, "c"), (4, "d")]).coalesce(1).write.parquet(path)
+    scan = spark.read.parquet(path)
+    return [scan.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2)))).drop("n"),
+            spark.read.parquet(path, path), scan.union(scan)]
+
+
+def test_exact_dedup_keeps_one_row_of_repeated_places(spark, tmp_path):
+    for df in _repeated_places(spark, tmp_path):
+        out = op5_exact.exact_dedup(df).collect()
+        assert len(out) == 8 and sorted(r.doc_id for r in out if r.kept) == [1, 3, 4]
+        assert {(r.keep_id, r.group_size) for r in out} == {(1, 4), (3, 2), (4, 2)}
+
+
+def test_placed_writes_only_what_is_no_plain_scan(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    docs(spark, [(1, "a"), (2, "b")]).write.parquet(path)
+    scan = spark.read.parquet(path).select("text", "doc_id").where("doc_id > 0")
+    assert all("plain" in r.at.file for r in common.placed(scan, "at", "x").collect())
+    assert all("plain" not in r.at.file for r in common.placed(scan.limit(5), "at", "x").collect())
+
+
 # --- op6
 
 
+def _plain_ftrl(rows, m, epochs):
+    """FTRL-proximal by its definition, coordinate by coordinate over dicts."""
+    import math
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= m.l1:
+            return 0.0
+        return -(z[i] - math.copysign(m.l1, z[i])) / ((m.beta + math.sqrt(n[i])) / m.alpha + m.l2)
+
+    for _ in range(epochs):
+        for y, text in rows:
+            slots = [int(i) for i in op6_toxicity.features(text)]
+            w = {i: weight(i) for i in slots}
+            g = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(w.values()))))) - y
+            for i in slots:
+                old = n.get(i, 0.0)
+                n[i] = old + g * g
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n[i]) - math.sqrt(old)) / m.alpha * w[i]
+    return {i: w for i in z if (w := weight(i))}
+
+
+@pytest.mark.parametrize("model", [op6_toxicity.Ftrl(), op6_toxicity.Ftrl(0.1, 0.5, 0.3, 0.0), op6_toxicity.Ftrl(1.0, 1.0, 0.0, 2.0)])
+def test_toxicity_learner_equals_a_plain_version(model):
+    rows = [(i % 3 == 0, " ".join(["fool", "fine", "day", "stupid", "tree", "rot"][(i * k) % 6] for k in range(1, 2 + i % 7)))
+            for i in range(90)] + [(1, ""), (0, None), (1, "Émile fool " * 50)]
+    got, want = op6_toxicity.train(rows, model, 3), _plain_ftrl(rows, model, 3)
+    assert set(np.flatnonzero(got)) == set(want) and len(want) >= 5
+    assert all(abs(got[i] - w) < 1e-9 for i, w in want.items())
+
+
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     scored = op6_toxicity.op6_toxicity(spark, sf).join(common.table(spark, sf, "labels"), "doc_id")
