@@ -10,10 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from chronoleaf.llm import op5_exact, op6_toxicity, op8_simhash, op9_bpe, op10_mixing
-from chronoleaf.llm.common import table
+from chronoleaf.llm import common, op5_exact, op6_toxicity, op8_simhash, op9_bpe, op10_mixing
 from chronoleaf.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,7 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go.  It learns from the labelled documents among ``docs``."""
-    weights = op6_toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    weights = op6_toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
     return op6_toxicity.score_texts(docs, weights).where("predicted = 0").select(*COLUMNS)
 
 
@@ -33,11 +31,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group stays: the one with the smallest doc_id (null after all others), of several
     the first by its place.  Rows go by their place, so others with the same doc_id or without one are not touched."""
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    try:
-        placed = docs.select(*COLUMNS, place.alias("place"))
-    except AnalysisException:                              # not read from files
-        placed = materialize(docs.select(*COLUMNS), "simhash-rows").select(*COLUMNS, place.alias("place"))
+    placed = common.placed(docs.select(*COLUMNS), "place", "simhash-rows")
     found = op8_simhash.near_duplicates(placed, width=op8_simhash.SHINGLE, bits=op8_simhash.MAX_BITS, carry=("place",))
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "place")
     groups = found.groupBy("root").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -66,7 +60,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
