@@ -87,6 +87,15 @@ def _preprocess_sql(feats, medians) -> str:
     return f"SELECT {', '.join(parts)} FROM {source}"
 
 
+def _tree_sql(node) -> str:
+    """A regression tree as SQL over the array ``__x`` (at most 2^depth leaves, whatever the data)."""
+    if node.subtreeDepth() == 0:
+        return f"{node.prediction()!r}D"
+    split = node.split()
+    return (f"CASE WHEN __x[{split.featureIndex()}] <= {split.threshold()!r}D THEN {_tree_sql(node.leftChild())} "
+            f"ELSE {_tree_sql(node.rightChild())} END")
+
+
 class FittedModel:
     def __init__(self, model: PipelineModel, features, label, medians, spec: dict | None = None):
         self.model, self.features, self.label, self.medians = model, list(features), label, medians
@@ -100,6 +109,15 @@ class FittedModel:
         prob = vector_to_array(F.col("__prob")).getItem(1).cast(result_type)
         return out.select(*df.columns, prob.alias("prediction"))
 
+    def tree_walk(self, df: DataFrame, name: str = "walked") -> DataFrame:
+        """P(label = 1) by a second way: the fitted trees written out as one SQL expression over the feature
+        vector (nested CASE by split, weighted sum, logistic), beside the columns of ``df``."""
+        boosted = self.model.stages[-1]
+        out = PipelineModel(self.model.stages[:-1]).transform(df).withColumn("__x", vector_to_array("__features"))
+        margin = " + ".join(f"{w!r}D * ({_tree_sql(t._java_obj.rootNode())})"
+                            for t, w in zip(boosted.trees, boosted.treeWeights))
+        return out.withColumn(name, F.expr(f"1 / (1 + exp(-2 * ({margin})))")).select(*df.columns, name)
+
     # ---- persistence (S13) -------------------------------------------------------
     def save(self, spark: SparkSession, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")

@@ -512,6 +512,21 @@ def q_lookup_location(spark, sf_dir):
                          "destination_id", "destination_id", ["latitude", "longitude"])
 
 
+@query("lookup_hot_keys", _with(LOG_CTE, LOC_CTE) + """SELECT l.event_id, l.destination_id, d.latitude, d.longitude
+FROM (SELECT event_id, CASE WHEN clicked THEN 7 WHEN NOT purchased THEN destination_id END AS destination_id FROM log) l
+LEFT JOIN loc d ON l.destination_id = d.destination_id""")
+def q_lookup_hot_keys(spark, sf_dir):
+    """A lookup left to the shuffle, with one destination and NULL in many of the rows."""
+    log = _log(spark, sf_dir)
+    asked = F.when(F.col("clicked"), F.lit(7)).when(~F.col("purchased"), F.col("destination_id"))
+    return key_lookup(log.select("event_id", asked.alias("destination_id")), roles.destination_locations(spark, sf_dir),
+                      "destination_id", "destination_id", ["latitude", "longitude"], broadcast=False,
+                      hot_rows=HOT_ROWS)
+
+
+HOT_ROWS = 500   # so that the smallest test tables have hot keys
+
+
 def _training_sql(avail_ctes=(AVAIL_CTE,), avail="avail") -> str:
     return _with(LOG_CTE, LAB_CTE, LOC_CTE, *avail_ctes, UF_CTE, DF_CTE, """t1 AS (
   SELECT l.*, f.sum_clicks_7d, f.sum_impressions_7d FROM lab l
@@ -813,36 +828,43 @@ def _fit(ts):
     return OnDemandModel(exclude=["event_id"]).fit(train, "purchased"), test
 
 
-def _scored_twice(loaded: DataFrame, model) -> DataFrame:
-    """Rows scored by a loaded model, scored again by the model that was saved."""
-    again = model.transform(loaded.withColumnRenamed("prediction", "loaded"))
-    return again.select("event_id", "purchased", _in_range(),
-                        F.col("loaded").eqNullSafe(F.col("prediction")).alias("same_after_load"))
+def _scored_twice(loaded: DataFrame, model, *columns: str) -> DataFrame:
+    """Rows scored by a loaded model, held against the model that was saved, a walk down its trees in SQL, and
+    a constant guess (which gives all rows one score)."""
+    again = model.tree_walk(model.transform(loaded.withColumnRenamed("prediction", "loaded")))
+    scored = materialize(again, "scored")
+    low, high = scored.agg(F.min("prediction"), F.max("prediction")).first()
+    return scored.select(*columns, _in_range(), F.col("loaded").eqNullSafe(F.col("prediction")).alias("same_after_load"),
+                         (F.abs(F.col("walked") - F.col("prediction")) < 1e-6).alias("same_as_walk"),
+                         F.lit(low is not None and low < high).alias("scores_differ"))
 
 
-@query("train_score", _with(LOG_CTE) + "SELECT event_id, purchased, true AS in_range, "
-       "true AS same_after_load FROM log")
+SCORED = "true AS in_range, true AS same_after_load, true AS same_as_walk, true AS scores_differ"
+
+
+@query("train_score", _with(LOG_CTE) + f"SELECT event_id, purchased, {SCORED} FROM log")
 def q_train_score(spark, sf_dir):
     """Fit, log with the lookups, and score the whole log by name (lookups included)."""
     cat, log, ts = training_set_df(spark, sf_dir)
     model, _ = _fit(ts)
     reg = ModelRegistry(spark, scratch_dir(spark, "models"))
     reg.log_model("travel", model, ts)
-    return _scored_twice(reg.score_batch(cat, "models:/travel/latest", log), model)
+    return _scored_twice(reg.score_batch(cat, "models:/travel/latest", log), model, "event_id", "purchased")
 
 
-@query("model_roundtrip", _with(LOG_CTE, LAB_CTE) + "SELECT event_id, purchased, true AS in_range, "
-       f"true AS same_after_load FROM lab WHERE {TEST_SPLIT}")
+@query("model_roundtrip", _with(LOG_CTE, LAB_CTE) + f"SELECT event_id, purchased, {SCORED} FROM lab")
 def q_model_roundtrip(spark, sf_dir):
-    """Two versions logged, the newest loaded, the held-out quarter scored."""
+    """Two versions logged, the newest loaded, the whole training set scored."""
     _cat, _log_df, ts = training_set_df(spark, sf_dir)
-    model, test = _fit(ts)
+    frame = materialize(ts.load_df(), "training-set")
+    model = OnDemandModel(exclude=["event_id"]).fit(hash_split(frame, "event_id")[0], "purchased")
     reg = ModelRegistry(spark, scratch_dir(spark, "models"))
     reg.log_model("travel", model, ts)
     v = reg.log_model("travel", model, ts)
     if v != 2 or reg.latest_version("travel") != 2:
         raise RuntimeError("model registry did not advance the version")
-    return _scored_twice(reg.load("travel", reg.latest_version("travel")).transform(test), model)
+    return _scored_twice(reg.load("travel", reg.latest_version("travel")).transform(frame), model,
+                         "event_id", "purchased")
 
 
 @query("model_accuracy", "SELECT count(*) AS n_test, "
@@ -863,12 +885,14 @@ def q_model_accuracy(spark, sf_dir):
             .select("n_test", "constant_accuracy", (F.col("accuracy") > F.col("constant_accuracy")).alias("beats_constant")))
 
 
-@query("online_score", f"SELECT *, true AS in_range FROM ({ONLINE_SQL})")
+@query("online_score", f"SELECT *, {SCORED} FROM ({ONLINE_SQL})")
 def q_online_score(spark, sf_dir):
     """Requests without time or price: newest published features, then the fitted model."""
     cat, log, ts = training_set_df(spark, sf_dir)
     model, _ = _fit(ts)
     for t in TABLES.values():
         cat.publish_table(t)
-    scored = model.transform(online_features(cat, roles.requests(log)))
-    return scored.select("*", _in_range()).drop("prediction")
+    requests = online_features(cat, roles.requests(log))
+    reg = ModelRegistry(spark, scratch_dir(spark, "models"))
+    reg.log_model("travel", model, ts)
+    return _scored_twice(reg.load("travel").transform(requests), model, *requests.columns)

@@ -33,6 +33,9 @@ def test_fit_beats_constant_and_round_trips(spark, frame):
     assert reg.log_model("m", model) == 1
     assert reg.log_model("m", model) == 2
     assert reg.latest_version("m") == 2
+    walked = model.tree_walk(scored)
+    assert walked.columns == [*scored.columns, "walked"] and walked.select("walked").distinct().count() > 1
+    assert walked.where(F.abs(F.col("walked") - F.col("prediction")) > 1e-6).count() == 0
     again = reg.load("m").transform(frame)
     a = {r.event_id: r.prediction for r in scored.collect()}
     b = {r.event_id: r.prediction for r in again.collect()}
