@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import struct
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,17 +70,18 @@ def exact_medians(df: DataFrame, cols, *, local_limit: int = LOCAL_LIMIT) -> dic
 
 def _by_radix(df: DataFrame, cols: list[str], counts: dict[str, int]) -> dict[str, tuple[float, float]]:
     """The values of the two middle ranks of each column."""
-    keys = materialize(df.select(*[ordered_key(F.col(c).cast("double")).alias(f"k{i}") for i, c in enumerate(cols)]),
-                       "median-keys")
-    pairs = keys.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"k{i}").alias("k")) for i in range(len(cols))]))
-                        .alias("p")).select("p.*").where(F.col("k").isNotNull())
+    # one row for each value before the keys: the key of one column is code that the JVM compiles, that of all columns is not
+    values = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]))
+    pairs = materialize(df.select(values.alias("p")).select("p.*").where(F.col("v").isNotNull())
+                        .select("c", ordered_key(F.col("v")).alias("k")), "median-keys")
     # (column, which middle) -> (known leading digits, rank among the keys that share them)
     want = {(i, r): (None, rank) for i, c in enumerate(cols) for r, rank in enumerate(((counts[c] - 1) // 2, counts[c] // 2))}
     for done in range(DIGITS):
         shift = 64 - DIGIT * (done + 1)
         if done:
-            known = [F.struct(F.lit(i).alias("c"), F.lit(lead).alias("lead")) for i, lead in {(i, w[0]) for (i, _), w in want.items()}]
-            part = pairs.where(F.struct("c", F.shiftright("k", shift + DIGIT).alias("lead")).isin(known))
+            lead = F.shiftright("k", shift + DIGIT)
+            known = [(F.col("c") == i) & (lead == at) for i, at in sorted({(i, w[0]) for (i, _), w in want.items()})]
+            part = pairs.where(reduce(Column.__or__, known))
         else:
             part = pairs
         seen: dict[tuple, list] = {}

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -57,16 +57,18 @@ class OnDemandModel:
                            .where(F.col("__label").isNotNull()), "training-frame")
         medians = exact_medians(data, feats)
         pre = _preprocess_sql(feats, medians)
-        stages = [
+        prepare = PipelineModel([
             SQLTransformer(statement=pre),
             VectorAssembler(inputCols=[f"__f_{c}" for c in feats] + ["__distance"] +
                             [f"__m_{c}" for c in feats], outputCol="__features"),
-            GBTClassifier(labelCol="__label", featuresCol="__features", maxIter=self.max_iter,
-                          maxDepth=self.max_depth, stepSize=self.step_size, seed=self.seed,
-                          predictionCol="__gbt_pred")
-            .setProbabilityCol("__prob").setRawPredictionCol("__raw"),
-        ]
-        model = Pipeline(stages=stages).fit(data)
+        ])
+        boosting = (GBTClassifier(labelCol="__label", featuresCol="__features", maxIter=self.max_iter,
+                                  maxDepth=self.max_depth, stepSize=self.step_size, seed=self.seed,
+                                  predictionCol="__gbt_pred")
+                    .setProbabilityCol("__prob").setRawPredictionCol("__raw"))
+        # three passes read the vectors before the trees have their own form of them
+        vectors = materialize(prepare.transform(data).select("__label", "__features"), "training-vectors")
+        model = PipelineModel([*prepare.stages, boosting.fit(vectors)])
         return FittedModel(model, feats, label, medians)
 
 
@@ -88,11 +90,11 @@ def _preprocess_sql(feats, medians) -> str:
 
 
 def _tree_sql(node) -> str:
-    """A regression tree as SQL over the array ``__x`` (at most 2^depth leaves, whatever the data)."""
+    """A regression tree as SQL over the array ``x`` (at most 2^depth leaves, whatever the data)."""
     if node.subtreeDepth() == 0:
         return f"{node.prediction()!r}D"
     split = node.split()
-    return (f"CASE WHEN __x[{split.featureIndex()}] <= {split.threshold()!r}D THEN {_tree_sql(node.leftChild())} "
+    return (f"CASE WHEN x[{split.featureIndex()}] <= {split.threshold()!r}D THEN {_tree_sql(node.leftChild())} "
             f"ELSE {_tree_sql(node.rightChild())} END")
 
 
@@ -101,22 +103,32 @@ class FittedModel:
         self.model, self.features, self.label, self.medians = model, list(features), label, medians
         self.spec = spec or {}
 
-    def transform(self, df: DataFrame, result_type: str = "float") -> DataFrame:
+    def transform(self, df: DataFrame, result_type: str = "float", features: str | None = None) -> DataFrame:
+        """``df`` with ``prediction``, and with the feature vector under the name ``features`` if one is given.
+
+        The cast is an array function, which is no part of whole-stage code: what a later model adds to the plan
+        starts a method of its own, and the JVM compiles none of more than 8,000 bytes."""
         missing = [c for c in self.features if c not in df.columns]
         if missing:
             raise ValueError(f"scoring input lacks feature columns {missing}")
         out = self.model.transform(df)
-        prob = vector_to_array(F.col("__prob")).getItem(1).cast(result_type)
-        return out.select(*df.columns, prob.alias("prediction"))
+        prob = F.transform(vector_to_array("__prob"), lambda p: p.cast(result_type)).getItem(1)
+        kept = [F.col("__features").alias(features)] if features else []
+        return out.select(*df.columns, prob.alias("prediction"), *kept)
 
-    def tree_walk(self, df: DataFrame, name: str = "walked") -> DataFrame:
+    def tree_walk(self, df: DataFrame, name: str = "walked", features: str | None = None) -> DataFrame:
         """P(label = 1) by a second way: the fitted trees written out as one SQL expression over the feature
-        vector (nested CASE by split, weighted sum, logistic), beside the columns of ``df``."""
+        vector (nested CASE by split, weighted sum, logistic), beside the columns of ``df``.  ``features``: the
+        column of ``df`` that holds the vector (see ``transform``); without it the vector is made here.
+
+        The trees are the body of an array function: the JVM would not compile them as a part of whole-stage code."""
         boosted = self.model.stages[-1]
-        out = PipelineModel(self.model.stages[:-1]).transform(df).withColumn("__x", vector_to_array("__features"))
+        out = df if features else PipelineModel(self.model.stages[:-1]).transform(df)
         margin = " + ".join(f"{w!r}D * ({_tree_sql(t._java_obj.rootNode())})"
                             for t, w in zip(boosted.trees, boosted.treeWeights))
-        return out.withColumn(name, F.expr(f"1 / (1 + exp(-2 * ({margin})))")).select(*df.columns, name)
+        walk = F.expr(f"transform(__x, x -> 1 / (1 + exp(-2 * ({margin}))))").getItem(0)
+        return (out.withColumn("__x", F.array(vector_to_array(features or "__features")))
+                .withColumn(name, walk).select(*df.columns, name))
 
     # ---- persistence (S13) -------------------------------------------------------
     def save(self, spark: SparkSession, path: str) -> None:

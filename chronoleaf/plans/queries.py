@@ -831,8 +831,8 @@ def _fit(ts):
 def _scored_twice(loaded: DataFrame, model, *columns: str) -> DataFrame:
     """Rows scored by a loaded model, held against the model that was saved, a walk down its trees in SQL, and
     a constant guess (which gives all rows one score)."""
-    again = model.tree_walk(model.transform(loaded.withColumnRenamed("prediction", "loaded")))
-    scored = materialize(again, "scored")
+    again = model.transform(loaded.withColumnRenamed("prediction", "loaded"), features="vector")
+    scored = materialize(model.tree_walk(again, features="vector").drop("vector"), "scored")
     low, high = scored.agg(F.min("prediction"), F.max("prediction")).first()
     return scored.select(*columns, _in_range(), F.col("loaded").eqNullSafe(F.col("prediction")).alias("same_after_load"),
                          (F.abs(F.col("walked") - F.col("prediction")) < 1e-6).alias("same_as_walk"),
