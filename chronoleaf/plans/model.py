@@ -94,8 +94,8 @@ def _tree_sql(node) -> str:
     if node.subtreeDepth() == 0:
         return f"{node.prediction()!r}D"
     split = node.split()
-    return (f"CASE WHEN x[{split.featureIndex()}] <= {split.threshold()!r}D THEN {_tree_sql(node.leftChild())} "
-            f"ELSE {_tree_sql(node.rightChild())} END")
+    return (f"if(x[{split.featureIndex()}] <= {split.threshold()!r}D, {_tree_sql(node.leftChild())}, "
+            f"{_tree_sql(node.rightChild())})")
 
 
 class FittedModel:
@@ -118,7 +118,7 @@ class FittedModel:
 
     def tree_walk(self, df: DataFrame, name: str = "walked", features: str | None = None) -> DataFrame:
         """P(label = 1) by a second way: the fitted trees written out as one SQL expression over the feature
-        vector (nested CASE by split, weighted sum, logistic), beside the columns of ``df``.  ``features``: the
+        vector (nested conditions by split, weighted sum, logistic), beside the columns of ``df``.  ``features``: the
         column of ``df`` that holds the vector (see ``transform``); without it the vector is made here.
 
         The trees are the body of an array function: the JVM would not compile them as a part of whole-stage code."""
